@@ -57,13 +57,15 @@ def path_day(path: Column) -> Column:
     return F.regexp_extract(path, r"/(?:day=)?([0-9]+)/[^/]+$", 1).try_cast("int")
 
 
-def split_by_day(orders: DataFrame, root: str, day: Column, fmt: str = "csv") -> None:
+def split_by_day(
+    orders: DataFrame, root: str, day: Column, fmt: str = "csv", mode: str = "errorifexists"
+) -> None:
     """Write one ``day=<d>`` folder per day that has rows.
 
     Rebalancing by day gives files of an even size: small days share a task, and
     a day that holds most of the rows is spread over several.
     """
-    writer = orders.withColumn("day", day).hint("rebalance", F.col("day")).write.partitionBy("day")
+    writer = orders.withColumn("day", day).hint("rebalance", F.col("day")).write.partitionBy("day").mode(mode)
     if fmt == "csv":
         writer = writer.option("header", "true")
     writer.format(fmt).save(root)
@@ -76,7 +78,7 @@ def read_day(spark: SparkSession, root: str, day: int, schema: T.StructType, fmt
 
 def read_days(spark: SparkSession, root: str, schema: T.StructType, fmt: str = "csv") -> DataFrame:
     """All days of a ``day=<d>`` layout, with the ``day`` column."""
-    reader = spark.read.schema(_with_day(schema)).format(fmt)
+    reader = spark.read.schema(with_day(schema)).format(fmt)
     return (reader.options(**CSV_OPTIONS) if fmt == "csv" else reader).load(root)
 
 
@@ -93,7 +95,7 @@ def available_days(spark: SparkSession, root: str, fmt: str = "csv") -> DataFram
     return files.select(path_day(F.col("path")).alias("day")).where("day is not null").distinct().orderBy("day")
 
 
-def _with_day(schema: T.StructType) -> T.StructType:
+def with_day(schema: T.StructType) -> T.StructType:
     return T.StructType([*[f for f in schema.fields if f.name != "day"], T.StructField("day", T.IntegerType())])
 
 

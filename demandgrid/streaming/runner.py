@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from demandgrid.sources.files import CSV_OPTIONS, _with_day, path_day
+from demandgrid.sources.files import CSV_OPTIONS, path_day, with_day
 from demandgrid.streaming.store import CubeStore
 
 OnCommit = Callable[[CubeStore, int], None]
@@ -27,7 +27,7 @@ def day_stream(spark: SparkSession, root: str, schema: T.StructType, fmt: str =
     if fmt == "csv":
         reader = reader.options(**CSV_OPTIONS)
     if not plain:
-        return reader.schema(_with_day(schema)).load(root)
+        return reader.schema(with_day(schema)).load(root)
     rows = reader.schema(schema).load(f"{root}/*/")
     return rows.withColumn("day", path_day(F.col("_metadata.file_path"))).where("day is not null")
 
