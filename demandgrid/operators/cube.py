@@ -46,6 +46,18 @@ def cube_summary(cube: DataFrame) -> DataFrame:
     )
 
 
+def loaded_summary(counted: DataFrame) -> DataFrame:
+    """``cube_summary`` plus the number of orders, from cells built with ``count_orders``."""
+    is_cell = F.col("category").isNotNull()
+    return counted.agg(
+        F.count("category").alias("combinations"),
+        F.count_distinct("category").alias("categories"),
+        F.count_distinct(F.when(is_cell, F.col("day_of_week"))).alias("days"),
+        F.count_distinct(F.when(is_cell, F.col("hour_of_day"))).alias("hours"),
+        F.coalesce(F.sum(F.when(~is_cell, F.col("items_count"))), F.lit(0)).alias("orders_loaded"),
+    )
+
+
 def rows_per_day(rows: DataFrame, day: Column) -> DataFrame:
     """Row count of each day 0..6; a day without rows counts zero."""
     counts = rows.groupBy(day.alias("day_of_week")).agg(F.count(F.lit(1)).alias("rows"))

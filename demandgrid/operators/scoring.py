@@ -112,7 +112,7 @@ class PredictionStore:
             .parquet(path)
         )
         described = prediction_metadata(self._version(version), model_version)
-        described.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/metadata/version={version}")
+        described.write.mode("overwrite").parquet(f"{self.root}/metadata/version={version}")
         return version
 
     def _version(self, version: int) -> DataFrame:

@@ -358,7 +358,7 @@ def retrain_on_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two arrivals train twice; a run without new days does not."""
     events = rel.wide_events(spark, sf_dir)
     landing, store = shared_dir(spark, "landing"), CubeStore(spark, shared_dir(spark, "store"))
-    retrain = jobs.Retrainer(shared_dir(spark, "training"))
+    retrain = jobs.Retrainer(spark, shared_dir(spark, "training"))
     for arrival in (EARLY_DAYS, LATER_DAYS):
         _arrive(events, landing, arrival, "parquet")
         run_once(day_stream(spark, landing, events.schema, "parquet"), store, retrain)

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from demandgrid.operators.cube import cube_from_orders, cube_summary
+from demandgrid.operators.cube import loaded_summary
+from demandgrid.operators.reshape import wide_to_cells
 from demandgrid.operators.scoring import PredictionStore, score_grid
 from demandgrid.operators.training import load_model, save_model, train_candidates, training_rows
-from demandgrid.sources.files import read_cube, read_orders_csv, write_cube
+from demandgrid.session import materialize
+from demandgrid.sources.files import CUBE_SCHEMA, read_orders_csv, write_cube
 from demandgrid.streaming import CubeStore
 
 METRICS_SCHEMA = T.StructType(
@@ -32,14 +31,12 @@ METRICS_SCHEMA = T.StructType(
 def full_aggregation(orders: DataFrame, output: str) -> DataFrame:
     """Write the cube of ``orders`` and describe it in one row.
 
-    The orders are read once: their number is observed while the cube is
-    written, and the rest of the summary comes from the written cube.
+    The orders are read once: their number is aggregated along with the cells.
+    (An observed metric would count a recomputed partition twice.)
     """
-    seen = Observation("orders")
-    observed = orders.observe(seen, F.count(F.lit(1)).alias("orders_loaded"))
-    write_cube(cube_from_orders(observed), output)
-    summary = cube_summary(read_cube(orders.sparkSession, output))
-    return summary.withColumn("orders_loaded", F.lit(seen.get["orders_loaded"]).cast("bigint"))
+    counted = materialize(wide_to_cells(orders, count_orders=True), "cells")
+    write_cube(counted.where("category is not null").select(*CUBE_SCHEMA.names), output)
+    return loaded_summary(counted)
 
 
 def full_aggregation_csv(spark: SparkSession, pattern: str, output: str) -> DataFrame:
@@ -47,7 +44,6 @@ def full_aggregation_csv(spark: SparkSession, pattern: str, output: str) -> Data
     return full_aggregation(read_orders_csv(spark, pattern), output)
 
 
-@dataclass
 class Retrainer:
     """Trains again when the cube has changed; usable as a commit hook or on a schedule.
 
@@ -55,16 +51,14 @@ class Retrainer:
     written last, so a batch counts as trained only when its model is complete.
     """
 
-    root: str
+    def __init__(self, spark: SparkSession, root: str):
+        self.root = root.rstrip("/")
+        empty = spark.createDataFrame([], METRICS_SCHEMA)
+        empty.write.mode("ignore").partitionBy("batch_id").parquet(f"{self.root}/metrics")
 
     def metrics(self, spark: SparkSession) -> DataFrame:
-        path = f"{self.root}/metrics"
-        try:
-            return spark.read.schema(METRICS_SCHEMA).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return spark.createDataFrame([], METRICS_SCHEMA)
+        """The candidate table of every trained batch."""
+        return spark.read.schema(METRICS_SCHEMA).parquet(f"{self.root}/metrics")
 
     def trained_through(self, spark: SparkSession) -> int | None:
         return self.metrics(spark).agg(F.max("batch_id")).first()[0]

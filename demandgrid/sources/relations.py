@@ -11,8 +11,17 @@ from demandgrid.functions.fields import calendar_day, day_of_week, quoted
 MAX_CATEGORY_COLUMNS = 10_000
 
 
+# The columns in use, declared so that no job is spent on inferring them.
+TABLE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, event_type string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double, l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

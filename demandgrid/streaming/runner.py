@@ -28,7 +28,7 @@ def day_stream(spark: SparkSession, root: str, schema: T.StructType, fmt: str =
         reader = reader.options(**CSV_OPTIONS)
     if not plain:
         return reader.schema(with_day(schema)).load(root)
-    rows = reader.schema(schema).load(f"{root}/*/")
+    rows = reader.schema(schema).load(f"{root}/[0-9]*/")
     return rows.withColumn("day", path_day(F.col("_metadata.file_path"))).where("day is not null")
 
 

@@ -133,7 +133,7 @@ class CubeStore:
         path = f"{self.root}/snapshots/upto={through}"
         self.cube().write.mode("overwrite").parquet(path)
         cells = self.spark.read.schema(CUBE_SCHEMA).parquet(path).agg(F.count(F.lit(1)).alias("cells"))
-        cells.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/snapshot_log/upto={through}")
+        cells.write.mode("overwrite").parquet(f"{self.root}/snapshot_log/upto={through}")
         return through
 
     def day_report(self) -> DataFrame:
