@@ -35,15 +35,23 @@ def _grid_columns():
 def wide_to_long(orders: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
     """One row per order and category with a strictly positive count, in one scan."""
     names = category_columns(orders) if categories is None else list(categories)
-    # Unpivot never yields a row for no value column, so add one that is dropped again.
-    none = F.lit(None).cast("bigint").alias(ORDER_COUNT)
+    # Unpivot wants at least one value column.
+    values = [quoted(c) for c in names] or [F.lit(None).cast("bigint").alias(ORDER_COUNT)]
     return (
-        orders.select(*_grid_columns(), *[quoted(c) for c in names], none)
-        .unpivot(GRID_COLUMNS, [quoted(c) for c in [*names, ORDER_COUNT]], "category", "items_count")
+        orders.select(*_grid_columns(), *values)
+        .unpivot(GRID_COLUMNS, [quoted(c) for c in names or [ORDER_COUNT]], "category", "items_count")
         .where(F.col("items_count") > 0)
     )
 
 
+def _whole(cells: DataFrame, counts: str) -> DataFrame:
+    """Counts as bigint; a count that is no whole number stops the job."""
+    if isinstance(cells.schema[counts].dataType, T.LongType):
+        return cells
+    problem = F.raise_error(F.concat(F.lit("not a whole number of items: "), F.col(counts)))
+    return cells.withColumn(counts, F.when(F.col(counts) % 1 != 0, problem).otherwise(F.col(counts).cast("bigint")))
+
+
 def wide_to_cells(
     orders: DataFrame,
     categories: Sequence[str] | None = None,
@@ -65,7 +73,7 @@ def wide_to_cells(
     keys = [*by, *GRID_COLUMNS]
     summed = orders.groupBy(*by, *_grid_columns()).agg(*positive, orders_seen)
     cells = summed.unpivot(keys, [quoted(c) for c in [*names, ORDER_COUNT]], "category", "items_count")
-    return cells.where(F.col("items_count").isNotNull()).withColumn(
+    return _whole(cells.where(F.col("items_count").isNotNull()), "items_count").withColumn(
         "category", F.when(F.col("category") != ORDER_COUNT, F.col("category"))
     )
 

@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 
 from demandgrid.operators.reshape import METADATA_COLUMNS
 
+REQUEST_SCHEMA = "day_of_week int, hour_of_day int, category string"
+
 CUBE_SCHEMA = T.StructType(
     [
         T.StructField("day_of_week", T.IntegerType()),
@@ -46,12 +48,20 @@ def order_file_columns(spark: SparkSession, path: str) -> list[str]:
     return [c for c in columns if c != "day"]
 
 
-def read_orders_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Wide orders from a path or glob, such as ``raw/*/orders_*.csv``."""
-    schema = schema or order_schema(order_file_columns(spark, path))
+def read_orders_csv(spark: SparkSession, path: str, count_type: str = "long") -> DataFrame:
+    """Wide orders from a path or glob, such as ``raw/*/orders_*.csv``.
+
+    ``count_type="double"`` reads files whose counts are written like ``2.0``.
+    """
+    schema = order_schema(order_file_columns(spark, path), count_type)
     return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
 
 
+def requests(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
+    """Lookup or scoring requests typed in by hand, as (day, hour, category)."""
+    return spark.createDataFrame([(int(d), int(h), str(c)) for d, h, c in rows], REQUEST_SCHEMA)
+
+
 def path_day(path: Column) -> Column:
     """The day a file belongs to by the name of its folder; null when that is no number."""
     return F.regexp_extract(path, r"/(?:day=)?([0-9]+)/[^/]+$", 1).try_cast("int")

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from demandgrid.sources.files import CSV_OPTIONS, path_day, with_day
+from demandgrid.operators.days import unprocessed_days
+from demandgrid.sources.files import CSV_OPTIONS, available_days, path_day, read_orders_csv, with_day
 from demandgrid.streaming.store import CubeStore
 
 OnCommit = Callable[[CubeStore, int], None]
@@ -61,3 +62,18 @@ def start(
 def run_once(days: DataFrame, store: CubeStore, on_commit: OnCommit | None = None) -> None:
     """Fold in everything that has arrived and return; errors are raised."""
     start(days, store, on_commit).awaitTermination()
+
+
+def fold_unprocessed_days(spark: SparkSession, root: str, store: CubeStore, count_type: str = "long") -> list[int]:
+    """Fold in every CSV day folder the store has not seen, one batch per day; return the days.
+
+    The scheduled alternative to a stream, for day files whose category columns
+    differ: each day is read with its own header. A store is fed either this way
+    or by a stream, since both number the batches.
+    """
+    waiting = [row.day for row in unprocessed_days(available_days(spark, root), store.processed_days()).collect()]
+    for day in waiting:
+        orders = read_orders_csv(spark, f"{root}/{{{day},day={day}}}/*.csv", count_type)
+        last = store.committed_through()
+        store.commit(orders.withColumn("day", F.lit(day)), 0 if last is None else last + 1)
+    return waiting

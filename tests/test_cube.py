@@ -48,6 +48,15 @@ def test_orders_without_categories_give_an_empty_cube(golden_orders):
     assert wide_to_long(bare).count() == 0
 
 
+def test_counts_must_be_whole(spark):
+    columns = ORDER_COLUMNS + ", milk double, eggs int"
+    whole = spark.createDataFrame([(1, 0, 9, None, 2.0, 3)], columns)
+    cube = cubes.cube_from_orders(whole)
+    assert dict(cube.dtypes)["items_count"] == "bigint" and tuples(cube) == {(0, 9, "milk", 2), (0, 9, "eggs", 3)}
+    with pytest.raises(Exception, match="not a whole number of items"):
+        cubes.cube_from_orders(spark.createDataFrame([(1, 0, 9, None, 2.5, 3)], columns)).collect()
+
+
 def test_rows_per_day_lists_empty_days(golden_orders):
     counts = dict(cubes.rows_per_day(golden_orders, F.col("order_dow")).collect())
     assert [counts[d] for d in range(7)] == [2, 0, 0, 1, 0, 0, 1]

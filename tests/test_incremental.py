@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from demandgrid.operators import days
 from demandgrid.plans import jobs
 from demandgrid.sources import files
-from demandgrid.streaming import CubeStore, day_stream, run_once
+from demandgrid.streaming import CubeStore, day_stream, fold_unprocessed_days, run_once
 
 
 @pytest.fixture
@@ -103,6 +103,22 @@ def test_plain_folders_stream(spark, tmp_path, golden_orders):
     assert {r.day for r in store.processed_days().collect()} == {0, 3, 6}
 
 
+def test_days_with_their_own_columns(spark, tmp_path):
+    raw, header = tmp_path / "raw", "order_id,order_dow,order_hour_of_day,days_since_prior_order"
+    for day, columns, text in ((2, "milk,tea", "1,2,9,,2,1\n"), (0, "tea", "2,0,9,,4\n"), (10, "eggs", "3,2,9,,\n")):
+        (raw / str(day)).mkdir(parents=True)
+        (raw / str(day) / f"orders_{day}.csv").write_text(f"{header},{columns}\n{text}")
+    store = CubeStore(spark, f"{tmp_path}/store")
+    assert fold_unprocessed_days(spark, str(raw), store) == [0, 2, 10]
+    assert fold_unprocessed_days(spark, str(raw), store) == []
+    assert tuples(store.cube()) == {(2, 9, "milk", 2), (2, 9, "tea", 1), (0, 9, "tea", 4)}
+    assert dict(store.processed_days().collect()) == {0: 0, 2: 1, 10: 2}
+    (raw / "day=3").mkdir()
+    (raw / "day=3" / "part.csv").write_text(f"{header},milk\n5,3,1,,7.0\n")
+    assert fold_unprocessed_days(spark, str(raw), store, count_type="double") == [3]
+    assert (3, 1, "milk", 7) in tuples(store.cube())
+
+
 def test_failing_hook_is_raised_and_the_batch_survives(spark, tmp_path, land):
     store = CubeStore(spark, f"{tmp_path}/store")
 

@@ -11,6 +11,7 @@ from demandgrid.operators.cube import cube_from_rows
 from demandgrid.operators.grid import category_rows, demand_grid
 from demandgrid.plans import jobs
 from demandgrid.sources.files import CUBE_SCHEMA
+from demandgrid.sources.files import requests as typed_requests
 from demandgrid.sources.relations import event_rows
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -74,7 +75,7 @@ def test_linear_candidate_is_ridge_on_standardised_features(rows):
 def test_saved_model_scores_alike_and_flags_unknown_categories(spark, trained, tmp_path):
     training.save_model(trained.model, f"{tmp_path}/model")
     loaded = training.load_model(f"{tmp_path}/model")
-    requests = spark.createDataFrame([(0, 9, " Click"), (5, 12, "vi_ew"), (1, 18, "coffee")], "day_of_week int, hour_of_day int, category string")
+    requests = typed_requests(spark, [(0, 9, " Click"), (5, 12, "vi_ew"), ("1", "18", "coffee")])
     first, second = (scoring.score(requests, m).collect() for m in (trained.model, loaded))
     assert first == second
     assert [r.known_category for r in first] == [True, True, False]
@@ -85,7 +86,7 @@ def test_underscored_names_train_and_score_as_one(spark):
     cells = [(d, h, "fresh_fruits", 10 + h) for d in range(7) for h in range(24)]
     cells += [(d, h, "milk", 100 + h) for d in range(7) for h in range(24)]
     model = training.train_candidates(training.training_rows(spark.createDataFrame(cells, CUBE_SCHEMA))).model
-    requests = spark.createDataFrame([(0, 9, "fresh_fruits"), (0, 9, "Fresh_Fruits ")], "day_of_week int, hour_of_day int, category string")
+    requests = typed_requests(spark, [(0, 9, "fresh_fruits"), (0, 9, "Fresh_Fruits ")])
     got = scoring.score(requests, model).collect()
     assert all(r.known_category for r in got) and got[0].prediction == got[1].prediction
     assert got[0].prediction == pytest.approx(19, abs=5)
