@@ -353,16 +353,22 @@ def model_roundtrip_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return again.select(*CELL_KEYS, "known_category", (F.col("before") == F.col("prediction")).alias("is_same"))
 
 
-@query
-def retrain_on_change(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two arrivals train twice; a run without new days does not."""
+def _two_arrivals(spark: SparkSession, sf_dir: str, on_commit) -> CubeStore:
+    """Event days in two arrivals with a hook on each commit, then a run without new days."""
     events = rel.wide_events(spark, sf_dir)
     landing, store = shared_dir(spark, "landing"), CubeStore(spark, shared_dir(spark, "store"))
-    retrain = jobs.Retrainer(spark, shared_dir(spark, "training"))
     for arrival in (EARLY_DAYS, LATER_DAYS):
         _arrive(events, landing, arrival, "parquet")
-        run_once(day_stream(spark, landing, events.schema, "parquet"), store, retrain)
-    run_once(day_stream(spark, landing, events.schema, "parquet"), store, retrain)
+        run_once(day_stream(spark, landing, events.schema, "parquet"), store, on_commit)
+    run_once(day_stream(spark, landing, events.schema, "parquet"), store, on_commit)
+    return store
+
+
+@query
+def retrain_on_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two arrivals train twice; a run without new days does not."""
+    retrain = jobs.Retrainer(spark, shared_dir(spark, "training"))
+    _two_arrivals(spark, sf_dir, retrain)
     return (
         retrain.metrics(spark)
         .groupBy("batch_id")
@@ -375,6 +381,20 @@ def retrain_on_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def refresh_on_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each retrained model is served once, as a new version of the prediction table."""
+    retrain = jobs.Retrainer(spark, shared_dir(spark, "training"))
+    predictions = scoring.PredictionStore(spark, shared_dir(spark, "predictions"))
+
+    def retrain_and_serve(store: CubeStore, batch_id: int) -> None:
+        retrain(store, batch_id)
+        jobs.refresh_if_retrained(store, retrain, predictions)
+
+    jobs.refresh_if_retrained(_two_arrivals(spark, sf_dir, retrain_and_serve), retrain, predictions)
+    return predictions.metadata().drop("last_updated")
+
+
 # --- grid, scoring and serving ---
 
 

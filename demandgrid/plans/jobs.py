@@ -85,7 +85,24 @@ def train(cube: DataFrame, model_path: str) -> DataFrame:
     return trained.metrics
 
 
-def refresh_predictions(categories: DataFrame, model_path: str, store: PredictionStore) -> DataFrame:
+def refresh_predictions(
+    categories: DataFrame, model_path: str, predictions: PredictionStore, model_version: str = "v1.0"
+) -> DataFrame:
     """Score the full grid with a saved model into a new version; return its metadata row."""
-    version = store.refresh(score_grid(categories, load_model(model_path)))
-    return store.metadata().where(F.col("version") == version)
+    version = predictions.refresh(score_grid(categories, load_model(model_path)), model_version)
+    return predictions.metadata().where(F.col("version") == version)
+
+
+def refresh_if_retrained(store: CubeStore, retrainer: Retrainer, predictions: PredictionStore) -> bool:
+    """Serve the newest trained model unless its predictions are the newest version already.
+
+    The check looks at what is being served, so a refresh that was cut short is
+    made up for by the next call.
+    """
+    trained = retrainer.trained_through(store.spark)
+    served = predictions.metadata().agg(F.max_by("model_version", "version")).first()[0]
+    wanted = f"batch-{trained}"
+    if trained is None or served == wanted:
+        return False
+    refresh_predictions(store.cube(), retrainer.model_path(trained), predictions, wanted)
+    return True

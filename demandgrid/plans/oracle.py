@@ -194,6 +194,11 @@ ORACLE: dict[str, str] = {
             count(*) FILTER ({_is_train("day_of_week", "hour_of_day", "category")}) AS train_rows,
             count(*) FILTER (NOT {_is_train("day_of_week", "hour_of_day", "category")}) AS test_rows
         FROM arrived GROUP BY batch_id""",
+    "refresh_on_change": f"""WITH {EVENTS}
+        SELECT 168 * count(DISTINCT category) AS total_predictions, 'batch-' || b AS model_version,
+            count(DISTINCT category) AS categories_count, '0-6' AS days_range, '0-23' AS hours_range,
+            (b + 1)::INTEGER AS version
+        FROM range(2) AS r(b) JOIN e ON {_ARRIVAL} <= b GROUP BY b""",
     "grid": f"WITH {PREDICTIONS} SELECT * FROM grid",
     "seasonal_adjustment": f"""WITH {EVENTS},
         weekend AS (SELECT *, CASE WHEN day_of_week IN (0, 6) THEN trunc(items_count * 1.5::DOUBLE)

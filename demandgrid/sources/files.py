@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from demandgrid.functions.fields import quoted
 from demandgrid.operators.reshape import METADATA_COLUMNS
 
 REQUEST_SCHEMA = "day_of_week int, hour_of_day int, category string"
@@ -54,7 +55,8 @@ def read_orders_csv(spark: SparkSession, path: str, count_type: str = "long") ->
     ``count_type="double"`` reads files whose counts are written like ``2.0``.
     """
     schema = order_schema(order_file_columns(spark, path), count_type)
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    # a folder of the day=<d> layout would add its partition column as one more category
+    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path).select(*[quoted(c) for c in schema.names])
 
 
 def requests(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:

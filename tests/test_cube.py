@@ -86,6 +86,7 @@ def test_csv_layouts(spark, golden_orders, tmp_path):
     schema = files.order_schema(golden_orders.columns)
     assert tuples(cubes.cube_from_orders(files.read_orders_csv(spark, f"{plain}/*/orders_*.csv"))) == GOLDEN_CUBE
     assert tuples(cubes.cube_from_orders(files.read_orders_csv(spark, f"{hive}/*/*.csv"))) == GOLDEN_CUBE
+    assert tuples(cubes.cube_from_orders(files.read_orders_csv(spark, hive))) == GOLDEN_CUBE
     for root in (hive, str(plain)):
         assert [r.day for r in files.available_days(spark, root).collect()] == [0, 3, 6]
     assert files.read_day(spark, hive, 0, schema).count() == 2
