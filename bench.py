@@ -19,7 +19,7 @@ from demandgrid.functions.fields import CELL_KEYS, quoted
 from demandgrid.operators.cube import cube_from_orders, cube_from_rows
 from demandgrid.operators.lookup import batch_lookup, top_predictions_per_day
 from demandgrid.operators.reshape import category_columns, wide_to_long
-from demandgrid.plans.catalogue import QUERIES, _predictions
+from demandgrid.plans.catalogue import QUERIES, stored_predictions
 from demandgrid.session import build_session, materialize
 from demandgrid.sources.relations import lookup_requests, wide_orders
 
@@ -85,7 +85,7 @@ def main() -> None:
 
     times = {name: timed(lambda name=name: run(QUERIES[name](spark, SF_DIR))) for name in HEADLINE}
 
-    predictions = _predictions(spark, SF_DIR)
+    predictions = stored_predictions(spark, SF_DIR)
     times["batch_lookup_stored"] = timed(lambda: run(batch_lookup(lookup_requests(spark, SF_DIR), predictions)))
     times["top_per_day_stored"] = timed(lambda: run(top_predictions_per_day(predictions)))
 

@@ -20,6 +20,13 @@ WEEKEND_DAYS, WEEKEND_FACTOR = [0, 6], 1.5
 PEAK_HOURS, PEAK_FACTOR = [7, 8, 9, 17, 18, 19], 1.8
 FIRST_DAYTIME_HOUR, LAST_DAYTIME_HOUR, NIGHT_FACTOR = 6, 22, 0.3
 
+# Report lines.
+RANKED_LINE = "%2d. Day %d, Hour %2d, %-20s: %6.1f items"
+RANKED_DAY_LINE = "%2d. Hour %2d, %-20s: %6.1f items"
+LOOKUP_LINE = "%s %2d:00, %-15s: %s"
+LOOKUP_VALUE = "%6.1f items"
+LOOKUP_MISS = "NOT CACHED"
+
 CELL_KEYS = ["day_of_week", "hour_of_day", "category"]
 
 PREDICTION_JSON = T.StructType(
@@ -102,20 +109,20 @@ def parse_prediction(value: Column) -> Column:
 
 def ranked_line(rank: Column, day: Column, hour: Column, category: Column, prediction: Column) -> Column:
     """One line of the overall top list."""
-    return F.format_string("%2d. Day %d, Hour %2d, %-20s: %6.1f items", rank, day, hour, category, F.round(prediction, 1))
+    return F.format_string(RANKED_LINE, rank, day, hour, category, F.round(prediction, 1))
 
 
 def ranked_day_line(rank: Column, hour: Column, category: Column, prediction: Column) -> Column:
     """One line of a single day's top list."""
-    return F.format_string("%2d. Hour %2d, %-20s: %6.1f items", rank, hour, category, F.round(prediction, 1))
+    return F.format_string(RANKED_DAY_LINE, rank, hour, category, F.round(prediction, 1))
 
 
 def lookup_line(day: Column, hour: Column, category: Column, prediction: Column) -> Column:
     """One line of a lookup listing; a missing prediction is named as such."""
-    value = F.when(prediction.isNull(), F.lit("NOT CACHED")).otherwise(
-        F.format_string("%6.1f items", F.round(prediction, 1))
+    value = F.when(prediction.isNull(), F.lit(LOOKUP_MISS)).otherwise(
+        F.format_string(LOOKUP_VALUE, F.round(prediction, 1))
     )
-    return F.format_string("%s %2d:00, %-15s: %s", day_label(day), hour, category, value)
+    return F.format_string(LOOKUP_LINE, day_label(day), hour, category, value)
 
 
 def seasonal_count(base: Column, day: Column, hour: Column) -> Column:

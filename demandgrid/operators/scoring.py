@@ -20,7 +20,6 @@ PREDICTION_SCHEMA = T.StructType(
         T.StructField("category", T.StringType()),
         T.StructField("prediction", T.DoubleType()),
         T.StructField("cached_at", T.StringType()),
-        T.StructField("version", T.IntegerType()),
         T.StructField("day_of_week", T.IntegerType()),
     ]
 )
@@ -116,8 +115,8 @@ class PredictionStore:
         return version
 
     def _version(self, version: int) -> DataFrame:
-        rows = self.spark.read.schema(PREDICTION_SCHEMA).parquet(f"{self.root}/predictions")
-        return rows.where(F.col("version") == version).drop("version")
+        # only this version's folder is listed, however many there have been
+        return self.spark.read.schema(PREDICTION_SCHEMA).parquet(f"{self.root}/predictions/version={version}")
 
     def read(self, version: int | None = None) -> DataFrame:
         """The rows of a version, by default the newest complete one."""

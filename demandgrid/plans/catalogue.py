@@ -398,7 +398,7 @@ def refresh_on_change(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- grid, scoring and serving ---
 
 
-def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stored_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored prediction table of the event categories, scored with means."""
     cube = _event_cube(spark, sf_dir)
     store = scoring.PredictionStore(spark, shared_dir(spark, "predictions"))
@@ -425,7 +425,7 @@ def seasonal_adjustment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def prediction_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _predictions(spark, sf_dir).select("key", *PREDICTION)
+    return stored_predictions(spark, sf_dir).select("key", *PREDICTION)
 
 
 @query
@@ -439,28 +439,28 @@ def prediction_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def prediction_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = [F.col(c) for c in ("prediction", "day_of_week", "hour_of_day", "category", "cached_at")]
-    encoded = _predictions(spark, sf_dir).select("key", fields.prediction_json(*columns).alias("value"))
+    encoded = stored_predictions(spark, sf_dir).select("key", fields.prediction_json(*columns).alias("value"))
     return encoded.select("key", fields.parse_prediction(F.col("value")).alias("r")).select("key", "r.*").drop("cached_at")
 
 
 @query
 def key_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookup.key_requests(_predictions(spark, sf_dir).select("key"))
+    return lookup.key_requests(stored_predictions(spark, sf_dir).select("key"))
 
 
 @query
 def point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookup.point_lookup(_predictions(spark, sf_dir), 0, 9, " Purchase").select(*PREDICTION)
+    return lookup.point_lookup(stored_predictions(spark, sf_dir), 0, 9, " Purchase").select(*PREDICTION)
 
 
 @query
 def batch_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookup.batch_lookup(rel.lookup_requests(spark, sf_dir), _predictions(spark, sf_dir)).drop("cached_at")
+    return lookup.batch_lookup(rel.lookup_requests(spark, sf_dir), stored_predictions(spark, sf_dir)).drop("cached_at")
 
 
 @query
 def missing_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookup.missing_cells(rel.lookup_requests(spark, sf_dir), _predictions(spark, sf_dir))
+    return lookup.missing_cells(rel.lookup_requests(spark, sf_dir), stored_predictions(spark, sf_dir))
 
 
 @query
@@ -474,7 +474,7 @@ def lookup_with_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pattern_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    predictions = _predictions(spark, sf_dir)
+    predictions = stored_predictions(spark, sf_dir)
     patterns = {"0:9:*": (0, 9), "0:*:*": (0, None), "*:9:*": (None, 9), "*:*:*": (None, None)}
     parts = [
         lookup.matching(predictions, day, hour).select(F.lit(text).alias("pattern"), *PREDICTION)
@@ -485,31 +485,31 @@ def pattern_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def top_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookup.top_predictions(_predictions(spark, sf_dir)).select(*PREDICTION)
+    return lookup.top_predictions(stored_predictions(spark, sf_dir)).select(*PREDICTION)
 
 
 @query
 def top_predictions_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookup.top_predictions_per_day(_predictions(spark, sf_dir)).select("rank", *PREDICTION)
+    return lookup.top_predictions_per_day(stored_predictions(spark, sf_dir)).select("rank", *PREDICTION)
 
 
 @query
 def labelled_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = fields.lookup_line(*[F.col(c) for c in PREDICTION]).alias("line")
     return lookup.batch_lookup(
-        rel.lookup_requests(spark, sf_dir).withColumn("category", F.trim("category")), _predictions(spark, sf_dir)
+        rel.lookup_requests(spark, sf_dir).withColumn("category", F.trim("category")), stored_predictions(spark, sf_dir)
     ).select("request_id", line)
 
 
 @query
 def ranked_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = lookup.ranked_top(_predictions(spark, sf_dir), 10)
+    top = lookup.ranked_top(stored_predictions(spark, sf_dir), 10)
     return top.select("rank", fields.ranked_line(F.col("rank"), *[F.col(c) for c in PREDICTION]).alias("line"))
 
 
 @query
 def ranked_day_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = lookup.top_predictions_per_day(_predictions(spark, sf_dir), 10)
+    top = lookup.top_predictions_per_day(stored_predictions(spark, sf_dir), 10)
     line = fields.ranked_day_line(*[F.col(c) for c in ("rank", "hour_of_day", "category", "prediction")])
     return top.select("day_of_week", "rank", line.alias("line"))
 
@@ -519,20 +519,20 @@ def probe_hit_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = rel.lookup_requests(spark, sf_dir).select(
         fields.cell_key(*[F.col(c) for c in CELL_KEYS]).alias("key")
     )
-    probes = lookup.batch_lookup(lookup.key_requests(keys), _predictions(spark, sf_dir))
+    probes = lookup.batch_lookup(lookup.key_requests(keys), stored_predictions(spark, sf_dir))
     return lookup.hit_rate(probes).withColumn("rate", F.round("rate", 6))
 
 
 @query
 def prediction_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookup.prediction_statistics(_predictions(spark, sf_dir)).drop("last_updated")
+    return lookup.prediction_statistics(stored_predictions(spark, sf_dir)).drop("last_updated")
 
 
 @query
 def prediction_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookup.prediction_categories(_predictions(spark, sf_dir))
+    return lookup.prediction_categories(stored_predictions(spark, sf_dir))
 
 
 @query
 def coverage_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookup.coverage(_predictions(spark, sf_dir), rel.lookup_requests(spark, sf_dir))
+    return lookup.coverage(stored_predictions(spark, sf_dir), rel.lookup_requests(spark, sf_dir))

@@ -7,8 +7,10 @@ Layout below the store's root::
     snapshots/upto=<n>/      the cube of all batches up to n
     snapshot_log/upto=<n>/   written after the snapshot, so it commits the snapshot
 
-Nothing is overwritten that is also read: replaying batch n rewrites only its own
-two folders, and a batch without a ledger entry is not visible.
+Nothing is overwritten that is also read. A batch without a ledger entry is not
+visible, and repeating it rewrites its delta; a batch with an entry is complete, and
+repeating it does nothing. Readers open only the folders they need, however many
+batches and snapshots there have been.
 """
 
 from __future__ import annotations
@@ -23,12 +25,7 @@ from demandgrid.operators.reshape import wide_to_cells
 from demandgrid.sources.files import CUBE_SCHEMA
 
 DELTA_SCHEMA = T.StructType(
-    [
-        T.StructField("day", T.IntegerType()),
-        T.StructField("is_late", T.BooleanType()),
-        *CUBE_SCHEMA.fields,
-        T.StructField("batch_id", T.LongType()),
-    ]
+    [T.StructField("day", T.IntegerType()), T.StructField("is_late", T.BooleanType()), *CUBE_SCHEMA.fields]
 )
 LEDGER_SCHEMA = T.StructType(
     [
@@ -38,7 +35,6 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("batch_id", T.LongType()),
     ]
 )
-SNAPSHOT_SCHEMA = T.StructType([*CUBE_SCHEMA.fields, T.StructField("upto", T.LongType())])
 SNAPSHOT_LOG_SCHEMA = T.StructType([T.StructField("cells", T.LongType()), T.StructField("upto", T.LongType())])
 
 
@@ -54,12 +50,7 @@ class CubeStore:
         self.spark = spark
         self.root = root.rstrip("/")
         # Empty tables first, so that readers need not tell "no batch yet" from a wrong path.
-        for name, schema in (
-            ("deltas", DELTA_SCHEMA),
-            ("ledger", LEDGER_SCHEMA),
-            ("snapshots", SNAPSHOT_SCHEMA),
-            ("snapshot_log", SNAPSHOT_LOG_SCHEMA),
-        ):
+        for name, schema in (("ledger", LEDGER_SCHEMA), ("snapshot_log", SNAPSHOT_LOG_SCHEMA)):
             empty = spark.createDataFrame([], schema)
             empty.write.mode("ignore").partitionBy(schema.fields[-1].name).parquet(f"{self.root}/{name}")
 
@@ -89,20 +80,22 @@ class CubeStore:
         happens, and the ledger is derived from the delta as written.
         """
         session = orders.sparkSession
+        ledger = self._read("ledger", LEDGER_SCHEMA, session)
+        if not ledger.where(F.col("batch_id") == batch_id).isEmpty():
+            return
         earlier = (
-            self._read("ledger", LEDGER_SCHEMA, session)
-            .where((F.col("batch_id") < batch_id) & (F.col("order_rows") > 0))
+            ledger.where((F.col("batch_id") < batch_id) & (F.col("order_rows") > 0))
             .select("day")
             .distinct()
             .withColumn("is_late", F.lit(True))
         )
         cells = wide_to_cells(orders, by=["day"], count_orders=True)
         delta = cells.join(earlier, "day", "left").withColumn("is_late", F.coalesce("is_late", F.lit(False)))
-        delta = delta.select(*[F.col(f.name).cast(f.dataType) for f in DELTA_SCHEMA.fields[:-1]])
-        path = f"{self.root}/deltas/batch_id={batch_id}"
+        delta = delta.select(*[F.col(f.name).cast(f.dataType) for f in DELTA_SCHEMA.fields])
+        path = self._delta_path(batch_id)
         delta.write.mode("overwrite").parquet(path)
 
-        counts = session.read.schema(T.StructType(DELTA_SCHEMA.fields[:-1])).parquet(path).where("category is null")
+        counts = session.read.schema(DELTA_SCHEMA).parquet(path).where("category is null")
         days = counts.groupBy("day").agg(
             F.sum(F.when(F.col("is_late"), 0).otherwise(F.col("items_count"))).alias("order_rows"),
             F.sum(F.when(F.col("is_late"), F.col("items_count")).otherwise(0)).alias("late_rows"),
@@ -110,28 +103,38 @@ class CubeStore:
         # One row per day of the batch; a single file makes the commit one rename.
         days.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/ledger/batch_id={batch_id}")
 
-    def _deltas(self, after: int | None, through: int | None) -> DataFrame:
-        rows = self._read("deltas", DELTA_SCHEMA).where(~F.col("is_late") & F.col("category").isNotNull())
-        if after is not None:
-            rows = rows.where(F.col("batch_id") > after)
-        return rows.where(F.col("batch_id") <= (-1 if through is None else through))
+    def _delta_path(self, batch_id: int) -> str:
+        return f"{self.root}/deltas/batch_id={batch_id}"
 
     def cube(self) -> DataFrame:
         """The cube of every committed batch: newest snapshot plus the deltas after it."""
-        base = self.snapshot_through()
-        parts = [self._deltas(base, self.committed_through()).select(*CUBE_SCHEMA.names)]
+        return self._cube(self.snapshot_through())
+
+    def _cube(self, base: int | None, through: int | None = None) -> DataFrame:
+        batches = self.ledger().select("batch_id").distinct()
+        if base is not None:
+            batches = batches.where(F.col("batch_id") > base)
+        if through is not None:
+            batches = batches.where(F.col("batch_id") <= through)
+        read = self.spark.read
+        paths = [self._delta_path(row.batch_id) for row in batches.collect()]
+        parts = []
+        if paths:
+            deltas = read.schema(DELTA_SCHEMA).parquet(*paths)
+            parts.append(deltas.where(~F.col("is_late") & F.col("category").isNotNull()))
         if base is not None:
-            snapshot = self._read("snapshots", SNAPSHOT_SCHEMA).where(F.col("upto") == base)
-            parts.append(snapshot.select(*CUBE_SCHEMA.names))
-        return merge_cubes(*parts)
+            parts.append(read.schema(CUBE_SCHEMA).parquet(f"{self.root}/snapshots/upto={base}"))
+        if not parts:
+            return self.spark.createDataFrame([], CUBE_SCHEMA)
+        return merge_cubes(*[part.select(*CUBE_SCHEMA.names) for part in parts])
 
     def compact(self) -> int | None:
         """Write a snapshot of all committed batches; readers move over when it is complete."""
-        through = self.committed_through()
-        if through is None or through == self.snapshot_through():
+        base, through = self.snapshot_through(), self.committed_through()
+        if through is None or through == base:
             return through
         path = f"{self.root}/snapshots/upto={through}"
-        self.cube().write.mode("overwrite").parquet(path)
+        self._cube(base, through).write.mode("overwrite").parquet(path)
         cells = self.spark.read.schema(CUBE_SCHEMA).parquet(path).agg(F.count(F.lit(1)).alias("cells"))
         cells.write.mode("overwrite").parquet(f"{self.root}/snapshot_log/upto={through}")
         return through

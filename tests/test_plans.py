@@ -68,7 +68,7 @@ def test_point_lookup_prunes_the_day_and_pushes_the_key(spark):
     store = PredictionStore(spark, shared_dir(spark, "predictions"))
     store.refresh(demand_grid(category_rows(spark, ["milk"])).withColumn("prediction", F.lit(1.0)))
     text = plan(lookup.point_lookup(store.read(), 5, 12, "Milk "))
-    assert re.search(r"PartitionFilters: \[.*version.*day_of_week.*= 5", text)
+    assert re.search(r"PartitionFilters: \[.*day_of_week.*= 5", text)
     assert re.search(r"PushedFilters: \[.*EqualTo\(hour_of_day,12\), EqualTo\(category,milk\)", text)
 
 
