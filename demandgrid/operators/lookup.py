@@ -18,7 +18,7 @@ from demandgrid.functions.fields import CELL_KEYS, key_parts, normalize_category
 def point_lookup(predictions: DataFrame, day: int, hour: int, category: str) -> DataFrame:
     """The row of one key, or no row; all three conditions reach the scan."""
     wanted = normalize_category(F.lit(category))
-    return predictions.where((F.col("day_of_week") == day) & (F.col("hour_of_day") == hour) & (F.col("category") == wanted))
+    return matching(predictions, day, hour).where(F.col("category") == wanted)
 
 
 def batch_lookup(requests: DataFrame, predictions: DataFrame) -> DataFrame:

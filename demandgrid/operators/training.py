@@ -139,8 +139,9 @@ def train_candidates(rows: DataFrame) -> TrainedModel:
     winner = best_candidate(metrics).first()
     if winner is None:
         raise RuntimeError(f"no candidate could be trained: {results}")
-    model = PipelineModel(stages=[*encoder.stages, fitted[winner["candidate"]]])
-    return TrainedModel(winner["candidate"], model, metrics.withColumn("is_selected", F.col("candidate") == winner["candidate"]))
+    name = winner["candidate"]
+    model = PipelineModel(stages=[*encoder.stages, fitted[name]])
+    return TrainedModel(name, model, metrics.withColumn("is_selected", F.col("candidate") == name))
 
 
 def save_model(model: PipelineModel, path: str) -> None:

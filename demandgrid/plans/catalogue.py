@@ -17,7 +17,7 @@ from demandgrid.plans import jobs
 from demandgrid.session import materialize, shared_dir
 from demandgrid.sources import files
 from demandgrid.sources import relations as rel
-from demandgrid.streaming import CubeStore, day_stream, run_once, start
+from demandgrid.streaming import CubeStore, day_stream, fold_unprocessed_days, run_once, start
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -218,6 +218,16 @@ def incremental_no_new_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.processed_days()
 
 
+@query
+def incremental_folded_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day folders folded one by one, each read with its own header."""
+    staged, landing = _land_orders(spark, sf_dir)
+    store = CubeStore(spark, shared_dir(spark, "store"))
+    _arrive(staged, landing, F.lit(True))
+    fold_unprocessed_days(spark, landing, store, count_type="double")
+    return store.cube()
+
+
 def _late_copy(spark: SparkSession, sf_dir: str) -> CubeStore:
     """After all days are in, day 0 arrives a second time."""
     staged, landing = _land_orders(spark, sf_dir)
@@ -440,7 +450,8 @@ def prediction_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 def prediction_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = [F.col(c) for c in ("prediction", "day_of_week", "hour_of_day", "category", "cached_at")]
     encoded = stored_predictions(spark, sf_dir).select("key", fields.prediction_json(*columns).alias("value"))
-    return encoded.select("key", fields.parse_prediction(F.col("value")).alias("r")).select("key", "r.*").drop("cached_at")
+    decoded = encoded.select("key", fields.parse_prediction(F.col("value")).alias("r"))
+    return decoded.select("key", "r.*").drop("cached_at")
 
 
 @query

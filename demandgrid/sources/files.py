@@ -6,6 +6,7 @@ Two folder layouts are understood: ``root/day=<d>/...`` (partition column) and
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -27,13 +28,15 @@ CUBE_SCHEMA = T.StructType(
     ]
 )
 
+DAY_FOLDER = re.compile("(?:day=)?([0-9]+)")
+
 # A count that does not parse must stop the job: read leniently it would be lost.
 CSV_OPTIONS = {"header": "true", "enforceSchema": "false", "mode": "FAILFAST"}
 
 
 def order_schema(columns: Sequence[str], count_type: str = "long") -> T.StructType:
     """Types of a wide order file with these columns, in file order."""
-    kinds = {"order_id": "long", "order_dow": "integer", "order_hour_of_day": "integer", "days_since_prior_order": "double"}
+    kinds = dict(zip(METADATA_COLUMNS, ("long", "integer", "integer", "double"), strict=True))
     schema = T.StructType()
     for name in columns:
         schema.add(name, kinds.get(name, count_type))
@@ -66,7 +69,7 @@ def requests(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
 
 def path_day(path: Column) -> Column:
     """The day a file belongs to by the name of its folder; null when that is no number."""
-    return F.regexp_extract(path, r"/(?:day=)?([0-9]+)/[^/]+$", 1).try_cast("int")
+    return F.regexp_extract(path, f"/{DAY_FOLDER.pattern}/[^/]+$", 1).try_cast("int")
 
 
 def split_by_day(
@@ -102,9 +105,29 @@ def read_plain_days(spark: SparkSession, root: str, schema: T.StructType, fmt: s
 
 
 def available_days(spark: SparkSession, root: str, fmt: str = "csv") -> DataFrame:
-    """Days whose folder holds at least one data file; file contents are not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{fmt}").load(f"{root}/*/*")
-    return files.select(path_day(F.col("path")).alias("day")).where("day is not null").distinct().orderBy("day")
+    """Days whose folder holds at least one data file, ascending.
+
+    Each day folder is listed up to its first data file, so the cost goes with
+    the number of days and not with the files in them; no file is opened.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    file_system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    days = set()
+    for entry in file_system.listStatus(folder):
+        named = DAY_FOLDER.fullmatch(entry.getPath().getName())
+        if named and entry.isDirectory() and _holds_file(file_system, entry.getPath(), f".{fmt}"):
+            days.add(int(named[1]))
+    return spark.createDataFrame([(day,) for day in sorted(days)], "day int")
+
+
+def _holds_file(file_system, folder, suffix: str) -> bool:
+    entries = file_system.listStatusIterator(folder)
+    while entries.hasNext():
+        entry = entries.next()
+        name = entry.getPath().getName()
+        if entry.isFile() and name.endswith(suffix) and name[0] not in "._":
+            return True
+    return False
 
 
 def with_day(schema: T.StructType) -> T.StructType:

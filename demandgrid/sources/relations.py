@@ -106,7 +106,8 @@ def wide_orders(spark: SparkSession, sf_dir: str, with_prior: bool = True) -> Da
         first = days_since_prior(orders)
         orders = orders.join(first, F.col("o_orderkey") == F.col("first_key"), "left")
         same_date = F.col("is_first").isNull()
-        metadata.append(F.when(same_date, F.lit(0)).otherwise(F.col("days")).cast("double").alias("days_since_prior_order"))
+        days = F.when(same_date, F.lit(0)).otherwise(F.col("days"))
+        metadata.append(days.cast("double").alias("days_since_prior_order"))
     wide = orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     return wide.select(*metadata, *[quoted(t) for t in types])
 

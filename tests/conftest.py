@@ -26,7 +26,8 @@ def spark():
         "demandgrid-tests",
         master="local[8]",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.default.parallelism": "2",
             "spark.driver.memory": "8g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",

@@ -17,7 +17,7 @@ from demandgrid.streaming import CubeStore
 CATEGORIES = ["milk", "fresh fruits", "x.y"]
 count = st.none() | st.integers(-3, 5)
 order = st.tuples(st.integers(0, 6), st.integers(0, 23), *[count] * len(CATEGORIES))
-few = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+few = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 def as_orders(spark, rows):
@@ -42,7 +42,7 @@ def test_cube_equals_counting(spark, rows):
     assert tuples(cube_from_rows(wide_to_long(orders)).select(*CELL_KEYS, "items_count")) == expected_cube(rows)
 
 
-@settings(few, max_examples=4)
+@settings(few, max_examples=3)
 @given(rows=st.lists(order, min_size=1, max_size=20), data=st.data())
 def test_incremental_equals_full_for_any_batching(spark, tmp_path_factory, rows, data):
     days = sorted({r[0] for r in rows})
