@@ -59,7 +59,7 @@ def source_targets(sized: DataFrame, weights: Sequence[int], max_epochs: int) ->
     part = F.shiftright("place", 33)
     parts = placed.groupBy(part.alias("part")).count()
     before = F.coalesce(F.sum("count").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    rank = before + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    rank = F.col("before") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (rank % len(weights) + 1).cast("int"))
     ranked = materialize(
         placed.withColumn("part", part).join(parts.withColumn("before", before), "part")
