@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from demandgrid.llm import decontamination, line_dedup, mixing, simhash
+from demandgrid.llm import decontamination, line_dedup, mixing, secret_scan, simhash
 
 QUERIES = {
     "op3_source_mix": mixing.op3_source_mix,
+    "op4_secret_entropy": secret_scan.op4_secret_entropy,
     "op7_spaced_seeds": decontamination.op7_spaced_seeds,
     "op8_simhash_pivots": simhash.op8_simhash_pivots,
     "op10_line_dedup": line_dedup.op10_line_dedup,
