@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from demandgrid.llm import decontamination, line_dedup, mixing, pii, secret_scan, simhash, toxicity, warc
+from demandgrid.llm import decontamination, line_dedup, mixing, perplexity, pii, secret_scan, simhash, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_source_mix": mixing.op3_source_mix,
     "op4_secret_entropy": secret_scan.op4_secret_entropy,
     "op5_warc_normaliser": warc.op5_warc_normaliser,
+    "op6_perplexity_bands": perplexity.op6_perplexity_bands,
     "op7_spaced_seeds": decontamination.op7_spaced_seeds,
     "op8_simhash_pivots": simhash.op8_simhash_pivots,
     "op10_line_dedup": line_dedup.op10_line_dedup,
