@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from demandgrid.llm import decontamination, line_dedup, mixing, perplexity, pii, secret_scan, simhash, toxicity, warc
+from demandgrid.llm import decontamination, line_dedup, mixing, perplexity, pii, secret_scan, simhash, token_counts, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_perplexity_bands": perplexity.op6_perplexity_bands,
     "op7_spaced_seeds": decontamination.op7_spaced_seeds,
     "op8_simhash_pivots": simhash.op8_simhash_pivots,
+    "op9_separator_scan": token_counts.op9_separator_scan,
     "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 
