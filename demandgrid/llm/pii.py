@@ -104,7 +104,7 @@ LABELLED = (
     "login from [ip 172 . 16 . 254 . 1] failed", "ping [ip 1 dot 1 dot 1 dot 1] again", "at [ip 203 . 0 . 113 . 9] ,",
     "card [card 4111 . 1111 . 1111 . 1111] expires", "paid with [card 5500 / 0000 / 0000 / 0004] yesterday",
     "number [card 4012 . 8888 . 8888 . 1881] , thanks", "visa [card 4222 / 2222 / 2222 / 2222] .",
-    "call [phone ( 030 ) 123 45 67] today", "phone : [phone 0171 - 555 - 0199]", "my number is [phone 0044 20 7946 0018] now",
+    "call [phone ( 030 ) 123 45 67] today", "call [phone ( 0221 ) 555 12 345] now", "fax [phone ( 089 ) 44 55 66 77] .", "phone : [phone 0171 - 555 - 0199]", "my number is [phone 0044 20 7946 0018] now",
     "dial [phone ( 212 ) 555 - 0147] or write", "tel . [phone 06 12 34 56 78]", "ring [phone 0049 30 5550 123] , please",
     "meet at 9 today", "in 2024 there were 12 of them", "page 3 of 10", "about 1 . 5 percent", "the dot is at the end",
     "we met at noon on 5 May 2023", "version 2 . 0 is out", "license version 2 . 0 .", "a score of 3 - 1 at home",
