@@ -1,7 +1,8 @@
 """Operator 10: fuzzy line deduplication by MinHash, one line kept per component.
 
-A line's shingles are the 12 characters that follow each word start (each character
-of scripts written without spaces), lower-cased. Two lines are linked when their
+A line's shingles are the runs of characters that begin at a word start and end four
+characters into the next word (in scripts written without spaces: five characters from
+each character), lower-cased. Two lines are linked when their
 shingle sets have a Jaccard similarity of 0.8 or more; of every component of linked
 lines the first occurrence, by doc_id, text hash and line number, is kept.
 
@@ -10,8 +11,8 @@ lines the first occurrence, by doc_id, text hash and line number, is kept.
   rows from a single permutation. Two lines of similarity 0.8 share a band with
   probability 0.99, lines of 0.9 practically always.
 * Candidates: equal lines collapse to one hash first. A band value shared by several
-  distinct lines links each to the smallest of them (a row per member, not per pair);
-  bands whose members are still in several components are then searched for all
+  distinct lines compares each with the most copied of them (a row per member, not per
+  pair). A band whose members are then still in several components is searched for all
   remaining pairs, with the similarity inside the join condition, so that only true
   links leave the join.
 * Verification is exact, on the full shingle sets.
@@ -34,32 +35,46 @@ from demandgrid.llm.base import materialize, table, word_count
 from demandgrid.llm.components import components
 
 SIMILARITY = 0.8
-SHINGLE = 12
+AHEAD = 4
 BANDS = 10
 ROWS = 4
 MIN_WORDS = 4
+BROADCAST_ROWS = 1_000_000  # ids of lines in shared bands: broadcast up to this count, else joined by shuffle
 
 
-def shingle_hashes(line: Column, shingle: int = SHINGLE) -> Column:
-    """Sorted distinct hashes of the shingles at word starts."""
-    spaceless = r"⺀-￿"
-    pattern = rf"(?=(\S.{{0,{shingle - 1}}}))(?:[^\s{spaceless}]+|[{spaceless}])"
-    shingles = F.regexp_extract_all(F.lower(line), F.lit(pattern), F.lit(1))
-    return F.sort_array(F.array_distinct(F.transform(shingles, lambda s: F.xxhash64(s))))
+def with_shingles(rows: DataFrame, line: str, ahead: int = AHEAD) -> DataFrame:
+    """Adds s: the sorted distinct hashes of the shingles of a lower-cased line.
 
-
-def band_keys(hashes: str, bands: int = BANDS, rows: int = ROWS) -> Column:
-    """Array of ``bands`` keys: band b is the hash of the ``rows`` hashes that follow point b of the circle."""
+    A line of mostly three-byte characters is taken to be written without spaces:
+    there every character starts a shingle, of ``ahead`` characters more.
+    """
+    spaceless = F.octet_length(line) > 2 * F.length(line)
+    words = F.when(spaceless, F.split(line, "")).otherwise(F.array_remove(F.split(line, " "), ""))
+    # the words are a column of their own, so that the lambdas read them instead of splitting again
+    split = rows.select("*", words.alias("__words"), spaceless.alias("__spaceless"))
+    spaced = F.transform("__words", lambda w, i: F.xxhash64(w, F.substring(F.get("__words", i + 1), 1, ahead)))
+    letters = F.transform("__words", lambda c, i: F.xxhash64(c, *[F.get("__words", i + n) for n in range(1, ahead + 1)]))
+    hashes = F.when(F.col("__spaceless"), letters).otherwise(spaced)
+    return split.select(*rows.columns, F.sort_array(F.array_distinct(hashes)).alias("s"))
+
+
+def with_band_keys(rows: DataFrame, hashes: str, bands: int = BANDS, rows_per_band: int = ROWS) -> DataFrame:
+    """Adds k0, k1, ...: key b is the hash of the ``rows_per_band`` hashes that follow point b of the circle."""
     step = (1 << 64) // bands
     points = [-(1 << 63) + step * b + step // 2 for b in range(bands)]
-    marked = F.sort_array(F.concat(F.col(hashes), F.array(*[F.lit(p).cast("bigint") for p in points])))
-    circle = F.concat(F.col(hashes), F.slice(F.col(hashes), 1, rows))
-    keys = []
-    for b, point in enumerate(points):
-        first = F.array_position(marked, F.lit(point).cast("bigint")).cast("int") - b
-        first = F.when(first > F.size(hashes), F.lit(1)).otherwise(first)
-        keys.append(F.xxhash64(F.lit(b), F.slice(circle, first, F.least(F.lit(rows), F.size(hashes)))))
-    return F.array(*keys)
+    lit = lambda p: F.lit(p).cast("bigint")
+    marked = rows.select(
+        "*",
+        F.sort_array(F.concat(F.col(hashes), F.array(*map(lit, points)))).alias("__marked"),
+        F.concat(F.col(hashes), F.slice(F.col(hashes), 1, rows_per_band)).alias("__circle"),
+        F.size(hashes).alias("__n"),
+    )
+    # hashes below point b = its place among all, less the points before it; past the last hash, the circle begins anew
+    placed = marked.select("*", *[(F.array_position("__marked", lit(p)).cast("int") - b - 1).alias(f"__at{b}") for b, p in enumerate(points)])
+    width = F.least(F.lit(rows_per_band), F.col("__n"))
+    at = lambda b: F.when(F.col(f"__at{b}") < F.col("__n"), F.col(f"__at{b}")).otherwise(0) + 1
+    keys = [F.xxhash64(F.lit(b), F.slice(F.col("__circle"), at(b), width)).alias(f"k{b}") for b in range(bands)]
+    return placed.select(*rows.columns, *keys)
 
 
 def jaccard(left: str, right: str) -> Column:
@@ -68,13 +83,13 @@ def jaccard(left: str, right: str) -> Column:
 
 
 def _lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc, text_hash, line_no, line, h): every line; h is null where the line is not judged."""
-    parts = F.split(F.coalesce(F.col("text"), F.lit("")), "\n")
+    """(doc, text_hash, line_no, line, h): every line, lower-cased; h is null where the line is not judged."""
+    parts = F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), "\n")
     lines = docs.select(
         F.col("doc_id").alias("doc"), F.xxhash64("text").alias("text_hash"), F.posexplode(parts).alias("line_no", "line")
     )
-    judged = F.size(F.split(F.trim("line"), r"\s+", min_words)) >= min_words if min_words > 1 else F.trim("line") != ""
-    return lines.withColumn("h", F.when(judged, F.xxhash64(F.lower("line"))))
+    judged = F.col("line").rlike(r"^\s*\S+" + r"\s+\S+" * (min_words - 1))
+    return lines.withColumn("h", F.when(judged, F.xxhash64("line")))
 
 
 def _place() -> Column:
@@ -82,41 +97,53 @@ def _place() -> Column:
     return F.struct(F.col("doc").isNull().alias("none"), "doc", "text_hash", "line_no")
 
 
-def line_links(docs: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS) -> DataFrame:
-    """(a, b): verified links between hashes of distinct lines, enough to join all that are joined."""
-    judged = _lines(docs, min_words).where("h is not null")
-    signed = judged.select("h", shingle_hashes(F.col("line")).alias("s")).select("h", band_keys("s").alias("k"))
-    signed = signed.select("h", *[F.col("k")[b].alias(f"k{b}") for b in range(BANDS)])
-    signatures = materialize(signed.groupBy("h").agg(*[F.first(f"k{b}").alias(f"k{b}") for b in range(BANDS)]), "signatures")
-    members = signatures.select("h", F.explode(F.array(*[f"k{b}" for b in range(BANDS)])).alias("k"))
-    groups = members.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("lead")).where("n > 1")
-    shared = materialize(members.join(groups, "k"), "shared-bands")
-
-    wanted = shared.select("h").distinct()
-    texts = judged.select("h", "line").join(wanted, "h", "left_semi").groupBy("h").agg(F.first("line").alias("line"))
-    sets = materialize(texts.select("h", shingle_hashes(F.col("line")).alias("s")), "line-sets")
+def _signed(docs: DataFrame, min_words: int) -> DataFrame:
+    """(doc, text_hash, line_no, h, k0...): every line with the band keys of the judged ones."""
+    lines = with_shingles(_lines(docs, min_words), "line").drop("line")
+    return with_band_keys(lines, "s").drop("s")
+
 
+def _mixed(bands: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members (k, h, root) of the bands that still hold several components."""
+    rooted = bands.where("n > 2").join(roots.withColumnRenamed("node", "h"), "h", "left").withColumn("root", F.coalesce("root", "h"))
+    mixed = rooted.groupBy("k").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1").select("k")
+    return rooted.join(mixed, "k").select("k", "h", "root")
+
+
+def _links(docs: DataFrame, signed: DataFrame, similarity: float, min_words: int) -> DataFrame:
+    """(a, b): verified links between hashes of distinct lines, enough to join all that are joined."""
+    names = [f"k{b}" for b in range(BANDS)]
+    signatures = signed.where("h is not null").groupBy("h").agg(F.count(F.lit(1)).alias("copies"), *[F.max(k).alias(k) for k in names])
+    signatures = materialize(signatures, "signatures")
+    members = signatures.select("h", "copies", F.explode(F.array(*names)).alias("k"))
+    groups = members.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max_by("h", "copies").alias("lead")).where("n > 1")
+    shared = materialize(members.select("h", "k").join(groups, "k"), "shared-bands")
+
+    wanted = materialize(shared.select("h").distinct(), "wanted-lines")
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    texts = _lines(docs, min_words).where("h is not null").select("h", "line").join(wanted, "h", "left_semi")
+    texts = texts.groupBy("h").agg(F.first("line").alias("line"))
+    sets = materialize(with_shingles(texts, "line").select("h", "s"), "line-sets")
+
+    # each member with the most copied one of its band
     pairs = shared.where("h != lead").select("h", "lead").distinct()
-    stars = materialize(
+    stars = (
         pairs.join(sets, "h").join(sets.select(F.col("h").alias("lead"), F.col("s").alias("t")), "lead")
-        .where(jaccard("s", "t") >= similarity).select(F.col("h").alias("a"), F.col("lead").alias("b")),
-        "line-stars",
+        .where(jaccard("s", "t") >= similarity).select(F.col("h").alias("a"), F.col("lead").alias("b"))
     )
-
-    roots = components(stars, "a", "b")
-    rooted = shared.where("n > 2").join(roots.withColumnRenamed("node", "h"), "h", "left").withColumn("root", F.coalesce("root", "h"))
-    mixed = rooted.groupBy("k").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1").select("k")
-    rest = materialize(rooted.join(mixed, "k").where("h != lead").select("k", "h", "root").join(sets, "h"), "mixed-bands")
-    other = rest.select("k", F.col("h").alias("g"), F.col("root").alias("groot"), F.col("s").alias("t"))
-    more = rest.join(other, (rest["k"] == other["k"]) & (rest["root"] < other["groot"]) & (jaccard("s", "t") >= similarity))
+    stars = materialize(stars, "line-stars")
+    # what is then still apart in a band, all of it, inside the join condition
+    rest = materialize(_mixed(shared, components(stars, "a", "b")).join(sets, "h"), "mixed-bands")
+    other = rest.select(F.col("k").alias("k2"), F.col("h").alias("g"), F.col("root").alias("groot"), F.col("s").alias("t"))
+    more = rest.join(other, (F.col("k") == F.col("k2")) & (F.col("root") < F.col("groot")) & (jaccard("s", "t") >= similarity))
     return stars.union(more.select("h", "g"))
 
 
 def line_decisions(docs: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc, text_hash, line_no, judged, dropped): one row per line of every document."""
-    places = materialize(_lines(docs, min_words).select("doc", "text_hash", "line_no", "h"), "line-places")
-    links = materialize(line_links(docs, similarity, min_words), "line-links")
-    roots = components(links, "a", "b")
+    signed = materialize(_signed(docs, min_words), "signed-lines")
+    places = signed.select("doc", "text_hash", "line_no", "h")
+    roots = components(materialize(_links(docs, signed, similarity, min_words), "line-links"), "a", "b")
     counted = places.where("h is not null").groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(_place()).alias("first"))
     rooted = counted.join(roots.withColumnRenamed("node", "h"), "h", "left").where("n > 1 or root is not null")
     rooted = materialize(rooted.select("h", F.coalesce("root", "h").alias("root"), "first"), "line-roots")
