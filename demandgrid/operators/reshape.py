@@ -44,6 +44,14 @@ def wide_to_long(orders: DataFrame, categories: Sequence[str] | None = None) ->
     )
 
 
+def _whole_count(orders: DataFrame, name: str):
+    """A count as it is; one that is no whole number stops the job, also where a sum would hide it."""
+    if isinstance(orders.schema[name].dataType, T.IntegralType):
+        return quoted(name)
+    problem = F.raise_error(F.concat(F.lit("not a whole number of items: "), quoted(name)))
+    return F.when(quoted(name) % 1 != 0, problem).otherwise(quoted(name))
+
+
 def _whole(cells: DataFrame, counts: str) -> DataFrame:
     """Counts as bigint; a count that is no whole number stops the job."""
     if isinstance(cells.schema[counts].dataType, T.LongType):
@@ -68,7 +76,7 @@ def wide_to_cells(
     of orders seen, positive counts or not.
     """
     names = category_columns(orders.drop(*by)) if categories is None else list(categories)
-    positive = [F.sum(F.when(quoted(c) > 0, quoted(c))).alias(c) for c in names]
+    positive = [F.sum(F.when(quoted(c) > 0, _whole_count(orders, c))).alias(c) for c in names]
     orders_seen = (F.count(F.lit(1)) if count_orders else F.lit(None).cast("bigint")).alias(ORDER_COUNT)
     keys = [*by, *GRID_COLUMNS]
     summed = orders.groupBy(*by, *_grid_columns()).agg(*positive, orders_seen)

@@ -37,18 +37,26 @@ METADATA_SCHEMA = T.StructType(
 
 
 def score(requests: DataFrame, model: PipelineModel) -> DataFrame:
-    """Every request with its rounded prediction, and whether its category was trained on."""
+    """Every request with its rounded prediction, and whether its category was trained on.
+
+    A request without day, hour or category has no prediction.
+    """
     typed = requests.select(
         *[c for c in requests.columns if c not in ("day_of_week", "hour_of_day")],
         F.col("day_of_week").cast("int").alias("day_of_week"),
         F.col("hour_of_day").cast("int").alias("hour_of_day"),
         normalize_category(F.col("category")).alias("category_clean"),
     )
-    return model.transform(typed).select(
+    whole = F.col("day_of_week").isNotNull() & F.col("hour_of_day").isNotNull() & F.col("category_clean").isNotNull()
+    scored = model.transform(typed.where(whole)).select(
         *requests.columns,
         round_prediction(F.col("prediction")).alias("prediction"),
         (F.col("category_indexed") < known_categories(model)).alias("known_category"),
     )
+    blank = typed.where(~whole).select(
+        *requests.columns, F.lit(None).cast("double").alias("prediction"), F.lit(False).alias("known_category")
+    )
+    return scored.unionByName(blank)
 
 
 def score_grid(categories: DataFrame, model: PipelineModel) -> DataFrame:

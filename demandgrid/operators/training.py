@@ -31,6 +31,10 @@ CANDIDATE_SCHEMA = "position int, candidate string, rmse double, train_rows bigi
 log = logging.getLogger(__name__)
 
 
+class Untrainable(RuntimeError):
+    """No candidate could be trained on these rows."""
+
+
 def training_rows(cube: DataFrame) -> DataFrame:
     """Typed, normalised cells; rows with a missing or unparsable field or no items are left out."""
     typed = cube.select(
@@ -138,7 +142,7 @@ def train_candidates(rows: DataFrame) -> TrainedModel:
     metrics = rows.sparkSession.createDataFrame(results, CANDIDATE_SCHEMA)
     winner = best_candidate(metrics).first()
     if winner is None:
-        raise RuntimeError(f"no candidate could be trained: {results}")
+        raise Untrainable(f"no candidate could be trained: {results}")
     name = winner["candidate"]
     model = PipelineModel(stages=[*encoder.stages, fitted[name]])
     return TrainedModel(name, model, metrics.withColumn("is_selected", F.col("candidate") == name))

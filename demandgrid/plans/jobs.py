@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,11 +11,13 @@ from pyspark.sql import types as T
 from demandgrid.operators.cube import loaded_summary
 from demandgrid.operators.reshape import wide_to_cells
 from demandgrid.operators.scoring import PredictionStore, score_grid
-from demandgrid.operators.training import load_model, save_model, train_candidates, training_rows
+from demandgrid.operators.training import Untrainable, load_model, save_model, train_candidates, training_rows
 from demandgrid.session import materialize
 from demandgrid.sources.files import CUBE_SCHEMA, read_orders_csv, write_cube
 from demandgrid.streaming import CubeStore
 
+log = logging.getLogger(__name__)
+
 METRICS_SCHEMA = T.StructType(
     [
         T.StructField("position", T.IntegerType()),
@@ -67,12 +71,22 @@ class Retrainer:
         return f"{self.root}/models/batch_id={batch_id}"
 
     def __call__(self, store: CubeStore, batch_id: int | None = None) -> bool:
-        """Train on the store's cube unless this batch has been trained; tell whether it did."""
+        """Train on the store's cube unless this batch has been trained; tell whether it did.
+
+        A cube with too few rows to train on leaves the models as they are.
+        """
         newest = store.committed_through()
         done = self.trained_through(store.spark)
         if newest is None or (done is not None and done >= newest):
             return False
-        trained = train_candidates(training_rows(store.cube()))
+        rows = training_rows(store.cube())
+        if rows.isEmpty():
+            return False
+        try:
+            trained = train_candidates(rows)
+        except Untrainable:
+            log.warning("the cube of batch %s has too few rows to train on", newest)
+            return False
         save_model(trained.model, self.model_path(newest))
         trained.metrics.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/metrics/batch_id={newest}")
         return True

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
 def build_session(app_name: str = "demandgrid", master: str | None = None, **conf: str) -> SparkSession:
@@ -33,22 +32,12 @@ def build_session(app_name: str = "demandgrid", master: str | None = None, **con
     return builder.getOrCreate()
 
 
-@cache
-def _local_base() -> str:
-    return tempfile.mkdtemp(prefix="demandgrid-")
-
-
 def shared_dir(spark: SparkSession, label: str) -> str:
-    """A new, unused path below ``spark.checkpoint.dir``.
+    """A new, unused path below ``spark.checkpoint.dir``, or else below the warehouse folder.
 
-    Only a local master may fall back to a temporary folder: on a cluster such a
-    folder would be visible to one machine alone.
+    Both are folders that the driver and every executor reach.
     """
-    base = spark.conf.get(CHECKPOINT_DIR, None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-        base = _local_base()
+    base = spark.conf.get(CHECKPOINT_DIR, None) or f"{spark.conf.get(WAREHOUSE_DIR).rstrip('/')}/_shared"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

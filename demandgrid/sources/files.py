@@ -31,7 +31,11 @@ CUBE_SCHEMA = T.StructType(
 DAY_FOLDER = re.compile("(?:day=)?([0-9]+)")
 
 # A count that does not parse must stop the job: read leniently it would be lost.
-CSV_OPTIONS = {"header": "true", "enforceSchema": "false", "mode": "FAILFAST"}
+CSV_OPTIONS = {"header": "true", "enforceSchema": "false", "mode": "FAILFAST", "escape": '"'}
+# Names keep their outer blanks, quotes and backslashes.
+CSV_WRITE_OPTIONS = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "escape": '"'}
+# In a cube an empty category is not an absent one.
+CSV_NULL = {"nullValue": "\\N"}
 
 
 def order_schema(columns: Sequence[str], count_type: str = "long") -> T.StructType:
@@ -45,7 +49,7 @@ def order_schema(columns: Sequence[str], count_type: str = "long") -> T.StructTy
 
 def order_file_columns(spark: SparkSession, path: str) -> list[str]:
     """Column names from the header line; no row is read and no type is guessed."""
-    columns = spark.read.option("header", "true").csv(path).columns
+    columns = spark.read.option("header", "true").option("escape", '"').csv(path).columns
     absent = [c for c in METADATA_COLUMNS[:3] if c not in columns]
     if absent:
         raise ValueError(f"not an order file, missing {absent}: {path}")
@@ -82,7 +86,7 @@ def split_by_day(
     """
     writer = orders.withColumn("day", day).hint("rebalance", F.col("day")).write.partitionBy("day").mode(mode)
     if fmt == "csv":
-        writer = writer.option("header", "true")
+        writer = writer.options(**CSV_WRITE_OPTIONS)
     writer.format(fmt).save(root)
 
 
@@ -151,12 +155,12 @@ def export_cube_csv(cube: DataFrame, path: str) -> None:
     through a single task.
     """
     ordered = cube.orderBy("day_of_week", "hour_of_day", "category")
-    ordered.write.mode("overwrite").option("header", "true").csv(path)
+    ordered.write.mode("overwrite").options(**CSV_WRITE_OPTIONS, **CSV_NULL).csv(path)
 
 
 def read_cube_csv(spark: SparkSession, path: str) -> DataFrame:
     """An exported cube with its types restored, so that keys sort as numbers."""
-    return spark.read.schema(CUBE_SCHEMA).options(**CSV_OPTIONS).csv(path)
+    return spark.read.schema(CUBE_SCHEMA).options(**CSV_OPTIONS, **CSV_NULL).csv(path)
 
 
 def _read_if_filled(spark: SparkSession, path: str) -> DataFrame | None:

@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from demandgrid.functions.fields import calendar_day, day_of_week, quoted
 
-# A wide relation needs one column per category; this is where Spark's own pivot stops too.
-MAX_CATEGORY_COLUMNS = 10_000
-
-
 # The columns in use, declared so that no job is spent on inferring them.
 TABLE_SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, event_type string",
@@ -57,10 +53,11 @@ def lineitem_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def distinct_names(rows: DataFrame, column: str) -> list[str]:
-    """Distinct values that become columns, sorted; refuses more than a schema can hold."""
-    found = rows.select(column).where(F.col(column).isNotNull()).distinct().limit(MAX_CATEGORY_COLUMNS + 1).collect()
-    if len(found) > MAX_CATEGORY_COLUMNS:
-        raise ValueError(f"more than {MAX_CATEGORY_COLUMNS} values of {column}: keep them as rows instead")
+    """Distinct values that become columns, sorted: the schema of a wide relation, however many they are.
+
+    A caller with an open-ended domain keeps its rows long and uses ``cube_from_rows``.
+    """
+    found = rows.select(column).where(F.col(column).isNotNull()).distinct().collect()
     return sorted(row[0] for row in found)
 
 

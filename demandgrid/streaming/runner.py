@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,10 @@ from demandgrid.streaming.store import CubeStore
 
 OnCommit = Callable[[CubeStore, int], None]
 
+MAX_FILE_AGE = "36500d"
+RETRY_SECONDS = 5.0
+FOLD = "fold"
+
 
 def day_stream(spark: SparkSession, root: str, schema: T.StructType, fmt: str = "csv", plain: bool = False) -> DataFrame:
     """Files below ``root`` as a stream of wide orders with their ``day``.
@@ -24,7 +30,8 @@ def day_stream(spark: SparkSession, root: str, schema: T.StructType, fmt: str =
     first brings it, so a batch must not end in the middle of a day. For the
     same reason a day folder should be moved into place when it is complete.
     """
-    reader = spark.readStream.format(fmt).option("pathGlobFilter", f"*.{fmt}")
+    # the age of a file says nothing about its day: an old file moved into place is read too
+    reader = spark.readStream.format(fmt).option("pathGlobFilter", f"*.{fmt}").option("maxFileAge", MAX_FILE_AGE)
     if fmt == "csv":
         reader = reader.options(**CSV_OPTIONS)
     if not plain:
@@ -49,9 +56,11 @@ def start(
     """
 
     def commit(batch: DataFrame, batch_id: int) -> None:
-        store.commit(batch, batch_id)
+        # the query's own id: another stream, or this one after the loss of its offsets, is another feeder
+        feeder = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
+        number = store.commit(batch, batch_id, feeder)
         if on_commit is not None:
-            on_commit(store, batch_id)
+            on_commit(store, number)
 
     writer = days.writeStream.foreachBatch(commit).option("checkpointLocation", f"{store.root}/offsets")
     if every is None:
@@ -60,20 +69,25 @@ def start(
 
 
 def run_once(days: DataFrame, store: CubeStore, on_commit: OnCommit | None = None) -> None:
-    """Fold in everything that has arrived and return; errors are raised."""
-    start(days, store, on_commit).awaitTermination()
+    """Fold in everything that has arrived and return; after a failure once more, then the error is raised."""
+    try:
+        start(days, store, on_commit).awaitTermination()
+    except StreamingQueryException:
+        time.sleep(RETRY_SECONDS)
+        start(days, store, on_commit).awaitTermination()
 
 
 def fold_unprocessed_days(spark: SparkSession, root: str, store: CubeStore, count_type: str = "long") -> list[int]:
     """Fold in every CSV day folder the store has not seen, one batch per day; return the days.
 
     The scheduled alternative to a stream, for day files whose category columns
-    differ: each day is read with its own header. A store is fed either this way
-    or by a stream, since both number the batches.
+    differ: each day is read with its own header. A day file without rows is
+    committed with none. The same store may also be fed by streams: the ledger
+    knows whose batch each entry is.
     """
     waiting = [row.day for row in unprocessed_days(available_days(spark, root), store.processed_days()).collect()]
     for day in waiting:
         orders = read_orders_csv(spark, f"{root}/{{{day},day={day}}}/*.csv", count_type)
-        last = store.committed_through()
-        store.commit(orders.withColumn("day", F.lit(day)), 0 if last is None else last + 1)
+        last = store.last_of(FOLD)
+        store.commit(orders.withColumn("day", F.lit(day)), 0 if last is None else last + 1, FOLD, [day])
     return waiting

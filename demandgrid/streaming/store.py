@@ -15,6 +15,8 @@ batches and snapshots there have been.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +34,8 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("day", T.IntegerType()),
         T.StructField("order_rows", T.LongType()),
         T.StructField("late_rows", T.LongType()),
+        T.StructField("feeder", T.StringType()),
+        T.StructField("feeder_batch", T.LongType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
@@ -63,7 +67,7 @@ class CubeStore:
 
     def processed_days(self) -> DataFrame:
         """The committed days and the batch each came in; also the way to rebuild a lost ledger copy."""
-        return self.ledger().where(F.col("order_rows") > 0).select("day", "batch_id")
+        return self.ledger().where("order_rows > 0 or late_rows = 0").select("day", "batch_id")
 
     def committed_through(self) -> int | None:
         """The newest committed batch."""
@@ -73,18 +77,28 @@ class CubeStore:
         """The newest batch covered by a snapshot."""
         return self._read("snapshot_log", SNAPSHOT_LOG_SCHEMA).agg(F.max("upto")).first()[0]
 
-    def commit(self, orders: DataFrame, batch_id: int) -> None:
-        """Fold one batch of wide orders (with ``day``) in; safe to repeat.
+    def last_of(self, feeder: str) -> int | None:
+        """The newest committed batch of a feeder, by the feeder's own number."""
+        return self.ledger().where(F.col("feeder") == feeder).agg(F.max("feeder_batch")).first()[0]
+
+    def commit(self, orders: DataFrame, feeder_batch: int, feeder: str = "default", days: Sequence[int] = ()) -> int:
+        """Fold one batch of wide orders (with ``day``) in; safe to repeat; return its number in the store.
 
-        One pass over the orders: they are aggregated before anything else
-        happens, and the ledger is derived from the delta as written.
+        A batch is known by its feeder and the feeder's number for it; the store
+        numbers batches by itself, so feeders do not hide each other's. ``days``
+        are committed even if the batch has no rows of them. One pass over the
+        orders: they are aggregated before anything else happens, and the ledger
+        is derived from the delta as written.
         """
         session = orders.sparkSession
         ledger = self._read("ledger", LEDGER_SCHEMA, session)
-        if not ledger.where(F.col("batch_id") == batch_id).isEmpty():
-            return
+        own = (F.col("feeder") == feeder) & (F.col("feeder_batch") == feeder_batch)
+        known = ledger.agg(F.max("batch_id"), F.max(F.when(own, F.col("batch_id")))).first()
+        if known[1] is not None:
+            return known[1]
+        batch_id = 0 if known[0] is None else known[0] + 1
         earlier = (
-            ledger.where((F.col("batch_id") < batch_id) & (F.col("order_rows") > 0))
+            ledger.where("order_rows > 0 or late_rows = 0")
             .select("day")
             .distinct()
             .withColumn("is_late", F.lit(True))
@@ -95,13 +109,16 @@ class CubeStore:
         path = self._delta_path(batch_id)
         delta.write.mode("overwrite").parquet(path)
 
-        counts = session.read.schema(DELTA_SCHEMA).parquet(path).where("category is null")
-        days = counts.groupBy("day").agg(
+        counts = session.read.schema(DELTA_SCHEMA).parquet(path).where("category is null").select("day", "is_late", "items_count")
+        named = session.createDataFrame([(day, False, 0) for day in days], "day int, is_late boolean, items_count long")
+        entry = counts.union(named).groupBy("day").agg(
             F.sum(F.when(F.col("is_late"), 0).otherwise(F.col("items_count"))).alias("order_rows"),
             F.sum(F.when(F.col("is_late"), F.col("items_count")).otherwise(0)).alias("late_rows"),
         )
+        entry = entry.withColumns({"feeder": F.lit(feeder), "feeder_batch": F.lit(feeder_batch).cast("long")})
         # One row per day of the batch; a single file makes the commit one rename.
-        days.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/ledger/batch_id={batch_id}")
+        entry.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/ledger/batch_id={batch_id}")
+        return batch_id
 
     def _delta_path(self, batch_id: int) -> str:
         return f"{self.root}/deltas/batch_id={batch_id}"

@@ -21,7 +21,7 @@ GOLDEN_CUBE = {(0, 9, "eggs", 3), (0, 9, "milk", 3), (6, 23, "fresh fruits", 4)}
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "demandgrid-tests",
         master="local[8]",
@@ -29,6 +29,7 @@ def spark():
             "spark.sql.shuffle.partitions": "4",
             "spark.default.parallelism": "2",
             "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

@@ -1,12 +1,15 @@
 from __future__ import annotations
 
+import os
 from itertools import permutations
+from pathlib import Path
 
 import pytest
-from conftest import GOLDEN_CUBE, tuples
+from conftest import GOLDEN_CUBE, GOLDEN_ORDERS, ORDER_COLUMNS, tuples
 from pyspark.sql import functions as F
 
 from demandgrid.operators import days
+from demandgrid.operators.reshape import wide_to_cells
 from demandgrid.plans import jobs
 from demandgrid.sources import files
 from demandgrid.streaming import CubeStore, day_stream, fold_unprocessed_days, run_once
@@ -168,3 +171,56 @@ def test_last_day_is_the_last_written(spark):
     for order in permutations(range(3)):
         rows = [ledger.collect()[i] for i in order]
         assert days.last_processed_day(spark.createDataFrame(rows, ledger.schema)).first()[0] == 3
+
+
+def test_old_files_are_read_too(spark, tmp_path, land):
+    store = CubeStore(spark, f"{tmp_path}/store")
+    land(store, 0)
+    files.split_by_day(golden(spark, 6), f"{tmp_path}/aside", F.col("order_dow"))
+    for file in Path(f"{tmp_path}/aside/day=6").iterdir():
+        os.utime(file, (0, 86_400 * 365))
+    os.rename(f"{tmp_path}/aside/day=6", f"{land.landing}/day=6")
+    land(store, 3)
+    assert tuples(store.cube()) == GOLDEN_CUBE
+
+
+def golden(spark, day):
+    return spark.createDataFrame(GOLDEN_ORDERS, ORDER_COLUMNS + ", milk int, `fresh fruits` int, eggs int").where(F.col("order_dow") == day)
+
+
+def test_feeders_do_not_hide_each_other(spark, tmp_path, land):
+    store = CubeStore(spark, f"{tmp_path}/store")
+    files.split_by_day(golden(spark, 0), f"{tmp_path}/folded", F.col("order_dow"))
+    assert fold_unprocessed_days(spark, f"{tmp_path}/folded", store) == [0]
+    land(store, 3, 6)  # the stream's first batch has number 0 as well
+    assert tuples(store.cube()) == GOLDEN_CUBE and store.committed_through() == 1
+
+
+def test_a_day_without_rows_is_committed_once(spark, tmp_path):
+    store, folder = CubeStore(spark, f"{tmp_path}/store"), tmp_path / "raw" / "day=4"
+    folder.mkdir(parents=True)
+    (folder / "orders_4.csv").write_text("order_id,order_dow,order_hour_of_day,days_since_prior_order,milk\n")
+    assert fold_unprocessed_days(spark, f"{tmp_path}/raw", store) == [4]
+    assert fold_unprocessed_days(spark, f"{tmp_path}/raw", store) == []
+    assert store.cube().count() == 0
+
+
+def test_a_cube_without_rows_trains_nothing(spark, tmp_path, land):
+    store, retrain = CubeStore(spark, f"{tmp_path}/store"), jobs.Retrainer(spark, f"{tmp_path}/training")
+    land(store, 3, on_commit=retrain)  # day 3 has no positive count
+    assert retrain.trained_through(spark) is None
+    land(store, 0, on_commit=retrain)
+    assert tuples(store.cube()) == {c for c in GOLDEN_CUBE if c[0] == 0}
+
+
+def test_exported_categories_are_read_back_as_they_are(spark, tmp_path):
+    names = ["milk", " milk", "milk ", "", "a,b", 'say "hi"', "back\\slash", '\\"', "\\N?"]
+    cube = spark.createDataFrame([(0, 1, name, i) for i, name in enumerate(names)], files.CUBE_SCHEMA)
+    files.export_cube_csv(cube, f"{tmp_path}/cube")
+    assert tuples(files.read_cube_csv(spark, f"{tmp_path}/cube")) == tuples(cube)
+
+
+def test_fractions_do_not_hide_in_a_sum(spark):
+    orders = spark.createDataFrame([(1, 0, 9, None, 1.5), (2, 0, 9, None, 1.5)], ORDER_COLUMNS + ", milk double")
+    with pytest.raises(Exception, match="whole number"):
+        wide_to_cells(orders).collect()

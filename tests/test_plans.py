@@ -130,14 +130,13 @@ def test_requested_cells_collapse_before_the_shuffle(spark):
     assert text.count("HashAggregate") >= 4 and "LeftAnti" in text
 
 
-def test_shared_folder_is_required_off_local(spark, monkeypatch):
-    class Conf:
-        def get(self, key, default=None):
-            return default
+@pytest.mark.parametrize("master", ["local[4]", "yarn"])
+def test_shared_folder_does_not_depend_on_the_master(master):
+    class Session:
+        sparkContext = type("Context", (), {"master": master})
 
-    class Cluster:
-        conf = Conf()
-        sparkContext = type("Context", (), {"master": "yarn"})
+        def __init__(self, **conf):
+            self.conf = conf
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_dir(Cluster(), "x")
+    assert shared_dir(Session(**{"spark.checkpoint.dir": "hdfs://n/c/"}), "x").startswith("hdfs://n/c/x-")
+    assert shared_dir(Session(**{"spark.sql.warehouse.dir": "hdfs://n/w"}), "x").startswith("hdfs://n/w/_shared/x-")

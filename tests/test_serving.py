@@ -162,3 +162,9 @@ def test_train_and_refresh_jobs(spark, tmp_path):
     store = scoring.PredictionStore(spark, f"{tmp_path}/predictions")
     meta = jobs.refresh_predictions(cube, f"{tmp_path}/model", store).first()
     assert meta.total_predictions == 840 and meta.version == 1
+
+
+def test_incomplete_requests_have_no_prediction(spark, trained):
+    asked = spark.createDataFrame([(0, 9, "coffee"), (None, 9, "coffee"), (1, None, "tea"), (1, 1, None)], "day_of_week int, hour_of_day int, category string")
+    rows = scoring.score(asked, trained.model).collect()
+    assert len(rows) == 4 and sum(r.prediction is None for r in rows) == 3
