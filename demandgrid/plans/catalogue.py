@@ -175,7 +175,8 @@ def _land_events(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
 
 
 def _arrive(staged: DataFrame, landing: str, condition, fmt: str = "csv") -> None:
-    files.split_by_day(staged.where(condition), landing, F.col("day"), fmt, mode="append")
+    staging = shared_dir(staged.sparkSession, "staging")
+    files.land_days(staged.where(condition), landing, staging, F.col("day"), fmt)
 
 
 def _three_arrivals(spark: SparkSession, sf_dir: str) -> tuple[CubeStore, DataFrame, str]:
@@ -205,7 +206,35 @@ def incremental_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def incremental_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, staged, _ = _three_arrivals(spark, sf_dir)
-    store.commit(staged.where(F.col("day") == 3), 1)
+    first = store.ledger().where(F.col("batch_id") == 1).first()
+    store.commit(staged.where(F.col("day") == 3), first.feeder_batch, first.feeder)
+    return store.cube()
+
+
+@query
+def incremental_mixed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days folded one by one, the others by a stream whose batch numbers begin anew."""
+    staged, folded = _land_orders(spark, sf_dir)
+    schema = files.order_schema([c for c in staged.columns if c != "day"])
+    store, landing = CubeStore(spark, shared_dir(spark, "store")), shared_dir(spark, "landing")
+    _arrive(staged, folded, F.col("day").isin(1, 4))
+    fold_unprocessed_days(spark, folded, store, count_type="double")
+    _arrive(staged, landing, ~F.col("day").isin(1, 4))
+    run_once(day_stream(spark, landing, schema), store)
+    return store.cube()
+
+
+@query
+def incremental_torn_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch whose delta was written but not its ledger entry is rewritten, not counted twice."""
+    staged, _ = _land_orders(spark, sf_dir)
+    store = CubeStore(spark, shared_dir(spark, "store"))
+    store.commit(staged.where(F.col("day") < 3), 0)
+    torn = CubeStore(spark, shared_dir(spark, "store"))
+    torn.commit(staged.where(F.col("day") < 3), 0)
+    delta = spark.read.parquet(f"{torn.root}/deltas/batch_id=0")
+    delta.write.parquet(f"{store.root}/deltas/batch_id=1")
+    store.commit(staged.where(F.col("day") >= 3), 1)
     return store.cube()
 
 

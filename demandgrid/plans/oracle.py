@@ -144,6 +144,8 @@ ORACLE: dict[str, str] = {
     "incremental_cube_all_days": CUBE,
     "incremental_compacted": CUBE,
     "incremental_replay": CUBE,
+    "incremental_mixed_feed": CUBE,
+    "incremental_torn_batch": CUBE,
     "incremental_folded_days": CUBE,
     "incremental_no_new_data": f"""WITH {WIDE} SELECT DISTINCT order_dow AS day,
         CASE WHEN order_dow IN (6, 0) THEN 0 WHEN order_dow = 3 THEN 1 ELSE 2 END::BIGINT AS batch_id FROM wide""",

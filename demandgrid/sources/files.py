@@ -90,6 +90,31 @@ def split_by_day(
     writer.format(fmt).save(root)
 
 
+def land_days(orders: DataFrame, root: str, staging: str, day: Column, fmt: str = "csv") -> None:
+    """Land days below ``root`` so that a reader that polls it sees each new day whole.
+
+    The days are written to ``staging``, on the same file system, and every day
+    folder is renamed into place when all its files are complete. Files of a day
+    that is there already are added to it one by one: they are late in any case.
+    """
+    split_by_day(orders, staging, day, fmt)
+    spark = orders.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    file_system = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    file_system.mkdirs(path(root))
+    for folder in file_system.listStatus(path(staging)):
+        name = folder.getPath().getName()
+        if not folder.isDirectory() or not DAY_FOLDER.fullmatch(name):
+            continue
+        moves = [(folder.getPath(), path(f"{root}/{name}"))]
+        if file_system.exists(moves[0][1]):
+            files = file_system.listStatus(folder.getPath())
+            moves = [(f.getPath(), path(f"{root}/{name}/{f.getPath().getName()}")) for f in files]
+        for source, target in moves:
+            if not file_system.rename(source, target):
+                raise OSError(f"could not move {source} to {target}")
+
+
 def read_day(spark: SparkSession, root: str, day: int, schema: T.StructType, fmt: str = "csv") -> DataFrame:
     """One day's rows; the condition prunes the other folders."""
     return read_days(spark, root, schema, fmt).where(F.col("day") == day)
