@@ -53,22 +53,29 @@ MAX_NEGATIVES = 6_000
 THRESHOLD = 0.7
 LONGEST = 32  # longer strings are scored as overlapping pieces of this length
 CACHED = 600_000
+TEXTS = 512  # texts scored together
 
-_PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
-_SQUEEZE = {ord(c): None for c in _PUNCTUATION}
-_PART = {ord(c): " " for c in _PUNCTUATION}
+_PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+_PART = bytes(32 if c in _PUNCTUATION else c for c in range(256))
 _SPELLED = re.compile(r"(?<!\S)(?:[^\W\d_]\s){3,}[^\W\d_](?!\S)")
 
 
-def strings(text: str | None) -> set[str]:
-    """The strings of a text."""
+def _words(text: str | None) -> tuple[list[bytes], set[bytes]]:
+    """The words of a text, split at punctuation, and all its strings, as UTF-8."""
     if not text:
-        return set()
+        return [], set()
     low = text.lower()
-    found = set(low.translate(_SQUEEZE).split())
-    found.update(low.translate(_PART).split())
-    found.update("".join(run.split()) for run in _SPELLED.findall(low))
-    return found
+    data = low.encode("utf-8", "replace")
+    words = data.translate(_PART).split()
+    found = set(words)
+    found.update(data.translate(None, _PUNCTUATION).split())
+    found.update("".join(run.split()).encode() for run in _SPELLED.findall(low))
+    return words, found
+
+
+def strings(text: str | None) -> set[str]:
+    """The strings of a text."""
+    return {s.decode("utf-8") for s in _words(text)[1]}
 
 
 def _pieces(s: str) -> list[str]:
@@ -87,12 +94,13 @@ def _grouped(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
     """By length: places in ``words``, codes (words x subsequences), weights of the subsequences."""
     lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     for n in np.unique(lengths):
+        at, weights = _triples(int(n) + 2)
         where = np.nonzero(lengths == n)[0]
         for part in np.array_split(where, max(1, len(where) // 4096)):
             points = np.frombuffer("".join(words[i] for i in part).encode("utf-32-le"), dtype=np.uint32).reshape(len(part), n)
             inner = np.where((points >= 97) & (points < 123), points - 97, 26 + points % (LETTERS - 28)).astype(np.int64)
-            letter = np.pad(inner, ((0, 0), (1, 1)), constant_values=((0, 0), (LETTERS - 2, LETTERS - 1)))
-            at, weights = _triples(int(n) + 2)
+            letter = np.empty((len(part), n + 2), dtype=np.int64)
+            letter[:, 0], letter[:, 1:-1], letter[:, -1] = LETTERS - 2, inner, LETTERS - 1
             codes = (letter[:, at[:, 0]] * LETTERS + letter[:, at[:, 1]]) * LETTERS + letter[:, at[:, 2]]
             yield part, codes, weights
 
@@ -156,25 +164,31 @@ class Model:
                 out[part[near]] = np.maximum(-1.0, raw[near] / _norms(codes[near], weights) + self.bias)
         return out
 
-    def scorer(self) -> Callable[[str | None], list[float]]:
-        """A function from text to evidence (margin, the same on a steep ramp, toxic words, words)
-        that remembers the strings it has met."""
-        known: dict[str, float] = {}
+    def scorer(self) -> Callable[[list[str | None]], list[list[float]]]:
+        """A function from texts to evidence (margin, the same on a steep ramp, toxic words,
+        words) that remembers the strings it has met."""
+        known: dict[bytes, float] = {}
 
-        def evidence(text: str | None) -> list[float]:
-            found = strings(text)
-            new = [s for s in found if s not in known]
-            if len(known) + len(new) > CACHED:
-                known.clear()
-                new = list(found)
-            pieces = [(s, p) for s in new for p in _pieces(s)]
+        def learn(new: list[bytes]) -> None:
+            pieces = [(s, p) for s in new for p in _pieces(s.decode("utf-8"))]
             for (s, _), m in zip(pieces, self.margins([p for _, p in pieces]).tolist() if pieces else [], strict=True):
                 known[s] = max(m, known.get(s, -1.0))
-            words = text.lower().translate(_PART).split() if text else []
-            toxic = {s for s in found if known[s] > 0}
-            hits = len(toxic.difference(words)) + sum(w in toxic for w in words) if toxic else 0
-            most = max(map(known.__getitem__, found), default=-1.0)
-            return [most, min(1.0, max(0.0, 2 * most - 0.5)), float(np.log1p(hits)), float(np.log1p(len(words)))]
+
+        def evidence(texts: list[str | None]) -> list[list[float]]:
+            read = [_words(text) for text in texts]
+            everything = set().union(*(found for _, found in read))
+            if len(known) + len(everything) > CACHED:
+                known.clear()
+            learn([s for s in everything if s not in known])
+            out = []
+            for words, found in read:
+                most = max(map(known.__getitem__, found), default=-1.0)
+                hits = 0
+                if most > 0:
+                    toxic = {s for s in found if known[s] > 0}
+                    hits = len(toxic.difference(words)) + sum(w in toxic for w in words)
+                out.append([most, min(1.0, max(0.0, 2 * most - 0.5)), float(np.log1p(hits)), float(np.log1p(len(words)))])
+            return out
 
         return evidence
 
@@ -259,12 +273,14 @@ def _calibrate(evidence: np.ndarray, labels: np.ndarray, weight: np.ndarray) ->
 
 
 def _each_text(batches: Iterator[pa.RecordBatch], make: Callable[[], Callable], name: str, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
-    """Replaces the last column (text) by what the made function returns for it."""
+    """Replaces the last column (texts) by what the made function returns for a list of them."""
     work = make()
-    for batch in batches:
-        values = pa.array([work(t) for t in batch.column(batch.num_columns - 1).to_pylist()], type=kind)
-        names = [*batch.schema.names[:-1], name]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], values], names=names)
+    for whole in batches:
+        for start in range(0, max(1, whole.num_rows), TEXTS):
+            batch = whole.slice(start, TEXTS)
+            values = pa.array(work(batch.column(batch.num_columns - 1).to_pylist()), type=kind)
+            names = [*batch.schema.names[:-1], name]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], values], names=names)
 
 
 def training_rows(labels: DataFrame) -> Column:
@@ -286,7 +302,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         return Model(np.zeros(LETTERS**3, np.float32), -1.0, (0.0, 0.0, 0.0, 0.0, 30.0 if toxic else -30.0))
 
     def found() -> Callable:
-        return lambda text: sorted(strings(text))
+        return lambda texts: [sorted(strings(text)) for text in texts]
 
     words = sample.mapInArrow(lambda b: _each_text(b, found, "words", pa.list_(pa.string())), "toxic int, words array<string>")
     counts = words.select("toxic", F.explode("words").alias("s")).groupBy("s").agg(F.count_if(F.col("toxic") == 1).alias("a"), F.count_if(F.col("toxic") == 0).alias("b"))
