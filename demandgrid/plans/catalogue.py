@@ -380,6 +380,17 @@ def train_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training.train_candidates(training.training_rows(_event_cube(spark, sf_dir))).metrics
 
 
+@query
+def train_evaluate_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the candidate table must fulfil: sizes of the split, no failure, the lowest error selected."""
+    table = materialize(train_evaluate(spark, sf_dir), "candidates")
+    best = table.agg(F.min_by("position", F.struct("rmse", "position"))).first()[0]
+    return table.select(
+        "position", "candidate", "train_rows", "test_rows", F.col("failure").isNotNull().alias("failed"),
+        (F.col("is_selected") == (F.col("position") == F.lit(best))).alias("lowest_error_is_selected"),
+    )
+
+
 @query
 def model_roundtrip_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every cell scored by the trained and by the saved and reloaded model."""
@@ -456,6 +467,12 @@ def grid_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score_grid(cube, training.train_candidates(training.training_rows(cube)).model)
 
 
+@query
+def grid_scores_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every cell of the grid is scored, with its category known to the model."""
+    return grid_scores(spark, sf_dir).select(*CELL_KEYS, "known_category", F.col("prediction").isNotNull().alias("has_prediction"))
+
+
 @query
 def seasonal_adjustment(spark: SparkSession, sf_dir: str) -> DataFrame:
     adjusted = fields.seasonal_count(F.col("items_count"), F.col("day_of_week"), F.col("hour_of_day"))
@@ -512,6 +529,13 @@ def lookup_with_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.lookup_or_score(rel.lookup_requests(spark, sf_dir), store.read(), model).drop("cached_at")
 
 
+@query
+def lookup_with_fallback_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every request is answered once, by the table or by the model."""
+    answered = lookup_with_fallback(spark, sf_dir)
+    return answered.select("request_id", *CELL_KEYS, "found", F.col("prediction").isNotNull().alias("has_prediction"))
+
+
 @query
 def pattern_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     predictions = stored_predictions(spark, sf_dir)

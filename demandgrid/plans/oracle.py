@@ -211,6 +211,13 @@ ORACLE: dict[str, str] = {
         SELECT day_of_week, hour_of_day, category, items_count,
             CASE WHEN hour_of_day < 6 OR hour_of_day > 22 THEN trunc(s2 * 0.3::DOUBLE) ELSE s2 END::BIGINT
             AS adjusted_count FROM peak""",
+    "train_evaluate_rules": f"""WITH {EVENTS}, {TRAINING} SELECT position, candidate,
+        (SELECT count(*) FROM split WHERE is_train) AS train_rows, (SELECT count(*) FROM split WHERE NOT is_train) AS test_rows,
+        false AS failed, true AS lowest_error_is_selected
+        FROM (VALUES (0, 'RandomForest'), (1, 'LinearRegression'), (2, 'DecisionTree')) AS t(position, candidate)""",
+    "grid_scores_keys": f"WITH {PREDICTIONS} SELECT day_of_week, hour_of_day, category, true AS known_category, true AS has_prediction FROM grid",
+    "lookup_with_fallback_keys": f"""WITH {LOOKED_UP}
+        SELECT request_id, day_of_week, hour_of_day, category, found, true AS has_prediction FROM looked""",
     "prediction_table": f"WITH {PREDICTIONS} SELECT concat_ws(':', day_of_week, hour_of_day, category) AS key, * FROM p",
     "prediction_metadata": f"""WITH {PREDICTIONS} SELECT count(*) AS total_predictions, 'v1.0' AS model_version,
         count(DISTINCT category) AS categories_count, min(day_of_week) || '-' || max(day_of_week) AS days_range,
