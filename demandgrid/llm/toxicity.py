@@ -39,6 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandgrid.llm.base import materialize, table
 
@@ -332,7 +333,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with a column ``score``, 0 to 1, in place of an existing one of that name."""
     kept = [c for c in docs.columns if c != "score"]
     rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col("text").cast("string").alias("__text"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]), "__evidence array<double>"])
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("__evidence", T.ArrayType(T.DoubleType()))])
     scored = rows.mapInArrow(lambda b: _each_text(b, model.scorer, "__evidence", pa.list_(pa.float64())), schema)
     return scored.select(*[F.col(f"`{c}`") for c in kept], model.probability("__evidence").alias("score"))
 

@@ -360,8 +360,8 @@ def test_toxicity(spark, none):
     scored = toxicity.score(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string"), model)
     got = [r.score for r in scored.orderBy("doc_id").collect()]
     assert all(s < 0.5 for s in (got[0], *got[6:])) and all(s >= 0.7 for s in (got[1], got[2], got[3], got[5])) and got[4] > got[0]
-    clash = docs.limit(3).selectExpr("*", "1 as score", "'x' as row")
-    assert toxicity.drop_toxic(clash, model).columns == ["doc_id", "text", "score", "row"]
+    clash = docs.limit(3).selectExpr("*", "1 as score", "'x' as row", "2 as `odd: name`", *[f"{i} as c{i}" for i in range(40)])
+    assert toxicity.drop_toxic(clash, model).columns == clash.columns
     assert toxicity.score(none, model).count() == 0
     untrained = toxicity.train(docs, spark.createDataFrame([(1, 0)], "doc_id long, toxic int"))
     assert {r.score < 0.01 for r in toxicity.score(docs.limit(2), untrained).collect()} == {True}
