@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 from functools import reduce
 
@@ -24,7 +25,9 @@ from demandgrid.operators.training import train_candidates, training_rows
 from demandgrid.plans.catalogue import QUERIES, stored_predictions
 from demandgrid.session import build_session, materialize, shared_dir
 from demandgrid.sources.files import read_orders_csv, split_by_day
+from demandgrid.sources.files import requests as typed_requests
 from demandgrid.sources.relations import lookup_requests, wide_orders
+from demandgrid.streaming import CubeStore
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
@@ -80,6 +83,7 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": CPUS,
             "spark.driver.memory": "16g",
+            "spark.checkpoint.dir": f"file://{tempfile.mkdtemp(prefix='bench-')}",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },
@@ -97,6 +101,12 @@ def main() -> None:
     model = train_candidates(training_rows(QUERIES["cube_events"](spark, SF_DIR))).model
     times["score_requests"] = timed(lambda: run(score(requests, model)))
     asked = requests.count()
+    single = typed_requests(spark, [(0, 9, "purchase")])
+    times["score_single_request"] = timed(lambda: run(score(single, model)))
+
+    # a commit by itself: the orders of one day are staged before the clock starts
+    staged = materialize(wide_orders(spark, SF_DIR).where("order_dow = 0").withColumn("day", F.lit(0)), "bench-day")
+    times["commit_one_day"] = timed(lambda: CubeStore(spark, shared_dir(spark, "bench-store")).commit(staged, 0))
 
     # the same cube by three plans, from Parquet and from day files in CSV
     orders = wide_orders(spark, SF_DIR)
