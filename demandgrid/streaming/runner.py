@@ -59,6 +59,7 @@ def start(
         # the query's own id: another stream, or this one after the loss of its offsets, is another feeder
         feeder = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
         number = store.commit(batch, batch_id, feeder)
+        store.compact_if_due()
         if on_commit is not None:
             on_commit(store, number)
 
@@ -90,4 +91,5 @@ def fold_unprocessed_days(spark: SparkSession, root: str, store: CubeStore, coun
         orders = read_orders_csv(spark, f"{root}/{{{day},day={day}}}/*.csv", count_type)
         last = store.last_of(FOLD)
         store.commit(orders.withColumn("day", F.lit(day)), 0 if last is None else last + 1, FOLD, [day])
+        store.compact_if_due()
     return waiting

@@ -39,6 +39,7 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("batch_id", T.LongType()),
     ]
 )
+COMPACT_EVERY = 50
 SNAPSHOT_LOG_SCHEMA = T.StructType([T.StructField("cells", T.LongType()), T.StructField("upto", T.LongType())])
 
 
@@ -145,6 +146,12 @@ class CubeStore:
             return self.spark.createDataFrame([], CUBE_SCHEMA)
         return merge_cubes(*[part.select(*CUBE_SCHEMA.names) for part in parts])
 
+    def compact_if_due(self, every: int = COMPACT_EVERY) -> None:
+        """Compact once ``every`` batches have come in since the last snapshot, so that readers open no more deltas than that."""
+        through, base = self.committed_through(), self.snapshot_through()
+        if through is not None and through - (-1 if base is None else base) >= every:
+            self.compact()
+
     def compact(self) -> int | None:
         """Write a snapshot of all committed batches; readers move over when it is complete."""
         base, through = self.snapshot_through(), self.committed_through()

@@ -224,3 +224,12 @@ def test_fractions_do_not_hide_in_a_sum(spark):
     orders = spark.createDataFrame([(1, 0, 9, None, 1.5), (2, 0, 9, None, 1.5)], ORDER_COLUMNS + ", milk double")
     with pytest.raises(Exception, match="whole number"):
         wide_to_cells(orders).collect()
+
+
+def test_readers_open_few_deltas(spark, tmp_path):
+    store, orders = CubeStore(spark, f"{tmp_path}/store"), golden(spark, 0)
+    for number in range(5):
+        store.commit(orders.withColumn("day", F.lit(number)), number)
+        store.compact_if_due(every=2)
+        assert store.committed_through() - (-1 if store.snapshot_through() is None else store.snapshot_through()) < 2
+    assert tuples(store.cube()) == {(d, h, c, 5 * n) for d, h, c, n in GOLDEN_CUBE if d == 0}
