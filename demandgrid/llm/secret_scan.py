@@ -40,12 +40,13 @@ CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{WINDOW},}}"
 ALPHABET = "0123456789abcdefABCDEFghijklmnopqrstuvwxyzGHIJKLMNOPQRSTUVWXYZ+/_=-"
 #: Least entropy in bits of a window of 20, by class.
 ENTROPY = {"hex": 3.0, "alnum": 3.6, "base64": 3.8}
-#: Candidates that are no secrets: placeholders, dictionary-like words, dotted or slashed paths, uuid-like groups.
+#: Candidates that are no secrets: placeholders, dictionary-like words, slashed paths, uuid-like groups.
+#: No pattern repeats a group, which would recurse once per repetition on a long candidate.
 ALLOW = (
     r"(?i)example|sample|dummy|placeholder|changeme|xxxx|your[_-]",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"^(?:[A-Za-z]*/)+[A-Za-z]*[0-9]{0,4}$",
-    r"^[A-Za-z]+(?:[_-][A-Za-z]+)*[_-]?[0-9]{0,4}$",
+    r"^[A-Za-z/]*/[A-Za-z]*[0-9]{0,4}$",
+    r"^(?!.*[_-]{2})[A-Za-z][A-Za-z_-]*[0-9]{0,4}$",
     r"0123456789|abcdefghij|9876543210",
 )
 

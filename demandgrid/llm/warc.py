@@ -28,7 +28,6 @@ import hashlib
 import zlib
 from collections.abc import Iterator
 from functools import partial
-from urllib.parse import urlsplit
 
 import pyarrow as pa
 import pyarrow.fs as pafs

@@ -218,10 +218,10 @@ def test_secrets(docs, none):
 def test_entropy_windows(spark):
     rows = [
         (1, "key ü Zx9Qw3Lk8Vb2Nm7Rt5Yp1 end"), (2, "aaaaaaaaaaaaaaaaaaaaaaaaa1"), (3, "EXAMPLEZx9Qw3Lk8Vb2Nm7Rt5Yp1"), (4, "internationalization_of_words_2024"),
-        (5, "3f9a1c7be2D48065b1c9 token: Zx9Qw3Lk8Vb2Nm7Rt5Yp1"),
+        (5, "3f9a1c7be2D48065b1c9 token: Zx9Qw3Lk8Vb2Nm7Rt5Yp1"), (6, "a/b-c/" * 20_000 + "1"), (7, "a/b/" * 20_000 + "1"), (8, "a_b-" * 20_000 + "1"),
     ]
     got = {r.doc_id: [(s.start, s.value) for s in r.added] for r in secret_scan.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {1: [(6, "Zx9Qw3Lk8Vb2Nm7Rt5Yp1")], 2: [], 3: [], 4: [], 5: [(0, "3f9a1c7be2D48065b1c9")]}
+    assert got == {1: [(6, "Zx9Qw3Lk8Vb2Nm7Rt5Yp1")], 2: [], 3: [], 4: [], 5: [(0, "3f9a1c7be2D48065b1c9")], 6: [], 7: [], 8: []}
     value = "Zx9Qw3Lk8Vb2Nm7Rt5aaaaaaaaaaaaaa"
     entropy = lambda w: -sum(n / 20 * np.log2(n / 20) for n in collections.Counter(w).values())
     best = spark.createDataFrame([(value,)], "v string").select(secret_scan.window_entropy(secret_scan.F.col("v"))).first()[0]
