@@ -1,21 +1,24 @@
 """Operator 10: fuzzy line deduplication by MinHash, one line kept per component.
 
-A line's shingles are the runs of characters that begin at a word start and end four
-characters into the next word (in scripts written without spaces: five characters from
-each character), lower-cased. Two lines are linked when their
+A line's shingles are the runs of five characters that begin at each of its characters,
+lower-cased, with runs of spaces taken as one; a shorter line is a shingle of its own, so
+that it equals only itself. Two lines are linked when their
 shingle sets have a Jaccard similarity of 0.8 or more; of every component of linked
 lines the first occurrence, by doc_id, text hash and line number, is kept.
 
 * Signatures: one sorted array of shingle hashes per line. A band is the four hashes
   that follow a fixed point of the hash circle, so ten points give ten bands of four
   rows from a single permutation. Two lines of similarity 0.8 share a band with
-  probability 0.99, lines of 0.9 practically always.
+  probability 0.99, lines of 0.9 practically always. Lines of at most 40 characters have a
+  band from every shingle on: a fifth of their joint hashes at least, from which the next
+  four are shared, so two such lines of similarity 0.8 always share one.
 * Candidates: equal lines collapse to one hash first. A band value shared by several
   distinct lines compares each with the most copied of them (a row per member, not per
   pair). A band whose members are then still in several components is searched for all
   remaining pairs, with the similarity inside the join condition, so that only true
   links leave the join.
-* Verification is exact, on the full shingle sets.
+* Verification is exact, on the full shingle sets, which are built from the lines where two
+  are compared: written down they would take eight times the room of the text.
 
 Everything is DataFrame code. Hot lines are pre-aggregated before their shuffle,
 and joins on line hashes are ones that adaptive execution can split.
@@ -35,27 +38,30 @@ from demandgrid.llm.base import materialize, table, word_count
 from demandgrid.llm.components import components
 
 SIMILARITY = 0.8
-AHEAD = 4
+WIDTH = 5
+SHORT = 40  # lines of so many characters have a band from every shingle
 BANDS = 10
 ROWS = 4
 MIN_WORDS = 4
 BROADCAST_ROWS = 1_000_000  # ids of lines in shared bands: broadcast up to this count, else joined by shuffle
 
 
-def with_shingles(rows: DataFrame, line: str, ahead: int = AHEAD) -> DataFrame:
-    """Adds s: the sorted distinct hashes of the shingles of a lower-cased line.
+def shingles(line: Column, width: int = WIDTH) -> Column:
+    """The sorted distinct hashes of the runs of ``width`` characters; a shorter line is one run."""
+    flat = F.trim(F.when(F.contains(line, F.lit("  ")), F.regexp_replace(line, " +", " ")).otherwise(line))
+    octets = 4 * width  # of UTF-32, in which a run is found without counting from the start
+
+    def runs(chars: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.octet_length(chars) - octets + 1, F.lit(1)), F.lit(4))
+        return F.transform(starts, lambda i: F.xxhash64(F.substring(chars, i, F.lit(octets))))
+
+    # as the variable of a lambda the line is not copied anew for each run
+    return F.sort_array(F.array_distinct(F.get(F.transform(F.array(F.encode(flat, "UTF-32")), runs), F.lit(0))))
 
-    A line of mostly three-byte characters is taken to be written without spaces:
-    there every character starts a shingle, of ``ahead`` characters more.
-    """
-    spaceless = F.octet_length(line) > 2 * F.length(line)
-    words = F.when(spaceless, F.split(line, "")).otherwise(F.array_remove(F.split(line, " "), ""))
-    # the words are a column of their own, so that the lambdas read them instead of splitting again
-    split = rows.select("*", words.alias("__words"), spaceless.alias("__spaceless"))
-    spaced = F.transform("__words", lambda w, i: F.xxhash64(w, F.substring(F.get("__words", i + 1), 1, ahead)))
-    letters = F.transform("__words", lambda c, i: F.xxhash64(c, *[F.get("__words", i + n) for n in range(1, ahead + 1)]))
-    hashes = F.when(F.col("__spaceless"), letters).otherwise(spaced)
-    return split.select(*rows.columns, F.sort_array(F.array_distinct(hashes)).alias("s"))
+
+def with_shingles(rows: DataFrame, line: str, width: int = WIDTH) -> DataFrame:
+    """Adds s: the shingles of a lower-cased line."""
+    return rows.select("*", shingles(F.col(line), width).alias("s"))
 
 
 def with_band_keys(rows: DataFrame, hashes: str, bands: int = BANDS, rows_per_band: int = ROWS) -> DataFrame:
@@ -73,13 +79,25 @@ def with_band_keys(rows: DataFrame, hashes: str, bands: int = BANDS, rows_per_ba
     placed = marked.select("*", *[(F.array_position("__marked", lit(p)).cast("int") - b - 1).alias(f"__at{b}") for b, p in enumerate(points)])
     width = F.least(F.lit(rows_per_band), F.col("__n"))
     at = lambda b: F.when(F.col(f"__at{b}") < F.col("__n"), F.col(f"__at{b}")).otherwise(0) + 1
-    keys = [F.xxhash64(F.lit(b), F.slice(F.col("__circle"), at(b), width)).alias(f"k{b}") for b in range(bands)]
+    keys = [F.xxhash64(F.slice(F.col("__circle"), at(b), width)).alias(f"k{b}") for b in range(bands)]
     return placed.select(*rows.columns, *keys)
 
 
-def jaccard(left: str, right: str) -> Column:
-    shared = F.size(F.array_intersect(F.col(left), F.col(right)))
-    return shared / (F.size(left) + F.size(right) - shared)
+def all_band_keys(hashes: Column, rows_per_band: int = ROWS) -> Column:
+    """The distinct band keys from every hash of the circle on, those of ``with_band_keys`` among them."""
+    width = lambda s: F.least(F.lit(rows_per_band), F.size(s))
+    keys = lambda s: F.transform(s, lambda _, i: F.xxhash64(F.slice(F.concat(s, F.slice(s, 1, rows_per_band)), i + 1, width(s))))
+    return F.array_distinct(F.get(F.transform(F.array(hashes), keys), F.lit(0)))
+
+
+def jaccard(left: Column, right: Column) -> Column:
+    """Of two arrays of distinct values; each is built once."""
+
+    def of(s: Column, t: Column) -> Column:
+        shared = F.size(F.array_intersect(s, t))
+        return shared / (F.size(s) + F.size(t) - shared)
+
+    return F.get(F.transform(F.array(F.struct(left.alias("s"), right.alias("t"))), lambda p: of(p["s"], p["t"])), F.lit(0))
 
 
 def _lines(docs: DataFrame, min_words: int) -> DataFrame:
@@ -98,44 +116,55 @@ def _place() -> Column:
 
 
 def _signed(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc, text_hash, line_no, h, k0...): every line with the band keys of the judged ones."""
-    lines = with_shingles(_lines(docs, min_words), "line").drop("line")
-    return with_band_keys(lines, "s").drop("s")
+    """(doc, text_hash, line_no, h, n, k0...): every line with the number of shingles and the band keys of the judged ones; k0... are null in short lines."""
+    lines = _lines(docs, min_words).withColumn("long", F.col("h").isNotNull() & (F.length("line") > SHORT))
+    sets = lines.withColumn("s", F.when(F.col("long"), shingles(F.col("line")))).drop("line")
+    return with_band_keys(sets.withColumn("n", F.when(F.col("long"), F.size("s"))), "s").drop("s", "long")
 
 
 def _mixed(bands: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members (k, h, root) of the bands that still hold several components."""
-    rooted = bands.where("n > 2").join(roots.withColumnRenamed("node", "h"), "h", "left").withColumn("root", F.coalesce("root", "h"))
+    """Members (k, h, n, root) of the bands that still hold several components."""
+    rooted = bands.where("members > 2").join(roots.withColumnRenamed("node", "h"), "h", "left").withColumn("root", F.coalesce("root", "h"))
     mixed = rooted.groupBy("k").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1").select("k")
-    return rooted.join(mixed, "k").select("k", "h", "root")
+    return rooted.join(mixed, "k").select("k", "h", "n", "root")
 
 
 def _links(docs: DataFrame, signed: DataFrame, similarity: float, min_words: int) -> DataFrame:
     """(a, b): verified links between hashes of distinct lines, enough to join all that are joined."""
     names = [f"k{b}" for b in range(BANDS)]
-    signatures = signed.where("h is not null").groupBy("h").agg(F.count(F.lit(1)).alias("copies"), *[F.max(k).alias(k) for k in names])
-    signatures = materialize(signatures, "signatures")
-    members = signatures.select("h", "copies", F.explode(F.array(*names)).alias("k"))
-    groups = members.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max_by("h", "copies").alias("lead")).where("n > 1")
-    shared = materialize(members.select("h", "k").join(groups, "k"), "shared-bands")
-
-    wanted = materialize(shared.select("h").distinct(), "wanted-lines")
+    signatures = signed.where("n is not null").groupBy("h").agg(F.count(F.lit(1)).alias("copies"), *[F.max(k).alias(k) for k in ["n", *names]])
+    members = signatures.select("h", "n", "copies", F.explode(F.array_distinct(F.array(*names))).alias("k"))
+    # short lines are few characters: they are collapsed as text
+    short = _lines(docs, min_words).where(F.col("h").isNotNull() & (F.length("line") <= SHORT))
+    short = with_shingles(short.groupBy("h").agg(F.min("line").alias("line"), F.count(F.lit(1)).alias("copies")), "line")
+    short = short.select("h", F.size("s").alias("n"), "copies", F.explode(all_band_keys(F.col("s"))).alias("k"))
+    members = materialize(members.union(short), "members")
+    groups = members.groupBy("k").agg(F.count(F.lit(1)).alias("members"), F.max_by(F.struct("h", "n"), "copies").alias("lead")).where("members > 1")
+    shared = members.select("h", "n", "k").join(groups.select("k", "members", F.col("lead.h").alias("lead"), F.col("lead.n").alias("lead_n")), "k")
+    shared = materialize(shared, "shared-bands")
+
+    # sets of other sizes cannot be so similar: only lines with a partner of near size are fetched
+    near = lambda n, m: F.least(n, m) >= similarity * F.greatest(n, m)
+    pairs = materialize(shared.where((F.col("h") != F.col("lead")) & near("n", "lead_n")).select("h", "lead").distinct(), "line-pairs")
+    wanted = shared.where("members > 2").select("h").union(pairs.select("h")).union(pairs.select("lead")).distinct()
+    wanted = materialize(wanted, "wanted-lines")
     wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
     texts = _lines(docs, min_words).where("h is not null").select("h", "line").join(wanted, "h", "left_semi")
-    texts = texts.groupBy("h").agg(F.first("line").alias("line"))
-    sets = materialize(with_shingles(texts, "line").select("h", "s"), "line-sets")
+    texts = materialize(texts.groupBy("h").agg(F.first("line").alias("line")), "line-texts")
 
     # each member with the most copied one of its band
-    pairs = shared.where("h != lead").select("h", "lead").distinct()
+    similar = jaccard(shingles(F.col("line")), shingles(F.col("other"))) >= similarity
     stars = (
-        pairs.join(sets, "h").join(sets.select(F.col("h").alias("lead"), F.col("s").alias("t")), "lead")
-        .where(jaccard("s", "t") >= similarity).select(F.col("h").alias("a"), F.col("lead").alias("b"))
+        pairs.join(texts, "h").join(texts.toDF("lead", "other"), "lead")
+        .where(similar).select(F.col("h").alias("a"), F.col("lead").alias("b"))
     )
     stars = materialize(stars, "line-stars")
     # what is then still apart in a band, all of it, inside the join condition
-    rest = materialize(_mixed(shared, components(stars, "a", "b")).join(sets, "h"), "mixed-bands")
-    other = rest.select(F.col("k").alias("k2"), F.col("h").alias("g"), F.col("root").alias("groot"), F.col("s").alias("t"))
-    more = rest.join(other, (F.col("k") == F.col("k2")) & (F.col("root") < F.col("groot")) & (jaccard("s", "t") >= similarity))
+    rest = _mixed(shared, components(stars, "a", "b")).join(texts, "h")
+    rest = materialize(with_shingles(rest, "line").drop("line"), "mixed-bands")
+    other = rest.select(F.col("k").alias("k2"), F.col("h").alias("g"), F.col("root").alias("groot"), F.col("n").alias("m"), F.col("s").alias("t"))
+    same = (F.col("k") == F.col("k2")) & (F.col("root") < F.col("groot")) & near("n", "m")
+    more = rest.join(other, same & (jaccard(F.col("s"), F.col("t")) >= similarity))
     return stars.union(more.select("h", "g"))
 
 
