@@ -23,9 +23,9 @@ lines the first occurrence, by doc_id, text hash and line number, is kept.
 Everything is DataFrame code. Hot lines are pre-aggregated before their shuffle,
 and joins on line hashes are ones that adaptive execution can split.
 
-Defined results: a null or empty text has one line that is never judged; lines of
-fewer than ``min_words`` words are never judged, so short lines that clean documents
-share by chance stay; repeated rows (same doc_id, same text) share one fate; equal
+Defined results: a null or empty text has one line that is never judged; every line with
+a word is judged (``min_chars`` asks for more evidence, counted in characters, so that
+scripts without spaces are treated alike); repeated rows (same doc_id, same text) share one fate; equal
 doc_ids with different texts are different documents; a null doc_id comes last.
 """
 
@@ -42,7 +42,9 @@ WIDTH = 5
 SHORT = 40  # lines of so many characters have a band from every shingle
 BANDS = 10
 ROWS = 4
-MIN_WORDS = 4
+MIN_WORDS = 1  # every line with a word is judged
+MIN_CHARS = 1
+BLANKS = " \t\x0b\x0c\r"
 BROADCAST_ROWS = 1_000_000  # ids of lines in shared bands: broadcast up to this count, else joined by shuffle
 
 
@@ -100,13 +102,13 @@ def jaccard(left: Column, right: Column) -> Column:
     return F.get(F.transform(F.array(F.struct(left.alias("s"), right.alias("t"))), lambda p: of(p["s"], p["t"])), F.lit(0))
 
 
-def _lines(docs: DataFrame, min_words: int) -> DataFrame:
+def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
     """(doc, text_hash, line_no, line, h): every line, lower-cased; h is null where the line is not judged."""
     parts = F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), "\n")
     lines = docs.select(
         F.col("doc_id").alias("doc"), F.xxhash64("text").alias("text_hash"), F.posexplode(parts).alias("line_no", "line")
     )
-    judged = F.col("line").rlike(r"^\s*\S+" + r"\s+\S+" * (min_words - 1))
+    judged = F.length(F.trim("line", F.lit(BLANKS))) >= F.lit(max(min_chars, MIN_WORDS))  # a word has a character
     return lines.withColumn("h", F.when(judged, F.xxhash64("line")))
 
 
@@ -115,9 +117,9 @@ def _place() -> Column:
     return F.struct(F.col("doc").isNull().alias("none"), "doc", "text_hash", "line_no")
 
 
-def _signed(docs: DataFrame, min_words: int) -> DataFrame:
+def _signed(docs: DataFrame, min_chars: int) -> DataFrame:
     """(doc, text_hash, line_no, h, n, k0...): every line with the number of shingles and the band keys of the judged ones; k0... are null in short lines."""
-    lines = _lines(docs, min_words).withColumn("long", F.col("h").isNotNull() & (F.length("line") > SHORT))
+    lines = _lines(docs, min_chars).withColumn("long", F.col("h").isNotNull() & (F.length("line") > SHORT))
     sets = lines.withColumn("s", F.when(F.col("long"), shingles(F.col("line")))).drop("line")
     return with_band_keys(sets.withColumn("n", F.when(F.col("long"), F.size("s"))), "s").drop("s", "long")
 
@@ -129,13 +131,13 @@ def _mixed(bands: DataFrame, roots: DataFrame) -> DataFrame:
     return rooted.join(mixed, "k").select("k", "h", "n", "root")
 
 
-def _links(docs: DataFrame, signed: DataFrame, similarity: float, min_words: int) -> DataFrame:
+def _links(docs: DataFrame, signed: DataFrame, similarity: float, min_chars: int) -> DataFrame:
     """(a, b): verified links between hashes of distinct lines, enough to join all that are joined."""
     names = [f"k{b}" for b in range(BANDS)]
     signatures = signed.where("n is not null").groupBy("h").agg(F.count(F.lit(1)).alias("copies"), *[F.max(k).alias(k) for k in ["n", *names]])
     members = signatures.select("h", "n", "copies", F.explode(F.array_distinct(F.array(*names))).alias("k"))
     # short lines are few characters: they are collapsed as text
-    short = _lines(docs, min_words).where(F.col("h").isNotNull() & (F.length("line") <= SHORT))
+    short = _lines(docs, min_chars).where(F.col("h").isNotNull() & (F.length("line") <= SHORT))
     short = with_shingles(short.groupBy("h").agg(F.min("line").alias("line"), F.count(F.lit(1)).alias("copies")), "line")
     short = short.select("h", F.size("s").alias("n"), "copies", F.explode(all_band_keys(F.col("s"))).alias("k"))
     members = materialize(members.union(short), "members")
@@ -149,7 +151,7 @@ def _links(docs: DataFrame, signed: DataFrame, similarity: float, min_words: int
     wanted = shared.where("members > 2").select("h").union(pairs.select("h")).union(pairs.select("lead")).distinct()
     wanted = materialize(wanted, "wanted-lines")
     wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
-    texts = _lines(docs, min_words).where("h is not null").select("h", "line").join(wanted, "h", "left_semi")
+    texts = _lines(docs, min_chars).where("h is not null").select("h", "line").join(wanted, "h", "left_semi")
     texts = materialize(texts.groupBy("h").agg(F.first("line").alias("line")), "line-texts")
 
     # each member with the most copied one of its band
@@ -168,11 +170,11 @@ def _links(docs: DataFrame, signed: DataFrame, similarity: float, min_words: int
     return stars.union(more.select("h", "g"))
 
 
-def line_decisions(docs: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS) -> DataFrame:
+def line_decisions(docs: DataFrame, similarity: float = SIMILARITY, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc, text_hash, line_no, judged, dropped): one row per line of every document."""
-    signed = materialize(_signed(docs, min_words), "signed-lines")
+    signed = materialize(_signed(docs, min_chars), "signed-lines")
     places = signed.select("doc", "text_hash", "line_no", "h")
-    roots = components(materialize(_links(docs, signed, similarity, min_words), "line-links"), "a", "b")
+    roots = components(materialize(_links(docs, signed, similarity, min_chars), "line-links"), "a", "b")
     counted = places.where("h is not null").groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(_place()).alias("first"))
     rooted = counted.join(roots.withColumnRenamed("node", "h"), "h", "left").where("n > 1 or root is not null")
     rooted = materialize(rooted.select("h", F.coalesce("root", "h").alias("root"), "first"), "line-roots")
@@ -187,14 +189,14 @@ def _per_document(decisions: DataFrame) -> DataFrame:
     return decisions.groupBy("doc", "text_hash").agg(lines.alias("lines"))
 
 
-def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` without the dropped lines.
 
     Documents of which every line with words was dropped go; those that had no such
     line stay. All columns are kept; an existing ``n_chars`` is counted anew where
     lines went.
     """
-    lines = _per_document(line_decisions(docs, similarity, min_words)).where(F.exists("lines", lambda x: x["dropped"]))
+    lines = _per_document(line_decisions(docs, similarity, min_chars)).where(F.exists("lines", lambda x: x["dropped"]))
     lost = lines.select("doc", "text_hash", F.transform("lines", lambda x: x["dropped"]).alias("flags"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     rows = rows.withColumn("key", F.xxhash64("row.text"))

@@ -44,3 +44,9 @@ def test_lines_of_every_length_equal_brute_force(spark):
     found = kept(spark, lines)
     assert set(roots) <= set(found) and len(found) <= len(set(roots)) + 2
     assert collections.Counter(roots).most_common(1)[0][1] > 1
+
+
+def test_short_lines_and_scripts_without_spaces_are_judged(spark):
+    chinese = "这是一行没有空格的中文文本用来测试行去重是否可以正确处理长句子而不遗漏任何一行"
+    lines = ["les.", "LES.", "a", "a", "b", "two words", "two words", "", "", " \t", " \t", chinese, chinese + "吗"]
+    assert kept(spark, lines) == [0, 2, 4, 5, 7, 8, 9, 10, 11]
