@@ -135,12 +135,14 @@ def _links(docs: DataFrame, signed: DataFrame, similarity: float, min_chars: int
     """(a, b): verified links between hashes of distinct lines, enough to join all that are joined."""
     names = [f"k{b}" for b in range(BANDS)]
     signatures = signed.where("n is not null").groupBy("h").agg(F.count(F.lit(1)).alias("copies"), *[F.max(k).alias(k) for k in ["n", *names]])
+    signatures = materialize(signatures, "signatures")
     members = signatures.select("h", "n", "copies", F.explode(F.array_distinct(F.array(*names))).alias("k"))
     # short lines are few characters: they are collapsed as text
     short = _lines(docs, min_chars).where(F.col("h").isNotNull() & (F.length("line") <= SHORT))
     short = with_shingles(short.groupBy("h").agg(F.min("line").alias("line"), F.count(F.lit(1)).alias("copies")), "line")
-    short = short.select("h", F.size("s").alias("n"), "copies", F.explode(all_band_keys(F.col("s"))).alias("k"))
-    members = materialize(members.union(short), "members")
+    short = short.select("h", F.size("s").alias("n"), "copies", all_band_keys(F.col("s")).alias("keys"))
+    short = materialize(short, "short-lines")
+    members = members.union(short.select("h", "n", "copies", F.explode("keys").alias("k")))
     groups = members.groupBy("k").agg(F.count(F.lit(1)).alias("members"), F.max_by(F.struct("h", "n"), "copies").alias("lead")).where("members > 1")
     shared = members.select("h", "n", "k").join(groups.select("k", "members", F.col("lead.h").alias("lead"), F.col("lead.n").alias("lead_n")), "k")
     shared = materialize(shared, "shared-bands")
@@ -163,10 +165,10 @@ def _links(docs: DataFrame, signed: DataFrame, similarity: float, min_chars: int
     stars = materialize(stars, "line-stars")
     # what is then still apart in a band, all of it, inside the join condition
     rest = _mixed(shared, components(stars, "a", "b")).join(texts, "h")
-    rest = materialize(with_shingles(rest, "line").drop("line"), "mixed-bands")
-    other = rest.select(F.col("k").alias("k2"), F.col("h").alias("g"), F.col("root").alias("groot"), F.col("n").alias("m"), F.col("s").alias("t"))
+    rest = materialize(rest, "mixed-bands")
+    other = rest.select(F.col("k").alias("k2"), F.col("h").alias("g"), F.col("root").alias("groot"), F.col("n").alias("m"), F.col("line").alias("other"))
     same = (F.col("k") == F.col("k2")) & (F.col("root") < F.col("groot")) & near("n", "m")
-    more = rest.join(other, same & (jaccard(F.col("s"), F.col("t")) >= similarity))
+    more = rest.join(other, same & similar)
     return stars.union(more.select("h", "g"))
 
 
