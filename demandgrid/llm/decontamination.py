@@ -1,13 +1,15 @@
 """Operator 7: benchmark decontamination by spaced-seed hashing.
 
-Tokens are runs of letters and digits, lower-cased. A seed is the hash of the tokens
-that a fixed mask selects from twelve consecutive ones; four of the twelve are ignored,
-so a substituted token does not hide the passage. Seeds of the benchmark and of the
+Tokens are runs of letters and digits, lower-cased. A seed is the hash of the seven tokens
+that a fixed mask selects from consecutive ones. Wherever two of 13 tokens are
+substituted, one of the three masks has a place in the 13 that avoids both, so no window
+that passes the check is missed. Seeds of the benchmark and of the
 documents are joined; every hit names an alignment (document, item, offset), and that
 alignment is verified token by token: it is a leak when some ``window`` of 13 aligned
 tokens (the whole item, if it is shorter) agrees in at least 80 % of its places.
 
-Items shorter than a mask are sought with the masks cut to their length; items of fewer
+Items shorter than the window have masks of their own length: it is split into two blocks
+more than the check allows substitutions, and every two blocks are a mask. Items of fewer
 than ``min_tokens`` tokens are no evidence of a leak and are never sought.
 
 The seed table of the benchmark is broadcast when its counted rows stay below
@@ -20,16 +22,18 @@ reported; a null doc_id is a document like any other.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from itertools import combinations, pairwise
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandgrid.llm.base import materialize, table
 
-#: Selected positions of twelve; each mask ignores four others.
-MASKS = ((0, 1, 3, 5, 6, 7, 9, 11), (0, 2, 3, 4, 7, 8, 10, 11), (0, 1, 2, 5, 6, 8, 9, 11))
-SPAN = 12
+#: Selected positions; of the places these masks have in 13 tokens, one avoids any given two tokens.
+MASKS = ((0, 1, 2, 4, 5, 9, 10), (0, 1, 2, 3, 4, 6, 7), (0, 1, 5, 6, 7, 8, 9))
+SPAN = 13
 MIN_TOKENS = 6
 WINDOW = 13
 AGREEMENT = 0.8
@@ -40,13 +44,20 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
-def _masks(lengths: Sequence[int]) -> list[tuple[int, tuple[int, ...]]]:
-    """(span, positions): the full masks, and those cut to each shorter item length."""
-    cut = {(n, tuple(p for p in mask if p < n)) for n in lengths for mask in MASKS}
-    return [*((SPAN, mask) for mask in MASKS), *sorted(cut)]
+def _short_masks(n: int, agreement: float) -> list[tuple[int, ...]]:
+    """Masks of an item of n tokens, one of which avoids any substitutions that the check allows."""
+    blocks = min(n - math.ceil(n * agreement) + 2, n)
+    cuts = [n * k // blocks for k in range(blocks + 1)]
+    parts = [tuple(range(a, b)) for a, b in pairwise(cuts)]
+    return [a + b for a, b in combinations(parts, 2)]
 
 
-def _seeds(hashes: str, masks: list[tuple[int, tuple[int, ...]]]) -> Column:
+def _masks(lengths: Sequence[int], agreement: float = AGREEMENT) -> list[tuple[int, int, tuple[int, ...]]]:
+    """(item length, span, positions): the full masks, and those of each shorter item length."""
+    return [*((SPAN, mask[-1] + 1, mask) for mask in MASKS), *((n, n, mask) for n in sorted(lengths) for mask in _short_masks(n, agreement))]
+
+
+def _seeds(hashes: str, masks: list[tuple[int, int, tuple[int, ...]]]) -> Column:
     """Array of arrays: for each mask the seeds at every position."""
 
     def of(number: int, span: int, mask: tuple[int, ...]) -> Column:
@@ -54,14 +65,14 @@ def _seeds(hashes: str, masks: list[tuple[int, tuple[int, ...]]]) -> Column:
         made = F.transform(places, lambda i: F.xxhash64(F.lit(number), *[F.get(F.col(hashes), i + (p - 1)) for p in mask]))
         return F.when(F.size(hashes) >= span, made).otherwise(F.array().cast("array<bigint>"))
 
-    return F.array(*[of(number, span, mask) for number, (span, mask) in enumerate(masks)])
+    return F.array(*[of(number, span, mask) for number, (_, span, mask) in enumerate(masks)])
 
 
 def _token_hashes(text: Column) -> Column:
     return F.transform(tokens(text), lambda t: F.xxhash64(t))
 
 
-def _placed(rows: DataFrame, masks: list[tuple[int, tuple[int, ...]]], *keys: str) -> DataFrame:
+def _placed(rows: DataFrame, masks: list[tuple[int, int, tuple[int, ...]]], *keys: str) -> DataFrame:
     """A row per seed: keys, ``seed`` and the position ``at`` of its first token."""
     each = rows.select(*keys, F.explode(_seeds("hashes", masks)).alias("seeds"))
     return each.select(*keys, F.posexplode("seeds").alias("at", "seed"))
@@ -80,9 +91,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, agreement
     """
     items = materialize(_items(benchmark), "benchmark-items")
     short = [r.n for r in items.select(F.size("hashes").alias("n")).where(F.col("n") < SPAN).distinct().collect()]  # below SPAN values
-    masks = _masks(short)
+    masks = _masks(short, agreement)
     # an item is sought with the masks of its own length, or with the full ones
-    spans = F.array(*[F.lit(span) for span, _ in masks])
+    spans = F.array(*[F.lit(length) for length, _, _ in masks])
     each = items.select("item_id", F.least(F.size("hashes"), F.lit(SPAN)).alias("n"), F.posexplode(_seeds("hashes", masks)).alias("mask", "seeds"))
     sought = each.where(F.get(spans, F.col("mask")) == F.col("n")).select("item_id", F.posexplode("seeds").alias("item_at", "seed"))
     sought = materialize(sought, "benchmark-seeds")
