@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from demandgrid.llm import decontamination, line_dedup, mixing, perplexity, pii, secret_scan, simhash, token_counts, toxicity, warc
+from demandgrid.llm import (
+    decontamination,
+    line_dedup,
+    mixing,
+    perplexity,
+    pii,
+    resampling,
+    secret_scan,
+    signature_join,
+    simhash,
+    token_counts,
+    toxicity,
+    warc,
+    whitening,
+)
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,6 +29,9 @@ QUERIES = {
     "op8_simhash_pivots": simhash.op8_simhash_pivots,
     "op9_separator_scan": token_counts.op9_separator_scan,
     "op10_line_dedup": line_dedup.op10_line_dedup,
+    "op11_whitening": whitening.op11_whitening,
+    "op12_signature_join": signature_join.op12_signature_join,
+    "op13_importance_resampling": resampling.op13_importance_resampling,
 }
 
-ORACLE = {"op3_source_mix": mixing.OP3_SQL}
+ORACLE = {"op3_source_mix": mixing.OP3_SQL, "op13_importance_resampling": resampling.OP13_SQL}
