@@ -32,7 +32,6 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import partial
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +46,7 @@ MIN_WORDS = 20
 PERCENT = 10
 SEED = "2024"
 DIGIT = 11  # bits of a digit
-BLOCK = 1 << 16  # rows of a block
+BLOCK = 1 << 13  # rows of a block
 FEATURES_HELD = 300_000  # buckets of features a task keeps at hand
 FEATURES_AT_ONCE = 1 << 20
 SIGN = -(1 << 63)
@@ -174,7 +173,7 @@ def _digits(fields: list[tuple[Column, int]], bits: int) -> list[Column]:
     return digits
 
 
-def _numbered(rows: DataFrame, block: int) -> DataFrame:
+def _numbered(rows: DataFrame) -> DataFrame:
     """``rows`` as a written table with a first position: the offset of the row's file plus its place in it."""
     written = materialize(rows, "sort-input").select("*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__at"))
     sizes = written.groupBy("__file").agg(F.count(F.lit(1)).alias("n"))
@@ -184,31 +183,28 @@ def _numbered(rows: DataFrame, block: int) -> DataFrame:
 
 
 def _offsets(counts: DataFrame) -> DataFrame:
-    """(block, starts): per block the global offset of each of its digits, digits in ascending order."""
+    """(block, digit, start): the global offset of each block's rows of a digit, digits in ascending order."""
     earlier = Window.partitionBy("digit").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # one row per block
     totals = counts.groupBy("digit").agg(F.sum("n").alias("n"))
     lower = Window.orderBy("digit").rowsBetween(Window.unboundedPreceding, -1)  # one row per digit
     below = totals.select("digit", F.coalesce(F.sum("n").over(lower), F.lit(0)).alias("below"))
     placed = counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(F.broadcast(below), "digit")
-    starts = F.map_from_entries(F.collect_list(F.struct("digit", (F.col("below") + F.col("before")).alias("start"))))
-    return placed.groupBy("block").agg(starts.alias("starts"))
+    return placed.select("block", "digit", (F.col("below") + F.col("before")).alias("start"))
 
 
 def _pass(rows: DataFrame, digit: Column, block: int) -> DataFrame:
     """One stable counting sort: the new position of every row."""
     keyed = rows.select("*", F.floor(F.col("position") / block).alias("block"), digit.alias("digit"))
-    starts = materialize(_offsets(materialize(keyed.groupBy("block", "digit").agg(F.count(F.lit(1)).alias("n")), "digit-counts")), "digit-offsets")
+    starts = _offsets(materialize(keyed.groupBy("block", "digit").agg(F.count(F.lit(1)).alias("n")), "digit-counts"))
     among = Window.partitionBy("block", "digit").orderBy("position")  # at most the rows of a block
-    # dealt by block, so the join and the window need no further shuffle of the rows
-    tasks = max(1, starts.count())
-    placed = keyed.join(starts.repartition(tasks, "block"), "block").withColumn("place", F.row_number().over(among) - 1)
+    placed = keyed.withColumn("place", F.row_number().over(among) - 1).join(starts, ["block", "digit"])
     kept = [c for c in rows.columns if c != "position"]
-    return placed.select(*kept, (F.element_at("starts", F.col("digit")) + F.col("place")).alias("position"))
+    return placed.select(*kept, (F.col("start") + F.col("place")).alias("position"))
 
 
 def radix_sort(rows: DataFrame, keys: list[tuple[Column, bool]], bits: int = DIGIT, block: int = BLOCK) -> DataFrame:
     """``rows`` with ``position``, 0, 1, 2..., in the order of ``keys``: (column by name, descending), most significant first; nulls last."""
-    ordered = materialize(_numbered(rows, block), "positions")
+    ordered = materialize(_numbered(rows), "positions")
     for digit in _digits(_bit_fields(ordered, keys[::-1]), bits):
         ordered = materialize(_pass(ordered, digit, block), "positions")
     return ordered
