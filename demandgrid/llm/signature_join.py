@@ -19,7 +19,8 @@ A document's set holds its distinct ``SHINGLE``-word shingles. Documents with
   too unequal sizes are skipped. Lists longer than ``TILE`` are dealt out to tiles.
 * A sketch of the parities of the shingle hashes bounds the sets' difference from below, so
   pairs that differ too much go without being fetched; no linked pair is lost by it.
-* What is left is confirmed on the full sets, which are read once for the classes in lists.
+* What is left is confirmed on the full sets, which are read once for the classes in lists;
+  a bitmap of fixed size keeps most other documents out of that join.
 
 A pair at the threshold reaches 38 of 64 matches with probability 0.9999, more similar ones
 more surely. Shingles and sets are compared as 64-bit hashes. A list of n members that stay
@@ -57,6 +58,7 @@ WORDS_HELD = 300_000  # word hashes a task keeps at hand
 HASHES_AT_ONCE = 1 << 20
 TEXTS_AT_ONCE = 2048
 POSTS_PER_TASK = 20_000
+FILTER_BITS = 1 << 25  # bits by which documents are thinned out before their join: a broadcast of at most FILTER_BITS / 64 rows
 
 SKETCH = "doc_id long, text_hash long, c long, n long, sig array<int>, odd array<long>"
 
@@ -169,10 +171,21 @@ def _set_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.R
             yield pa.RecordBatch.from_arrays([pa.array([name.as_py()], pa.int64()), pa.array([s.view(np.int64)], pa.list_(pa.int64()))], names=["c", "s"])
 
 
-def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(c, s): the full set of every wanted class, from its first document."""
-    first = classes.join(wanted, "c", "left_semi").select("c", F.col("place.doc_id").alias("id"), F.col("place.text_hash").alias("h"))
-    found = _rows(docs).join(materialize(first, "class-documents"), F.expr("doc_id <=> id and text_hash = h"))
+def _thinned(rows: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> DataFrame:
+    """``rows`` without most of those whose key is not wanted; where very many are wanted, more others stay."""
+    slot = lambda name: F.pmod(F.col(name), F.lit(FILTER_BITS))
+    words = wanted.select(slot(wanted_key).alias("slot")).groupBy(F.floor(F.col("slot") / 64).alias("__word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("__bits")
+    )
+    marked = rows.withColumn("__slot", slot(key)).withColumn("__word", F.floor(F.col("__slot") / 64))
+    held = marked.join(F.broadcast(materialize(words, "filter-words")), "__word").where("shiftrightunsigned(__bits, cast(__slot % 64 as int)) & 1 = 1")
+    return held.select(*rows.columns)
+
+
+def _sets(docs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
+    """(c, s): the full set of every class, from its first document."""
+    first = materialize(classes.select("c", F.col("place.doc_id").alias("id"), F.col("place.text_hash").alias("h")), "class-documents")
+    found = _thinned(_rows(docs), "text_hash", first, "h").join(first, F.expr("doc_id <=> id and text_hash = h"))
     sets = found.select("c", "text").mapInArrow(partial(_set_batches, width=shingle), "c long, s array<long>")
     return materialize(sets.dropDuplicates(["c"]), "class-sets")
 
@@ -289,7 +302,8 @@ def class_links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT, mat
     lists = posts.groupBy("t").agg(F.count(F.lit(1)).alias("members"), F.max_by(F.struct("c", "n"), central).alias("lead")).where("members > 1")
     lists = materialize(lists, "posting-lists")
     listed = posts.join(lists, "t")
-    sets = _sets(docs, classes, listed.select("c").distinct(), shingle)
+    classes = materialize(classes.join(listed.select("c").distinct(), "c", "left_semi"), "listed-classes")
+    sets = _sets(docs, classes, shingle)
 
     near = (F.col("c") != F.col("lead.c")) & _near(F.col("n"), F.col("lead.n"), percent)
     pairs = materialize(listed.where(near).select(F.col("c").alias("a"), F.col("lead.c").alias("b")).distinct(), "lead-pairs")
