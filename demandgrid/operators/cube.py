@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandgrid.functions.fields import CELL_KEYS, DAYS
-from demandgrid.operators.reshape import wide_to_cells
+from demandgrid.operators.reshape import wide_to_cells, wide_to_cells_sparse
 
 
 def cube_from_orders(orders: DataFrame) -> DataFrame:
@@ -16,6 +16,11 @@ def cube_from_orders(orders: DataFrame) -> DataFrame:
     return wide_to_cells(orders).select(*CELL_KEYS, "items_count")
 
 
+def cube_from_sparse_orders(orders: DataFrame) -> DataFrame:
+    """The same cube by way of each order's positive counts; the faster one from a few hundred categories on."""
+    return wide_to_cells_sparse(orders)
+
+
 def cube_from_rows(rows: DataFrame) -> DataFrame:
     """The cube of long rows; map-side partial sums keep hot cells small in the shuffle."""
     return rows.where(F.col("items_count") > 0).groupBy(*CELL_KEYS).agg(F.sum("items_count").alias("items_count"))

@@ -9,19 +9,6 @@ from pyspark.sql import functions as F
 
 from demandgrid.functions.fields import CELL_KEYS, DAYS, HOURS, normalize_category
 
-# The category names served by default.
-SERVED_CATEGORIES = [
-    "fresh_fruits", "fresh_vegetables", "milk", "bread", "eggs",
-    "coffee", "cereal", "yogurt", "cheese", "chicken",
-    "beef", "pasta", "rice", "beans", "juice",
-    "frozen_meals", "snacks", "beverages", "cleaning_products", "personal_care",
-    "bakery_desserts", "canned_goods", "dairy_products", "meat_seafood",
-    "organic_products", "baby_food", "pet_care", "vitamins_supplements",
-    "ice_cream", "candy_chocolate", "tea", "soft_drinks",
-]
-SCORED_CATEGORIES = SERVED_CATEGORIES[:20]
-SAMPLE_CATEGORIES = SERVED_CATEGORIES[:15]
-
 
 def category_rows(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     """An explicit category list as rows."""

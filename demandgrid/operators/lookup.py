@@ -21,15 +21,20 @@ def point_lookup(predictions: DataFrame, day: int, hour: int, category: str) ->
     return matching(predictions, day, hour).where(F.col("category") == wanted)
 
 
-def batch_lookup(requests: DataFrame, predictions: DataFrame) -> DataFrame:
-    """Every request once, its own columns untouched, with prediction and found flag."""
+def batch_lookup(requests: DataFrame, predictions: DataFrame, found: str | None = None) -> DataFrame:
+    """Every request once, its own columns untouched, with prediction and found flag.
+
+    ``found`` names a boolean column of the table that says whether a row counts as
+    found; without it every row does. A column ``prediction``, ``cached_at`` or ``found``
+    of the requests gives way to the answer's.
+    """
     served = predictions.select(
         F.col("day_of_week").alias("_day"),
         F.col("hour_of_day").alias("_hour"),
         F.col("category").alias("_category"),
-        F.col("prediction"),
-        F.col("cached_at"),
-        F.lit(True).alias("found"),
+        F.col("prediction").alias("_prediction"),
+        F.col("cached_at").alias("_cached_at"),
+        (F.lit(True) if found is None else F.col(found)).alias("_found"),
     )
     same_key = (
         (requests["day_of_week"] == served["_day"])
@@ -37,10 +42,10 @@ def batch_lookup(requests: DataFrame, predictions: DataFrame) -> DataFrame:
         & (normalize_category(requests["category"]) == served["_category"])
     )
     return requests.join(served, same_key, "left").select(
-        *[requests[c] for c in requests.columns],
-        "prediction",
-        "cached_at",
-        F.coalesce("found", F.lit(False)).alias("found"),
+        *[requests[c] for c in requests.columns if c not in ("prediction", "cached_at", "found")],
+        F.col("_prediction").alias("prediction"),
+        F.col("_cached_at").alias("cached_at"),
+        F.coalesce("_found", F.lit(False)).alias("found"),
     )
 
 

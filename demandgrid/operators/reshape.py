@@ -86,6 +86,25 @@ def wide_to_cells(
     )
 
 
+def wide_to_cells_sparse(orders: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
+    """``wide_to_cells`` for very many, mostly empty categories: (day, hour, category, items_count).
+
+    An order becomes an array of (position, count) of its positive counts; these are
+    exploded and summed by (day, hour, position), and the names come back at the end. The
+    plan has two aggregated columns whatever the number of categories, where
+    ``wide_to_cells`` has one for each.
+    """
+    names = category_columns(orders) if categories is None else list(categories)
+    if not names:
+        return wide_to_cells(orders, names)
+    counts = F.array(*[_whole_count(orders, c).cast("bigint") for c in names])
+    entries = F.transform(counts, lambda n, i: F.struct(i.alias("position"), n.alias("items_count")))
+    long = orders.select(*_grid_columns(), F.inline(F.filter(entries, lambda e: e["items_count"] > 0)))
+    cells = long.groupBy(*GRID_COLUMNS, "position").agg(F.sum("items_count").alias("items_count"))
+    category = F.get(F.array(*[F.lit(c) for c in names]), F.col("position"))
+    return cells.select(*GRID_COLUMNS, category.alias("category"), "items_count")
+
+
 def category_coverage(orders: DataFrame) -> DataFrame:
     """Position and name of each category column and the orders that contain it."""
     names = category_columns(orders)

@@ -12,6 +12,7 @@ from demandgrid.operators.grid import demand_grid
 from demandgrid.operators.lookup import batch_lookup, missing_cells, prediction_metadata
 from demandgrid.operators.training import known_categories
 from demandgrid.session import materialize
+from demandgrid.sources.folders import claim, holds_file, numbers, remove
 
 PREDICTION_SCHEMA = T.StructType(
     [
@@ -72,11 +73,10 @@ def lookup_or_score(requests: DataFrame, predictions: DataFrame, model: Pipeline
     like table rows. ``found`` tells table hits from scored misses.
     """
     missing = materialize(score(missing_cells(requests, predictions), model), "scored-misses")
-    answers = predictions.select(*CELL_KEYS, "prediction", "cached_at").unionByName(
-        missing.select(*CELL_KEYS, "prediction", F.lit(None).cast("string").alias("cached_at"))
+    answers = predictions.select(*CELL_KEYS, "prediction", "cached_at", F.lit(True).alias("stored")).unionByName(
+        missing.select(*CELL_KEYS, "prediction", F.lit(None).cast("string").alias("cached_at"), F.lit(False).alias("stored"))
     )
-    looked_up = batch_lookup(requests, answers)
-    return looked_up.withColumn("found", F.col("cached_at").isNotNull())
+    return batch_lookup(requests, answers, found="stored")
 
 
 class PredictionStore:
@@ -85,7 +85,8 @@ class PredictionStore:
     ``predictions/version=<n>/day_of_week=<d>/`` holds the rows, sorted by key so
     that a lookup skips most of each file; ``metadata/version=<n>/`` is written
     after them and makes the version visible. Readers use the newest version, so
-    cells of an earlier category list do not linger.
+    cells of an earlier category list do not linger. A refresh first claims its number
+    by a file that only one can create, so two at a time write two versions.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -103,7 +104,7 @@ class PredictionStore:
 
     def refresh(self, scored: DataFrame, model_version: str = "v1.0") -> int:
         """Write scored cells as a new version and return its number."""
-        version = (self.latest() or 0) + 1
+        version = self._claim()
         rows = scored.select(
             cell_key(*[F.col(c) for c in CELL_KEYS]).alias("key"),
             *CELL_KEYS,
@@ -122,6 +123,25 @@ class PredictionStore:
         described.write.mode("overwrite").parquet(f"{self.root}/metadata/version={version}")
         return version
 
+    def _claim(self) -> int:
+        """The next number that no other refresh has; a refresh that was cut short keeps its number, which no reader sees."""
+        taken = numbers(self.spark, f"{self.root}/claims", "version")
+        version = max([self.latest() or 0, *taken]) + 1
+        while not claim(self.spark, f"{self.root}/claims/version={version}"):
+            version += 1
+        return version
+
+    def expire(self, keep: int = 2) -> list[int]:
+        """Remove all versions older than the newest ``keep`` complete ones; return their numbers."""
+        if keep < 1:
+            raise ValueError("the newest version is needed")
+        complete = [n for n in numbers(self.spark, f"{self.root}/metadata", "version") if holds_file(self.spark, f"{self.root}/metadata/version={n}")]
+        old = [n for n in complete if n < complete[-keep:][0]] if complete else []
+        for n in old:  # the metadata first: without it no reader begins on the version
+            remove(self.spark, f"{self.root}/metadata/version={n}")
+            remove(self.spark, f"{self.root}/predictions/version={n}")
+        return old
+
     def _version(self, version: int) -> DataFrame:
         # only this version's folder is listed, however many there have been
         return self.spark.read.schema(PREDICTION_SCHEMA).parquet(f"{self.root}/predictions/version={version}")

@@ -7,13 +7,13 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandgrid.functions.fields import in_train_split, normalize_category
+from demandgrid.functions.fields import DAYS, HOURS, in_train_split, normalize_category
 from demandgrid.operators.metrics import best_candidate
 from demandgrid.session import materialize
 
@@ -102,6 +102,25 @@ def feature_values(rows: DataFrame) -> DataFrame:
     )
 
 
+def feature_entries(rows: DataFrame) -> DataFrame:
+    """The assembled features in sparse long form: the day, the hour and the category's position.
+
+    Three rows per cell whatever the number of categories, two for a category that the
+    indexer does not know. They come from the index and value arrays of the assembled
+    vector; day and hour are rows also where they are zero.
+    """
+    assembled = feature_pipeline().fit(rows).transform(rows)
+    features = F.unwrap_udt(F.col("features"))
+    values = features["values"]
+    # a dense vector has no index array: its positions are counted
+    positions = F.coalesce(features["indices"], F.sequence(F.lit(0), F.size(values) - 1))
+    entries = F.arrays_zip(positions.alias("feature_position"), values.alias("feature_value"))
+    grid = [F.struct(F.lit(i).alias("feature_position"), F.col(c).cast("double").alias("feature_value")) for i, c in enumerate(TRAINING_KEYS[:2])]
+    encoded = assembled.select(*TRAINING_KEYS, entries.alias("entries"))
+    hot = F.filter("entries", lambda e: (e["feature_position"] >= len(grid)) & (e["feature_value"] != 0))
+    return encoded.select(*TRAINING_KEYS, F.inline(F.concat(F.array(*grid), hot)))
+
+
 @dataclass
 class TrainedModel:
     """The selected pipeline and the table that led to its choice."""
@@ -148,6 +167,47 @@ def train_candidates(rows: DataFrame) -> TrainedModel:
     return TrainedModel(name, model, metrics.withColumn("is_selected", F.col("candidate") == name))
 
 
+def fit_estimator(rows: DataFrame, estimator) -> PipelineModel:
+    """One regressor on all rows, behind the candidates' feature stages; usable wherever a model is.
+
+    The estimator's feature and label columns become those of the candidates.
+    """
+    estimator = estimator.copy({estimator.featuresCol: "features", estimator.labelCol: LABEL})
+    split = materialize(rows.orderBy(*TRAINING_KEYS), "training-rows")
+    encoder = feature_pipeline().fit(split)
+    return PipelineModel(stages=[*encoder.stages, estimator.fit(encoder.transform(split).select("features", LABEL))])
+
+
+def fit_cell_tree(rows: DataFrame) -> PipelineModel:
+    """A tree over the numbers of the cells that isolates each, so that it returns the counts it was given.
+
+    Cells are numbered by category, day and hour. A trend along the numbers, steeper than
+    the counts differ, is added before the fit and taken off the prediction: it halves the
+    cells at each split. For cubes of some thousands of cells: each is a bin of the tree.
+    """
+    split = materialize(rows.orderBy(*TRAINING_KEYS), "training-rows")
+    size = split.agg(F.count_distinct("category_clean").alias("categories"), F.max(LABEL).alias("largest")).first()
+    trend = 2 * int(size.largest) + 1
+    number = f"category_indexed * {DAYS * HOURS} + day_of_week * {HOURS} + hour_of_day"
+    stages = [
+        feature_pipeline().getStages()[0],
+        SQLTransformer(statement=f"SELECT *, {number} AS cell_number FROM __THIS__"),
+        VectorAssembler(inputCols=["cell_number"], outputCol="features"),
+    ]
+    encoder = Pipeline(stages=stages).fit(split)
+    trended = encoder.transform(split).withColumn(LABEL, F.col(LABEL) + F.col("cell_number") * trend)
+    tree = DecisionTreeRegressor(
+        featuresCol="features", labelCol=LABEL, predictionCol="trended", maxDepth=30, maxBins=max(32, DAYS * HOURS * size.categories + 1), seed=SEED
+    )
+    untrend = SQLTransformer(statement=f"SELECT *, trended - cell_number * {trend} AS prediction FROM __THIS__")
+    return PipelineModel(stages=[*encoder.stages, tree.fit(trended.select("features", LABEL)), untrend])
+
+
+def least_squares() -> LinearRegression:
+    """Ordinary least squares with an intercept for each category in place of a common one, solved by the normal equations."""
+    return LinearRegression(regParam=0.0, fitIntercept=False, standardization=False, solver="normal")
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
@@ -170,6 +230,21 @@ def mean_predictor(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return by_hour, overall
 
 
+def back_off_means(cells: DataFrame, rows: DataFrame) -> DataFrame:
+    """``cells`` with the training means of their category and hour, of their category, and of all.
+
+    Where a mean has no training cell behind it, the next one stands in, so every cell
+    has all three.
+    """
+    by_hour, overall = mean_predictor(rows)
+    everything = with_split(rows).where("is_train").agg(F.avg(LABEL).alias("grand_mean"))
+    joined = cells.join(by_hour, ["category_clean", "hour_of_day"], "left").join(overall, "category_clean", "left")
+    means = joined.withColumn("grand_mean", everything.scalar())
+    return means.withColumn("category_mean", F.coalesce("category_mean", "grand_mean")).withColumn(
+        "hour_mean", F.coalesce("hour_mean", "category_mean")
+    )
+
+
 def score_with_means(requests: DataFrame, rows: DataFrame) -> DataFrame:
     """Score requests with the mean of their category and hour, else of their category.
 

@@ -17,7 +17,7 @@ from demandgrid.plans import jobs
 from demandgrid.session import materialize, shared_dir
 from demandgrid.sources import files
 from demandgrid.sources import relations as rel
-from demandgrid.streaming import CubeStore, day_stream, fold_unprocessed_days, run_once, start
+from demandgrid.streaming import CubeStore, day_stream, fold_unprocessed_days, poll, run_once, start
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,11 @@ def cube_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cubes.sorted_cube(cubes.cube_from_orders(rel.wide_orders(spark, sf_dir, with_prior=False)))
 
 
+@query
+def cube_full_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cubes.cube_from_sparse_orders(rel.wide_orders(spark, sf_dir, with_prior=False))
+
+
 @query
 def cube_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cubes.cube_from_rows(rel.event_rows(spark, sf_dir))
@@ -106,6 +111,15 @@ def single_day_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cubes.cube_from_orders(saturday)
 
 
+@query
+def plain_layout_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days written to digit-named folders and read back from them."""
+    orders = rel.wide_orders(spark, sf_dir)
+    raw = shared_dir(spark, "raw")
+    files.split_plain(orders, raw, shared_dir(spark, "staging"), F.col("order_dow"))
+    return cubes.cube_from_orders(files.read_plain_days(spark, raw, files.order_schema(orders.columns)).drop("day"))
+
+
 @query
 def csv_roundtrip_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, out = shared_dir(spark, "raw"), shared_dir(spark, "export")
@@ -203,6 +217,29 @@ def incremental_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.cube()
 
 
+@query
+def incremental_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot after each of three batches, then all that only older ones need is removed and a day repeated."""
+    staged, _ = _land_orders(spark, sf_dir)
+    store, day = CubeStore(spark, shared_dir(spark, "store")), F.col("day")
+    for number, arrival in enumerate((day.isin(6, 0), day == 3, day.isin(1, 2, 4, 5))):
+        store.commit(staged.where(arrival), number)
+        if number < 2:
+            store.compact()
+    store.expire(keep=1)
+    store.commit(staged.where(day == 3), 1)
+    return store.cube()
+
+
+@query
+def incremental_expired_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of days after its entries were folded and removed."""
+    store, _, _ = _three_arrivals(spark, sf_dir)
+    store.compact()
+    store.expire(keep=1)
+    return store.processed_days()
+
+
 @query
 def incremental_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, staged, _ = _three_arrivals(spark, sf_dir)
@@ -257,6 +294,18 @@ def incremental_folded_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.cube()
 
 
+@query
+def incremental_folded_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days whose files have columns of their own: one batch for each set of columns."""
+    staged, landing = _land_orders(spark, sf_dir)
+    store, day = CubeStore(spark, shared_dir(spark, "store")), F.col("day")
+    for part, days_of_part in enumerate(((0, 3), (1, 2, 5), (4, 6))):
+        own = staged.where(day.isin(*days_of_part)).withColumn(f"ONLY {part}", F.lit(1.0))
+        _arrive(own, landing, F.lit(True))
+    fold_unprocessed_days(spark, landing, store, count_type="double")
+    return store.cube().join(store.processed_days().toDF("day_of_week", "batch_id"), "day_of_week")
+
+
 def _late_copy(spark: SparkSession, sf_dir: str) -> CubeStore:
     """After all days are in, day 0 arrives a second time."""
     staged, landing = _land_orders(spark, sf_dir)
@@ -297,6 +346,28 @@ def incremental_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.cube()
 
 
+@query
+def incremental_supervised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A polling query whose first batch fails after its commit is started anew and counts nothing twice."""
+    events = rel.wide_events(spark, sf_dir)
+    landing, store = shared_dir(spark, "landing"), CubeStore(spark, shared_dir(spark, "store"))
+    failures = ["once"]
+
+    def fail_once(store: CubeStore, batch_id: int) -> None:
+        if failures:
+            raise RuntimeError(failures.pop())
+
+    _arrive(events, landing, EARLY_DAYS, "parquet")
+    polling = poll(day_stream(spark, landing, events.schema, "parquet"), store, "1 second", fail_once, wait_seconds=0.0)
+    try:
+        polling.process_all_available()
+        _arrive(events, landing, LATER_DAYS, "parquet")
+        polling.process_all_available()
+    finally:
+        polling.stop()
+    return store.cube()
+
+
 # --- training ---
 
 
@@ -343,6 +414,16 @@ def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training.feature_values(training.training_rows(_event_cube(spark, sf_dir)))
 
 
+@query
+def feature_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training.feature_entries(training.training_rows(_event_cube(spark, sf_dir)))
+
+
+@query
+def feature_entries_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training.feature_entries(materialize(training_rows(spark, sf_dir), "training-rows"))
+
+
 @query
 def rmse_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = training.training_rows(_event_cube(spark, sf_dir))
@@ -375,6 +456,47 @@ def best_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.best_candidate(table).withColumn("rmse", F.round("rmse", 6))
 
 
+@query
+def back_off_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three mean predictors compared on all test cells; a mean that is missing is stood in for by the next."""
+    rows = materialize(training.training_rows(cube_lineitem(spark, sf_dir)), "training-rows")
+    test = training.back_off_means(training.with_split(rows).where("not is_train"), rows)
+    names = ["grand_mean", "category_mean", "hour_mean"]
+    errors = test.agg(
+        F.count(F.lit(1)).alias("compared_cells"),
+        *[F.round(metrics.rmse(F.col(training.LABEL), F.col(c)), 6).alias(c) for c in names],
+    )
+    table = errors.unpivot("compared_cells", names, "candidate", "rmse").select(
+        F.array_position(F.array(*[F.lit(c) for c in names]), F.col("candidate")).cast("int").alias("position"),
+        "candidate", "rmse", "compared_cells",
+    )
+    best = metrics.best_candidate(table).select(F.col("position").alias("best"))
+    return table.join(best, F.lit(True)).select("candidate", "rmse", "compared_cells", (F.col("position") == F.col("best")).alias("is_selected"))
+
+
+def _isolating_model(spark: SparkSession, sf_dir: str):
+    """The event cube and a tree that returns the count of each of its cells."""
+    cube = _event_cube(spark, sf_dir)
+    return cube, training.fit_cell_tree(training.training_rows(cube))
+
+
+@query
+def isolating_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every cell scored by a saved and reloaded tree that isolates it: the score is its count."""
+    cube, model = _isolating_model(spark, sf_dir)
+    path = shared_dir(spark, "model")
+    training.save_model(model, path)
+    return scoring.score(cube.select(*CELL_KEYS), training.load_model(path))
+
+
+@query
+def least_squares_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every cell scored by ordinary least squares on day, hour and category."""
+    cube = _event_cube(spark, sf_dir)
+    model = training.fit_estimator(training.training_rows(cube), training.least_squares())
+    return scoring.score(cube.select(*CELL_KEYS), model)
+
+
 @query
 def train_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training.train_candidates(training.training_rows(_event_cube(spark, sf_dir))).metrics
@@ -536,6 +658,32 @@ def lookup_with_fallback_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answered.select("request_id", *CELL_KEYS, "found", F.col("prediction").isNotNull().alias("has_prediction"))
 
 
+@query
+def lookup_with_fallback_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of even days are stored, the others scored by a tree that knows them; each cell is asked for twice."""
+    cube, model = _isolating_model(spark, sf_dir)
+    store = scoring.PredictionStore(spark, shared_dir(spark, "predictions"))
+    store.refresh(scoring.score(cube.where("day_of_week % 2 = 0").select(*CELL_KEYS), model))
+    twice = cube.select(*CELL_KEYS, F.explode(F.array(F.lit(1), F.lit(2))).alias("asked"), F.lit("mine").alias("cached_at"))
+    answers = scoring.lookup_or_score(twice, store.read(), model)
+    return answers.select(*CELL_KEYS, "asked", "prediction", "found", F.col("cached_at").isNotNull().alias("has_time"))
+
+
+@query
+def typed_request(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two requests typed in by hand against the stored table, one in another spelling, one that is not there."""
+    asked = files.requests(spark, [(0, 9, " Purchase"), (6, 23, "no such category")])
+    return lookup.batch_lookup(asked, stored_predictions(spark, sf_dir)).drop("cached_at")
+
+
+@query
+def prediction_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ISO time for all rows of a version."""
+    rows = stored_predictions(spark, sf_dir)
+    is_iso = F.try_to_timestamp(F.col("cached_at")).isNotNull() & F.col("cached_at").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}T")
+    return rows.agg(F.count_distinct("cached_at").alias("times"), F.min(is_iso).alias("all_iso"), F.count(F.lit(1)).alias("rows"))
+
+
 @query
 def pattern_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     predictions = stored_predictions(spark, sf_dir)

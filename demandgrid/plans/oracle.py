@@ -105,8 +105,14 @@ ledger AS (
 _BEST_FIRST = "prediction DESC, day_of_week, hour_of_day, category"
 _ARRIVAL = "CASE WHEN day <= 20240115 THEN 0 ELSE 1 END"
 
+_ENTRIES = """, indexed AS (SELECT *, (dense_rank() OVER (ORDER BY category_clean) + 1)::INTEGER AS i FROM training)
+        SELECT day_of_week, hour_of_day, category_clean, unnest([0, 1, i])::INTEGER AS feature_position,
+            unnest([day_of_week, hour_of_day, 1])::DOUBLE AS feature_value FROM indexed"""
+
 ORACLE: dict[str, str] = {
     "wide_orders": f"WITH {WIDE} SELECT * FROM wide",
+    "cube_full_sparse": CUBE,
+    "plain_layout_cube": CUBE,
     "cube_full": CUBE,
     "cube_events": EVENT_CUBE,
     "cube_lineitem": f"WITH {LINEITEM} SELECT * FROM cells",
@@ -144,6 +150,17 @@ ORACLE: dict[str, str] = {
     "incremental_cube_all_days": CUBE,
     "incremental_compacted": CUBE,
     "incremental_replay": CUBE,
+    "incremental_expired": CUBE,
+    "incremental_expired_ledger": f"""WITH {WIDE} SELECT DISTINCT order_dow AS day,
+        CASE WHEN order_dow IN (6, 0) THEN 0 WHEN order_dow = 3 THEN 1 ELSE 2 END::BIGINT AS batch_id FROM wide""",
+    "incremental_folded_headers": f"""WITH {WIDE},
+        batches AS (SELECT d::INTEGER AS day_of_week,
+            CASE WHEN d IN (0, 3) THEN 0 WHEN d IN (1, 2, 5) THEN 1 ELSE 2 END AS batch_id FROM range(7) AS r(d)),
+        own AS (SELECT order_dow AS day_of_week, order_hour_of_day AS hour_of_day, 'ONLY ' || batch_id AS category,
+            count(*)::BIGINT AS items_count FROM wide JOIN batches ON order_dow = day_of_week GROUP BY ALL)
+        SELECT c.*, batch_id::BIGINT AS batch_id FROM (SELECT * FROM cube UNION ALL SELECT * FROM own) c
+        JOIN batches USING (day_of_week)""",
+    "incremental_supervised": EVENT_CUBE,
     "incremental_mixed_feed": CUBE,
     "incremental_torn_batch": CUBE,
     "incremental_folded_days": CUBE,
@@ -172,6 +189,31 @@ ORACLE: dict[str, str] = {
         SELECT day_of_week, hour_of_day, category_clean, pos::INTEGER AS feature_position,
         CASE WHEN pos = 0 THEN day_of_week WHEN pos = 1 THEN hour_of_day WHEN pos = i + 2 THEN 1 ELSE 0 END::DOUBLE
         AS feature_value FROM indexed, positions""",
+    "feature_entries": f"WITH {EVENTS}, {TRAINING}{_ENTRIES}",
+    "feature_entries_lineitem": f"WITH {LINEITEM}, {TRAINING}{_ENTRIES}",
+    "back_off_candidates": f"""WITH {LINEITEM}, {TRAINING},
+        train AS (SELECT * FROM split WHERE is_train),
+        hours AS (SELECT category_clean, hour_of_day, avg(total_count) AS m FROM train GROUP BY ALL),
+        categories AS (SELECT category_clean, avg(total_count) AS m FROM train GROUP BY ALL),
+        grand AS (SELECT avg(total_count) AS m FROM train),
+        test AS (SELECT total_count AS y, grand.m AS g, coalesce(c.m, grand.m) AS c, coalesce(h.m, c.m, grand.m) AS h
+            FROM split s LEFT JOIN hours h USING (category_clean, hour_of_day) LEFT JOIN categories c USING (category_clean), grand
+            WHERE NOT is_train),
+        errors AS (
+            SELECT 1 AS position, 'grand_mean' AS candidate, round(sqrt(avg((g - y) ** 2)), 6) AS rmse FROM test
+            UNION ALL SELECT 2, 'category_mean', round(sqrt(avg((c - y) ** 2)), 6) FROM test
+            UNION ALL SELECT 3, 'hour_mean', round(sqrt(avg((h - y) ** 2)), 6) FROM test)
+        SELECT candidate, rmse, (SELECT count(*) FROM test) AS compared_cells,
+            position = (SELECT position FROM errors ORDER BY rmse, position LIMIT 1) AS is_selected FROM errors""",
+    "isolating_tree_scores": f"""WITH {EVENTS} SELECT day_of_week, hour_of_day, category,
+        items_count::DOUBLE AS prediction, true AS known_category FROM cells""",
+    "least_squares_scores": f"""WITH {EVENTS},
+        means AS (SELECT category, avg(day_of_week) AS d, avg(hour_of_day) AS h, avg(items_count) AS y FROM cells GROUP BY category),
+        centred AS (SELECT day_of_week - m.d AS d, hour_of_day - m.h AS h, items_count - m.y AS y FROM cells JOIN means m USING (category)),
+        sums AS (SELECT sum(d * d) AS dd, sum(d * h) AS dh, sum(h * h) AS hh, sum(d * y) AS dy, sum(h * y) AS hy FROM centred),
+        slopes AS (SELECT (dy * hh - hy * dh) / (dd * hh - dh * dh) AS a, (hy * dd - dy * dh) / (dd * hh - dh * dh) AS b FROM sums)
+        SELECT day_of_week, hour_of_day, category, round(y + a * (day_of_week - d) + b * (hour_of_day - h), 2) AS prediction,
+            true AS known_category FROM cells JOIN means USING (category), slopes""",
     "rmse_baseline": f"""WITH {PREDICTIONS}
         SELECT round(sqrt(avg((prediction - total_count) ** 2)), 6) AS rmse
         FROM split s JOIN p ON s.day_of_week = p.day_of_week AND s.hour_of_day = p.hour_of_day
@@ -218,6 +260,15 @@ ORACLE: dict[str, str] = {
     "grid_scores_keys": f"WITH {PREDICTIONS} SELECT day_of_week, hour_of_day, category, true AS known_category, true AS has_prediction FROM grid",
     "lookup_with_fallback_keys": f"""WITH {LOOKED_UP}
         SELECT request_id, day_of_week, hour_of_day, category, found, true AS has_prediction FROM looked""",
+    "lookup_with_fallback_values": f"""WITH {EVENTS} SELECT day_of_week, hour_of_day, category, asked::INTEGER AS asked,
+        items_count::DOUBLE AS prediction, day_of_week % 2 = 0 AS found, day_of_week % 2 = 0 AS has_time
+        FROM cells, range(1, 3) AS r(asked)""",
+    "typed_request": f"""WITH {PREDICTIONS},
+        asked AS (SELECT * FROM (VALUES (0, 9, ' Purchase'), (6, 23, 'no such category')) AS t(day_of_week, hour_of_day, category))
+        SELECT a.day_of_week, a.hour_of_day, a.category, p.prediction, p.prediction IS NOT NULL AS found
+        FROM asked a LEFT JOIN p ON a.day_of_week = p.day_of_week AND a.hour_of_day = p.hour_of_day
+            AND {_clean("a.category")} = p.category""",
+    "prediction_time": f"WITH {PREDICTIONS} SELECT 1::BIGINT AS times, true AS all_iso, count(*) AS rows FROM p",
     "prediction_table": f"WITH {PREDICTIONS} SELECT concat_ws(':', day_of_week, hour_of_day, category) AS key, * FROM p",
     "prediction_metadata": f"""WITH {PREDICTIONS} SELECT count(*) AS total_predictions, 'v1.0' AS model_version,
         count(DISTINCT category) AS categories_count, min(day_of_week) || '-' || max(day_of_week) AS days_range,

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +18,7 @@ from pyspark.sql import types as T
 
 from demandgrid.functions.fields import quoted
 from demandgrid.operators.reshape import METADATA_COLUMNS
+from demandgrid.sources.folders import data_files, file_system, first_file, first_line, holds_file, numbers
 
 REQUEST_SCHEMA = "day_of_week int, hour_of_day int, category string"
 
@@ -29,6 +32,7 @@ CUBE_SCHEMA = T.StructType(
 )
 
 DAY_FOLDER = re.compile("(?:day=)?([0-9]+)")
+HEADER_READERS = 16  # files whose first lines are read at once
 
 # A count that does not parse must stop the job: read leniently it would be lost.
 CSV_OPTIONS = {"header": "true", "enforceSchema": "false", "mode": "FAILFAST", "escape": '"'}
@@ -47,7 +51,7 @@ def order_schema(columns: Sequence[str], count_type: str = "long") -> T.StructTy
     return schema
 
 
-def order_file_columns(spark: SparkSession, path: str) -> list[str]:
+def order_file_columns(spark: SparkSession, path: str | list[str]) -> list[str]:
     """Column names from the header line; no row is read and no type is guessed."""
     columns = spark.read.option("header", "true").option("escape", '"').csv(path).columns
     absent = [c for c in METADATA_COLUMNS[:3] if c not in columns]
@@ -90,6 +94,26 @@ def split_by_day(
     writer.format(fmt).save(root)
 
 
+def split_plain(orders: DataFrame, root: str, staging: str, day: Column, fmt: str = "csv") -> None:
+    """Write one digit-named ``<d>`` folder per day that has rows.
+
+    The days are written to ``staging``, on the same file system, and each folder is
+    renamed into place; a day that is there already stops the job before anything moves.
+    """
+    split_by_day(orders, staging, day, fmt)
+    spark = orders.sparkSession
+    target, system = file_system(spark, root)
+    days = numbers(spark, staging, "day")
+    present = [d for d in days if system.exists(file_system(spark, f"{root}/{d}")[0])]
+    if present:
+        raise FileExistsError(f"days {present} are in {root} already")
+    system.mkdirs(target)
+    for d in days:
+        source, place = (file_system(spark, p)[0] for p in (f"{staging}/day={d}", f"{root}/{d}"))
+        if not system.rename(source, place):
+            raise OSError(f"could not move {source} to {place}")
+
+
 def land_days(orders: DataFrame, root: str, staging: str, day: Column, fmt: str = "csv") -> None:
     """Land days below ``root`` so that a reader that polls it sees each new day whole.
 
@@ -100,18 +124,18 @@ def land_days(orders: DataFrame, root: str, staging: str, day: Column, fmt: str
     split_by_day(orders, staging, day, fmt)
     spark = orders.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path
-    file_system = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    file_system.mkdirs(path(root))
-    for folder in file_system.listStatus(path(staging)):
+    system = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path(root))
+    for folder in system.listStatus(path(staging)):
         name = folder.getPath().getName()
         if not folder.isDirectory() or not DAY_FOLDER.fullmatch(name):
             continue
         moves = [(folder.getPath(), path(f"{root}/{name}"))]
-        if file_system.exists(moves[0][1]):
-            files = file_system.listStatus(folder.getPath())
+        if system.exists(moves[0][1]):
+            files = system.listStatus(folder.getPath())
             moves = [(f.getPath(), path(f"{root}/{name}/{f.getPath().getName()}")) for f in files]
         for source, target in moves:
-            if not file_system.rename(source, target):
+            if not system.rename(source, target):
                 raise OSError(f"could not move {source} to {target}")
 
 
@@ -139,24 +163,51 @@ def available_days(spark: SparkSession, root: str, fmt: str = "csv") -> DataFram
     Each day folder is listed up to its first data file, so the cost goes with
     the number of days and not with the files in them; no file is opened.
     """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
-    file_system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    folder, system = file_system(spark, root)
     days = set()
-    for entry in file_system.listStatus(folder):
+    for entry in system.listStatus(folder):
         named = DAY_FOLDER.fullmatch(entry.getPath().getName())
-        if named and entry.isDirectory() and _holds_file(file_system, entry.getPath(), f".{fmt}"):
+        if named and entry.isDirectory() and first_file(system, entry.getPath(), f".{fmt}"):
             days.add(int(named[1]))
     return spark.createDataFrame([(day,) for day in sorted(days)], "day int")
 
 
-def _holds_file(file_system, folder, suffix: str) -> bool:
-    entries = file_system.listStatusIterator(folder)
-    while entries.hasNext():
-        entry = entries.next()
-        name = entry.getPath().getName()
-        if entry.isFile() and name.endswith(suffix) and name[0] not in "._":
-            return True
-    return False
+def days_by_header(spark: SparkSession, root: str, days: Sequence[int]) -> list[tuple[list[int], dict[str, list[str]]]]:
+    """Days whose CSV files have equal headers, and the files of each header among them.
+
+    Only the first line of each file is read, without a job. Groups come in the order
+    of their first day. A day without a line of text is in a group without files.
+    """
+    listed = [
+        (day, file)
+        for day in days
+        for layout in (f"{root}/{day}", f"{root}/day={day}")
+        if holds_file(spark, layout, ".csv")
+        for file in data_files(spark, layout, ".csv")
+    ]
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        lines = list(pool.map(lambda entry: first_line(spark, entry[1]), listed))
+    of_day: dict[int, dict[str, list[str]]] = {day: {} for day in days}
+    for (day, file), line in zip(listed, lines, strict=True):
+        if line:
+            of_day[day].setdefault(line, []).append(file)
+    groups: dict[frozenset[str], tuple[list[int], dict[str, list[str]]]] = {}
+    for day in days:
+        members, files = groups.setdefault(frozenset(of_day[day]), ([], {}))
+        members.append(day)
+        for line, paths in of_day[day].items():
+            files.setdefault(line, []).extend(paths)
+    return list(groups.values())
+
+
+def read_days_of_headers(spark: SparkSession, headers: dict[str, list[str]], count_type: str = "long") -> DataFrame | None:
+    """The orders of files grouped by header, with their ``day``; a column that a file lacks is null."""
+    parts = []
+    for paths in headers.values():
+        schema = order_schema(order_file_columns(spark, paths[:1]), count_type)
+        rows = spark.read.schema(schema).options(**CSV_OPTIONS).csv(paths).select(*[quoted(c) for c in schema.names], path_day(F.col("_metadata.file_path")).alias("day"))
+        parts.append(rows)
+    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts) if parts else None
 
 
 def with_day(schema: T.StructType) -> T.StructType:

@@ -1,6 +1,6 @@
 """Incremental maintenance of the cube with Structured Streaming."""
 
-from demandgrid.streaming.runner import day_stream, fold_unprocessed_days, run_once, start
+from demandgrid.streaming.runner import SupervisedPolling, day_stream, fold_unprocessed_days, poll, run_once, start
 from demandgrid.streaming.store import CubeStore
 
-__all__ = ["CubeStore", "day_stream", "fold_unprocessed_days", "run_once", "start"]
+__all__ = ["CubeStore", "SupervisedPolling", "day_stream", "fold_unprocessed_days", "poll", "run_once", "start"]

@@ -12,13 +12,15 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from demandgrid.operators.days import unprocessed_days
-from demandgrid.sources.files import CSV_OPTIONS, available_days, path_day, read_orders_csv, with_day
+from demandgrid.operators.reshape import METADATA_COLUMNS
+from demandgrid.sources.files import CSV_OPTIONS, available_days, days_by_header, order_schema, path_day, read_days_of_headers, with_day
 from demandgrid.streaming.store import CubeStore
 
 OnCommit = Callable[[CubeStore, int], None]
 
 MAX_FILE_AGE = "36500d"
 RETRY_SECONDS = 5.0
+RESTARTS = 1
 FOLD = "fold"
 
 
@@ -78,18 +80,66 @@ def run_once(days: DataFrame, store: CubeStore, on_commit: OnCommit | None = Non
         start(days, store, on_commit).awaitTermination()
 
 
+class SupervisedPolling:
+    """A polling query that is started anew ``restarts`` times after a failure; the next one is raised.
+
+    A restarted query repeats the unfinished batch with the same files and the same
+    number, so a failure after the commit counts nothing twice.
+    """
+
+    def __init__(
+        self, days: DataFrame, store: CubeStore, every: str, on_commit: OnCommit | None = None,
+        restarts: int = RESTARTS, wait_seconds: float = RETRY_SECONDS,
+    ):
+        self._start = lambda: start(days, store, on_commit, every)
+        self.restarts_left = restarts
+        self.wait_seconds = wait_seconds
+        self.query = self._start()
+
+    def _guarded(self, wait: Callable[[StreamingQuery], object]) -> object:
+        while True:
+            try:
+                return wait(self.query)
+            except StreamingQueryException:
+                if self.restarts_left <= 0:
+                    raise
+                self.restarts_left -= 1
+                time.sleep(self.wait_seconds)
+                self.query = self._start()
+
+    def await_termination(self, timeout: float | None = None) -> bool | None:
+        """Wait for the end of the query, or ``timeout`` seconds of it without a failure."""
+        return self._guarded(lambda query: query.awaitTermination(timeout))
+
+    def process_all_available(self) -> None:
+        """Wait until all that has arrived is in the store."""
+        self._guarded(lambda query: query.processAllAvailable())
+
+    def stop(self) -> None:
+        self.query.stop()
+
+
+def poll(days: DataFrame, store: CubeStore, every: str = "4 seconds", on_commit: OnCommit | None = None, **options) -> SupervisedPolling:
+    """Keep folding in what arrives, under supervision."""
+    return SupervisedPolling(days, store, every, on_commit, **options)
+
+
 def fold_unprocessed_days(spark: SparkSession, root: str, store: CubeStore, count_type: str = "long") -> list[int]:
-    """Fold in every CSV day folder the store has not seen, one batch per day; return the days.
+    """Fold in every CSV day folder the store has not seen; return the days.
 
     The scheduled alternative to a stream, for day files whose category columns
-    differ: each day is read with its own header. A day file without rows is
+    differ. Days whose files have equal headers are one batch, read together, so the
+    number of jobs goes with the number of different headers. Files of one day may
+    differ too: a column that a file lacks counts as null. A day file without rows is
     committed with none. The same store may also be fed by streams: the ledger
     knows whose batch each entry is.
     """
     waiting = [row.day for row in unprocessed_days(available_days(spark, root), store.processed_days()).collect()]
-    for day in waiting:
-        orders = read_orders_csv(spark, f"{root}/{{{day},day={day}}}/*.csv", count_type)
-        last = store.last_of(FOLD)
-        store.commit(orders.withColumn("day", F.lit(day)), 0 if last is None else last + 1, FOLD, [day])
+    last = store.last_of(FOLD) if waiting else None
+    for number, (days, headers) in enumerate(days_by_header(spark, root, waiting), 0 if last is None else last + 1):
+        orders = read_days_of_headers(spark, headers, count_type)
+        if orders is None:
+            orders = spark.createDataFrame([], order_schema([*METADATA_COLUMNS, "day"], "integer"))
+        store.commit(orders, number, FOLD, days)
         store.compact_if_due()
     return waiting

@@ -5,17 +5,21 @@ Layout below the store's root::
     deltas/batch_id=<n>/     cells of one batch
     ledger/batch_id=<n>/     days of that batch; written last, so it commits the batch
     snapshots/upto=<n>/      the cube of all batches up to n
-    snapshot_log/upto=<n>/   written after the snapshot, so it commits the snapshot
+    folded_ledger/upto=<n>/  the ledger entries of all batches up to n, as one table
+    snapshot_log/upto=<n>/   written after both, so it commits the snapshot
 
 Nothing is overwritten that is also read. A batch without a ledger entry is not
 visible, and repeating it rewrites its delta; a batch with an entry is complete, and
-repeating it does nothing. Readers open only the folders they need, however many
-batches and snapshots there have been.
+repeating it does nothing. Batches are numbered without gaps, so the entries after the
+newest snapshot are found by their numbers: readers and commits open one folded ledger
+and the entries after it, however many batches there have been. ``expire`` removes what
+older snapshots alone need.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +29,7 @@ from demandgrid.operators.cube import merge_cubes
 from demandgrid.operators.days import processing_status
 from demandgrid.operators.reshape import wide_to_cells
 from demandgrid.sources.files import CUBE_SCHEMA
+from demandgrid.sources.folders import file_system, holds_file, numbers, remove
 
 DELTA_SCHEMA = T.StructType(
     [T.StructField("day", T.IntegerType()), T.StructField("is_late", T.BooleanType()), *CUBE_SCHEMA.fields]
@@ -40,7 +45,7 @@ LEDGER_SCHEMA = T.StructType(
     ]
 )
 COMPACT_EVERY = 50
-SNAPSHOT_LOG_SCHEMA = T.StructType([T.StructField("cells", T.LongType()), T.StructField("upto", T.LongType())])
+KEEP = 2  # snapshots kept: readers of the one before the newest are not cut off
 
 
 class CubeStore:
@@ -54,29 +59,45 @@ class CubeStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        # Empty tables first, so that readers need not tell "no batch yet" from a wrong path.
-        for name, schema in (("ledger", LEDGER_SCHEMA), ("snapshot_log", SNAPSHOT_LOG_SCHEMA)):
-            empty = spark.createDataFrame([], schema)
-            empty.write.mode("ignore").partitionBy(schema.fields[-1].name).parquet(f"{self.root}/{name}")
-
-    def _read(self, name: str, schema: T.StructType, session: SparkSession | None = None) -> DataFrame:
-        return (session or self.spark).read.schema(schema).parquet(f"{self.root}/{name}")
+        folder, system = file_system(spark, f"{self.root}/ledger")
+        system.mkdirs(folder)
 
     def ledger(self) -> DataFrame:
         """One row per batch and day, with the rows counted and the rows that were late."""
-        return self._read("ledger", LEDGER_SCHEMA)
+        return self._ledger(self.spark, self.committed_through())
+
+    def _ledger(self, session: SparkSession, through: int | None) -> DataFrame:
+        """The folded ledger and the entries after it up to ``through``."""
+        base, entries = self.snapshot_through(), []
+        folded = f"{self.root}/folded_ledger/upto={base}"
+        # a snapshot of an earlier version of this store has no folded ledger
+        is_folded = base is not None and holds_file(self.spark, folded)
+        if is_folded:
+            entries.append(session.read.schema(LEDGER_SCHEMA).parquet(folded))
+        first = base + 1 if is_folded else 0
+        paths = [self._entry_path(n) for n in range(first, -1 if through is None else through + 1)]
+        if paths:
+            tail = session.read.schema(LEDGER_SCHEMA).option("basePath", f"{self.root}/ledger").parquet(*paths)
+            entries.append(tail.select(*LEDGER_SCHEMA.names))
+        return reduce(DataFrame.unionByName, entries) if entries else session.createDataFrame([], LEDGER_SCHEMA)
 
     def processed_days(self) -> DataFrame:
         """The committed days and the batch each came in; also the way to rebuild a lost ledger copy."""
         return self.ledger().where("order_rows > 0 or late_rows = 0").select("day", "batch_id")
 
     def committed_through(self) -> int | None:
-        """The newest committed batch."""
-        return self.ledger().agg(F.max("batch_id")).first()[0]
+        """The newest committed batch: entries are looked up one after the other from the newest snapshot on."""
+        newest = self.snapshot_through()
+        while holds_file(self.spark, self._entry_path(0 if newest is None else newest + 1)):
+            newest = 0 if newest is None else newest + 1
+        return newest
 
     def snapshot_through(self) -> int | None:
-        """The newest batch covered by a snapshot."""
-        return self._read("snapshot_log", SNAPSHOT_LOG_SCHEMA).agg(F.max("upto")).first()[0]
+        """The newest batch covered by a complete snapshot."""
+        for upto in reversed(numbers(self.spark, f"{self.root}/snapshot_log", "upto")):
+            if holds_file(self.spark, f"{self.root}/snapshot_log/upto={upto}"):
+                return upto
+        return None
 
     def last_of(self, feeder: str) -> int | None:
         """The newest committed batch of a feeder, by the feeder's own number."""
@@ -92,12 +113,13 @@ class CubeStore:
         is derived from the delta as written.
         """
         session = orders.sparkSession
-        ledger = self._read("ledger", LEDGER_SCHEMA, session)
+        last = self.committed_through()
+        ledger = self._ledger(session, last)
         own = (F.col("feeder") == feeder) & (F.col("feeder_batch") == feeder_batch)
-        known = ledger.agg(F.max("batch_id"), F.max(F.when(own, F.col("batch_id")))).first()
-        if known[1] is not None:
-            return known[1]
-        batch_id = 0 if known[0] is None else known[0] + 1
+        known = ledger.where(own).agg(F.max("batch_id")).first()[0]
+        if known is not None:
+            return known
+        batch_id = 0 if last is None else last + 1
         earlier = (
             ledger.where("order_rows > 0 or late_rows = 0")
             .select("day")
@@ -118,24 +140,23 @@ class CubeStore:
         )
         entry = entry.withColumns({"feeder": F.lit(feeder), "feeder_batch": F.lit(feeder_batch).cast("long")})
         # One row per day of the batch; a single file makes the commit one rename.
-        entry.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/ledger/batch_id={batch_id}")
+        entry.coalesce(1).write.mode("overwrite").parquet(self._entry_path(batch_id))
         return batch_id
 
+    def _entry_path(self, batch_id: int) -> str:
+        return f"{self.root}/ledger/batch_id={batch_id}"
+
     def _delta_path(self, batch_id: int) -> str:
         return f"{self.root}/deltas/batch_id={batch_id}"
 
     def cube(self) -> DataFrame:
         """The cube of every committed batch: newest snapshot plus the deltas after it."""
-        return self._cube(self.snapshot_through())
+        return self._cube(self.snapshot_through(), self.committed_through())
 
-    def _cube(self, base: int | None, through: int | None = None) -> DataFrame:
-        batches = self.ledger().select("batch_id").distinct()
-        if base is not None:
-            batches = batches.where(F.col("batch_id") > base)
-        if through is not None:
-            batches = batches.where(F.col("batch_id") <= through)
+    def _cube(self, base: int | None, through: int | None) -> DataFrame:
         read = self.spark.read
-        paths = [self._delta_path(row.batch_id) for row in batches.collect()]
+        first = 0 if base is None else base + 1
+        paths = [self._delta_path(n) for n in range(first, -1 if through is None else through + 1)]
         parts = []
         if paths:
             deltas = read.schema(DELTA_SCHEMA).parquet(*paths)
@@ -159,10 +180,40 @@ class CubeStore:
             return through
         path = f"{self.root}/snapshots/upto={through}"
         self._cube(base, through).write.mode("overwrite").parquet(path)
+        ledger = self._ledger(self.spark, through).hint("rebalance")
+        ledger.write.mode("overwrite").parquet(f"{self.root}/folded_ledger/upto={through}")
         cells = self.spark.read.schema(CUBE_SCHEMA).parquet(path).agg(F.count(F.lit(1)).alias("cells"))
         cells.write.mode("overwrite").parquet(f"{self.root}/snapshot_log/upto={through}")
         return through
 
+    def expire(self, keep: int = KEEP) -> dict[str, int]:
+        """Remove snapshots older than the newest ``keep``, and the batches that all kept ones cover.
+
+        Returns how many folders of each kind went. Cube, ledger and all later commits
+        stay as they are. Log entries go first, so that no reader begins on a snapshot
+        that is being removed; a run that is cut short is made up for by the next.
+        """
+        if keep < 1:
+            raise ValueError("the newest snapshot is needed")
+        logged = numbers(self.spark, f"{self.root}/snapshot_log", "upto")
+        complete = [n for n in logged if holds_file(self.spark, f"{self.root}/snapshot_log/upto={n}")]
+        if not complete:
+            return {}
+        oldest = complete[-keep:][0]
+        removed = {}
+        for kind, label, covered in (
+            ("snapshot_log", "upto", lambda n: n < oldest),
+            ("snapshots", "upto", lambda n: n < oldest),
+            ("folded_ledger", "upto", lambda n: n < oldest),
+            ("deltas", "batch_id", lambda n: n <= oldest),
+            ("ledger", "batch_id", lambda n: n <= oldest and holds_file(self.spark, f"{self.root}/folded_ledger/upto={oldest}")),
+        ):
+            old = [n for n in numbers(self.spark, f"{self.root}/{kind}", label) if covered(n)]
+            for n in old:
+                remove(self.spark, f"{self.root}/{kind}/{label}={n}")
+            removed[kind] = len(old)
+        return removed
+
     def day_report(self) -> DataFrame:
         """Rows counted and rows too late, per day."""
         return self.ledger().groupBy("day").agg(

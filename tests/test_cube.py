@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from demandgrid.functions.fields import CELL_KEYS
 from demandgrid.operators import cube as cubes
-from demandgrid.operators.grid import SAMPLE_CATEGORIES, SCORED_CATEGORIES, SERVED_CATEGORIES, category_rows, demand_grid
+from demandgrid.operators.grid import category_rows, demand_grid
 from demandgrid.operators.reshape import category_columns, category_coverage, wide_to_long
 from demandgrid.plans.jobs import full_aggregation
 from demandgrid.sources import files
@@ -121,7 +121,7 @@ def test_cube_choice(spark, tmp_path):
         files.choose_cube(spark, absent, none)
 
 
-@pytest.mark.parametrize(("names", "cells"), [(SAMPLE_CATEGORIES, 2520), (SCORED_CATEGORIES, 3360), (SERVED_CATEGORIES, 5376)])
+@pytest.mark.parametrize(("names", "cells"), [([f"category {i}" for i in range(n)], 168 * n) for n in (15, 20, 32)])
 def test_grid_size(spark, names, cells):
     grid = demand_grid(category_rows(spark, names))
     assert grid.count() == grid.distinct().count() == cells
