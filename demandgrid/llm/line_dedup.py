@@ -12,7 +12,8 @@ lines the first occurrence, by doc_id, text hash and line number, is kept.
   probability 0.99, lines of 0.9 practically always. Lines of at most 40 characters have a
   band from every shingle on: a fifth of their joint hashes at least, from which the next
   four are shared, so two such lines of similarity 0.8 always share one.
-* Candidates: equal lines collapse to one hash first. A band value shared by several
+* Candidates: equal lines collapse to one hash first, and are shingled once. Band keys are
+  counted without their lines; only those that occur twice meet their lines again. A band value shared by several
   distinct lines compares each with the most copied of them (a row per member, not per
   pair). A band whose members are then still in several components is searched for all
   remaining pairs, with the similarity inside the join condition, so that only true
@@ -34,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandgrid.llm.base import materialize, table, word_count
+from demandgrid.llm.base import materialize, table, thinned, word_count
 from demandgrid.llm.components import components
 
 SIMILARITY = 0.8
@@ -117,11 +118,19 @@ def _place() -> Column:
     return F.struct(F.col("doc").isNull().alias("none"), "doc", "text_hash", "line_no")
 
 
-def _signed(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(doc, text_hash, line_no, h, n, k0...): every line with the number of shingles and the band keys of the judged ones; k0... are null in short lines."""
-    lines = _lines(docs, min_chars).withColumn("long", F.col("h").isNotNull() & (F.length("line") > SHORT))
-    sets = lines.withColumn("s", F.when(F.col("long"), shingles(F.col("line")))).drop("line")
-    return with_band_keys(sets.withColumn("n", F.when(F.col("long"), F.size("s"))), "s").drop("s", "long")
+def _distinct(docs: DataFrame, min_chars: int) -> DataFrame:
+    """(h, line, copies, first): every judged line once, with the number of its occurrences and the first of them."""
+    judged = _lines(docs, min_chars).where("h is not null")
+    return judged.groupBy("h").agg(F.first("line").alias("line"), F.count(F.lit(1)).alias("copies"), F.min(_place()).alias("first"))
+
+
+def _band_keys(lines: DataFrame) -> DataFrame:
+    """(h, n, copies, keys): number of shingles and distinct band keys of every line."""
+    sets = lines.select("h", "copies", F.length("line").alias("chars"), shingles(F.col("line")).alias("s"))
+    names = [f"k{b}" for b in range(BANDS)]
+    long = with_band_keys(sets.where(F.col("chars") > SHORT), "s").select("h", F.size("s").alias("n"), "copies", F.array_distinct(F.array(*names)).alias("keys"))
+    short = sets.where(F.col("chars") <= SHORT).select("h", F.size("s").alias("n"), "copies", all_band_keys(F.col("s")).alias("keys"))
+    return long.union(short)
 
 
 def _mixed(bands: DataFrame, roots: DataFrame) -> DataFrame:
@@ -131,20 +140,14 @@ def _mixed(bands: DataFrame, roots: DataFrame) -> DataFrame:
     return rooted.join(mixed, "k").select("k", "h", "n", "root")
 
 
-def _links(docs: DataFrame, signed: DataFrame, similarity: float, min_chars: int) -> DataFrame:
+def _links(lines: DataFrame, similarity: float) -> DataFrame:
     """(a, b): verified links between hashes of distinct lines, enough to join all that are joined."""
-    names = [f"k{b}" for b in range(BANDS)]
-    signatures = signed.where("n is not null").groupBy("h").agg(F.count(F.lit(1)).alias("copies"), *[F.max(k).alias(k) for k in ["n", *names]])
-    signatures = materialize(signatures, "signatures")
-    members = signatures.select("h", "n", "copies", F.explode(F.array_distinct(F.array(*names))).alias("k"))
-    # short lines are few characters: they are collapsed as text
-    short = _lines(docs, min_chars).where(F.col("h").isNotNull() & (F.length("line") <= SHORT))
-    short = with_shingles(short.groupBy("h").agg(F.min("line").alias("line"), F.count(F.lit(1)).alias("copies")), "line")
-    short = short.select("h", F.size("s").alias("n"), "copies", all_band_keys(F.col("s")).alias("keys"))
-    short = materialize(short, "short-lines")
-    members = members.union(short.select("h", "n", "copies", F.explode("keys").alias("k")))
-    groups = members.groupBy("k").agg(F.count(F.lit(1)).alias("members"), F.max_by(F.struct("h", "n"), "copies").alias("lead")).where("members > 1")
-    shared = members.select("h", "n", "k").join(groups.select("k", "members", F.col("lead.h").alias("lead"), F.col("lead.n").alias("lead_n")), "k")
+    cells = materialize(_band_keys(lines), "line-keys").select("h", "n", "copies", F.explode("keys").alias("k"))
+    # the bare keys are shuffled first: most occur once, and their lines go no further
+    twice = materialize(cells.groupBy("k").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "shared-keys")
+    shared = materialize(thinned(cells, "k", twice, "k").join(twice, "k"), "shared-cells")
+    leads = shared.groupBy("k").agg(F.max_by(F.struct("h", "n"), "copies").alias("lead"))
+    shared = shared.join(leads, "k").select("h", "n", "k", "members", F.col("lead.h").alias("lead"), F.col("lead.n").alias("lead_n"))
     shared = materialize(shared, "shared-bands")
 
     # sets of other sizes cannot be so similar: only lines with a partner of near size are fetched
@@ -153,8 +156,7 @@ def _links(docs: DataFrame, signed: DataFrame, similarity: float, min_chars: int
     wanted = shared.where("members > 2").select("h").union(pairs.select("h")).union(pairs.select("lead")).distinct()
     wanted = materialize(wanted, "wanted-lines")
     wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
-    texts = _lines(docs, min_chars).where("h is not null").select("h", "line").join(wanted, "h", "left_semi")
-    texts = materialize(texts.groupBy("h").agg(F.first("line").alias("line")), "line-texts")
+    texts = materialize(lines.select("h", "line").join(wanted, "h", "left_semi"), "line-texts")
 
     # each member with the most copied one of its band
     similar = jaccard(shingles(F.col("line")), shingles(F.col("other"))) >= similarity
@@ -174,10 +176,10 @@ def _links(docs: DataFrame, signed: DataFrame, similarity: float, min_chars: int
 
 def line_decisions(docs: DataFrame, similarity: float = SIMILARITY, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc, text_hash, line_no, judged, dropped): one row per line of every document."""
-    signed = materialize(_signed(docs, min_chars), "signed-lines")
-    places = signed.select("doc", "text_hash", "line_no", "h")
-    roots = components(materialize(_links(docs, signed, similarity, min_chars), "line-links"), "a", "b")
-    counted = places.where("h is not null").groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(_place()).alias("first"))
+    lines = materialize(_distinct(docs, min_chars), "distinct-lines")
+    places = _lines(docs, min_chars).drop("line")
+    roots = components(materialize(_links(lines, similarity), "line-links"), "a", "b")
+    counted = lines.select("h", F.col("copies").alias("n"), "first")
     rooted = counted.join(roots.withColumnRenamed("node", "h"), "h", "left").where("n > 1 or root is not null")
     rooted = materialize(rooted.select("h", F.coalesce("root", "h").alias("root"), "first"), "line-roots")
     keep = rooted.groupBy("root").agg(F.min("first").alias("keep"))

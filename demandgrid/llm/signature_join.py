@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandgrid.llm.base import materialize, table
+from demandgrid.llm.base import materialize, table, thinned
 from demandgrid.llm.components import components
 
 SHINGLE = 4
@@ -58,7 +58,6 @@ WORDS_HELD = 300_000  # word hashes a task keeps at hand
 HASHES_AT_ONCE = 1 << 20
 TEXTS_AT_ONCE = 2048
 POSTS_PER_TASK = 20_000
-FILTER_BITS = 1 << 25  # bits by which documents are thinned out before their join: a broadcast of at most FILTER_BITS / 64 rows
 
 SKETCH = "doc_id long, text_hash long, c long, n long, sig array<int>, odd array<long>"
 
@@ -171,21 +170,10 @@ def _set_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.R
             yield pa.RecordBatch.from_arrays([pa.array([name.as_py()], pa.int64()), pa.array([s.view(np.int64)], pa.list_(pa.int64()))], names=["c", "s"])
 
 
-def _thinned(rows: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> DataFrame:
-    """``rows`` without most of those whose key is not wanted; where very many are wanted, more others stay."""
-    slot = lambda name: F.pmod(F.col(name), F.lit(FILTER_BITS))
-    words = wanted.select(slot(wanted_key).alias("slot")).groupBy(F.floor(F.col("slot") / 64).alias("__word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("__bits")
-    )
-    marked = rows.withColumn("__slot", slot(key)).withColumn("__word", F.floor(F.col("__slot") / 64))
-    held = marked.join(F.broadcast(materialize(words, "filter-words")), "__word").where("shiftrightunsigned(__bits, cast(__slot % 64 as int)) & 1 = 1")
-    return held.select(*rows.columns)
-
-
 def _sets(docs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
     """(c, s): the full set of every class, from its first document."""
     first = materialize(classes.select("c", F.col("place.doc_id").alias("id"), F.col("place.text_hash").alias("h")), "class-documents")
-    found = _thinned(_rows(docs), "text_hash", first, "h").join(first, F.expr("doc_id <=> id and text_hash = h"))
+    found = thinned(_rows(docs), "text_hash", first, "h").join(first, F.expr("doc_id <=> id and text_hash = h"))
     sets = found.select("c", "text").mapInArrow(partial(_set_batches, width=shingle), "c long, s array<long>")
     return materialize(sets.dropDuplicates(["c"]), "class-sets")
 
