@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandgrid.session import materialize, shared_dir
+from demandgrid.sources.folders import remove
 
-__all__ = ["WORD", "asc_key", "materialize", "shared_dir", "table", "thinned", "word_count"]
+__all__ = ["WORD", "asc_key", "discard", "materialize", "shared_dir", "table", "thinned", "word_count"]
 
 #: Bits by which rows are thinned out before a join: a broadcast of at most FILTER_BITS / 64 rows.
 FILTER_BITS = 1 << 25
@@ -39,3 +40,10 @@ def thinned(rows: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> Da
     marked = rows.withColumn("__slot", slot(key)).withColumn("__word", F.floor(F.col("__slot") / 64))
     held = marked.join(F.broadcast(materialize(words, "filter-words")), "__word").where("shiftrightunsigned(__bits, cast(__slot % 64 as int)) & 1 = 1")
     return held.select(*rows.columns)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove written intermediate tables, results of ``materialize``, that no later plan reads."""
+    for written in tables:
+        for folder in {file.rsplit("/", 1)[0] for file in written.inputFiles()}:
+            remove(written.sparkSession, folder)

@@ -16,8 +16,9 @@ lines the first occurrence, by doc_id, text hash and line number, is kept.
   counted without their lines; only those that occur twice meet their lines again. A band value shared by several
   distinct lines compares each with the most copied of them (a row per member, not per
   pair). A band whose members are then still in several components is searched for all
-  remaining pairs, with the similarity inside the join condition, so that only true
-  links leave the join.
+  remaining pairs; a sketch of the parities of the shingle hashes, which bounds the
+  difference of two sets from below, is part of the join condition, so that little but
+  true links leaves the join.
 * Verification is exact, on the full shingle sets, which are built from the lines where two
   are compared: written down they would take eight times the room of the text.
 
@@ -35,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandgrid.llm.base import materialize, table, thinned, word_count
+from demandgrid.llm.base import discard, materialize, table, thinned, word_count
 from demandgrid.llm.components import components
 
 SIMILARITY = 0.8
@@ -46,6 +47,7 @@ ROWS = 4
 MIN_WORDS = 1  # every line with a word is judged
 MIN_CHARS = 1
 BLANKS = " \t\x0b\x0c\r"
+PARITY_WORDS = 4  # of 64 bits, a power of two
 BROADCAST_ROWS = 1_000_000  # ids of lines in shared bands: broadcast up to this count, else joined by shuffle
 
 
@@ -103,6 +105,19 @@ def jaccard(left: Column, right: Column) -> Column:
     return F.get(F.transform(F.array(F.struct(left.alias("s"), right.alias("t"))), lambda p: of(p["s"], p["t"])), F.lit(0))
 
 
+def parities(hashes: Column, words: int = PARITY_WORDS) -> Column:
+    """Per 64-bit word, the parity of the number of hashes that fall on each of its bits."""
+    mine = lambda w: F.filter(hashes, lambda x: F.shiftrightunsigned(x, 6).bitwiseAND(F.lit(words - 1)) == w)
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("bigint"), x.bitwiseAND(F.lit(63)).cast("int"))
+    return F.array(*[F.aggregate(mine(w), F.lit(0).cast("bigint"), lambda seen, x: seen.bitwiseXOR(bit(x))) for w in range(words)])
+
+
+def within(bits: Column, other: Column, n: Column, m: Column, similarity: float, words: int = PARITY_WORDS) -> Column:
+    """Whether sets of n and m hashes can be so similar: their parities differ in no more bits than the sets in hashes."""
+    apart = sum((F.bit_count(bits[w].bitwiseXOR(other[w])) for w in range(words)), F.lit(0))
+    return (1 + similarity) * apart <= (1 - similarity) * (n + m) + 1e-6
+
+
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
     """(doc, text_hash, line_no, line, h): every line, lower-cased; h is null where the line is not judged."""
     parts = F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), "\n")
@@ -142,48 +157,60 @@ def _mixed(bands: DataFrame, roots: DataFrame) -> DataFrame:
 
 def _links(lines: DataFrame, similarity: float) -> DataFrame:
     """(a, b): verified links between hashes of distinct lines, enough to join all that are joined."""
-    cells = materialize(_band_keys(lines), "line-keys").select("h", "n", "copies", F.explode("keys").alias("k"))
+    keys = materialize(_band_keys(lines), "line-keys")
+    cells = keys.select("h", "n", "copies", F.explode("keys").alias("k"))
     # the bare keys are shuffled first: most occur once, and their lines go no further
     twice = materialize(cells.groupBy("k").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "shared-keys")
-    shared = materialize(thinned(cells, "k", twice, "k").join(twice, "k"), "shared-cells")
-    leads = shared.groupBy("k").agg(F.max_by(F.struct("h", "n"), "copies").alias("lead"))
-    shared = shared.join(leads, "k").select("h", "n", "k", "members", F.col("lead.h").alias("lead"), F.col("lead.n").alias("lead_n"))
+    shared_cells = materialize(thinned(cells, "k", twice, "k").join(twice, "k"), "shared-cells")
+    leads = shared_cells.groupBy("k").agg(F.max_by(F.struct("h", "n"), "copies").alias("lead"))
+    shared = shared_cells.join(leads, "k").select("h", "n", "k", "members", F.col("lead.h").alias("lead"), F.col("lead.n").alias("lead_n"))
     shared = materialize(shared, "shared-bands")
+    discard(keys, twice, shared_cells)
 
     # sets of other sizes cannot be so similar: only lines with a partner of near size are fetched
     near = lambda n, m: F.least(n, m) >= similarity * F.greatest(n, m)
-    pairs = materialize(shared.where((F.col("h") != F.col("lead")) & near("n", "lead_n")).select("h", "lead").distinct(), "line-pairs")
-    wanted = shared.where("members > 2").select("h").union(pairs.select("h")).union(pairs.select("lead")).distinct()
+    pairs = shared.where((F.col("h") != F.col("lead")) & near("n", "lead_n")).select(F.col("h").alias("a"), F.col("lead").alias("b")).distinct()
+    pairs = materialize(pairs, "line-pairs")
+    wanted = shared.where("members > 2").select("h").union(pairs.select("a")).union(pairs.select("b")).distinct()
     wanted = materialize(wanted, "wanted-lines")
     wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
-    texts = materialize(lines.select("h", "line").join(wanted, "h", "left_semi"), "line-texts")
+    texts = lines.select("h", "line").join(wanted, "h", "left_semi")
+    texts = texts.select("h", "line", shingles(F.col("line")).alias("s")).select("h", "line", F.size("s").alias("n"), parities(F.col("s")).alias("bits"))
+    texts = materialize(texts, "line-texts")
 
     # each member with the most copied one of its band
-    similar = jaccard(shingles(F.col("line")), shingles(F.col("other"))) >= similarity
-    stars = (
-        pairs.join(texts, "h").join(texts.toDF("lead", "other"), "lead")
-        .where(similar).select(F.col("h").alias("a"), F.col("lead").alias("b"))
-    )
-    stars = materialize(stars, "line-stars")
-    # what is then still apart in a band, all of it, inside the join condition
-    rest = _mixed(shared, components(stars, "a", "b")).join(texts, "h")
+    stars = materialize(_verified(pairs, texts, similarity), "line-stars")
+    # what is then still apart in a band, all of it, with the bound of the parities inside the join condition
+    rest = _mixed(shared, components(stars, "a", "b")).join(texts.select("h", "bits"), "h")
     rest = materialize(rest, "mixed-bands")
-    other = rest.select(F.col("k").alias("k2"), F.col("h").alias("g"), F.col("root").alias("groot"), F.col("n").alias("m"), F.col("line").alias("other"))
+    other = rest.select(F.col("k").alias("k2"), F.col("h").alias("g"), F.col("root").alias("groot"), F.col("n").alias("m"), F.col("bits").alias("other"))
     same = (F.col("k") == F.col("k2")) & (F.col("root") < F.col("groot")) & near("n", "m")
-    more = rest.join(other, same & similar)
-    return stars.union(more.select("h", "g"))
+    more = rest.join(other, same & within(F.col("bits"), F.col("other"), F.col("n"), F.col("m"), similarity))
+    more = materialize(more.select(F.col("h").alias("a"), F.col("g").alias("b")).distinct(), "line-pairs")
+    found = materialize(stars.union(_verified(more, texts, similarity)), "line-links")
+    discard(shared, pairs, texts, rest, more, stars)
+    return found
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of lines whose shingle sets are similar enough."""
+    side = lambda name: texts.select(F.col("h").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("line", "n", "bits")])
+    possible = within(F.col("bits_a"), F.col("bits_b"), F.col("n_a"), F.col("n_b"), similarity)
+    similar = jaccard(shingles(F.col("line_a")), shingles(F.col("line_b"))) >= similarity
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(possible).where(similar).select("a", "b")
 
 
 def line_decisions(docs: DataFrame, similarity: float = SIMILARITY, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc, text_hash, line_no, judged, dropped): one row per line of every document."""
     lines = materialize(_distinct(docs, min_chars), "distinct-lines")
     places = _lines(docs, min_chars).drop("line")
-    roots = components(materialize(_links(lines, similarity), "line-links"), "a", "b")
+    roots = components(_links(lines, similarity), "a", "b")
     counted = lines.select("h", F.col("copies").alias("n"), "first")
     rooted = counted.join(roots.withColumnRenamed("node", "h"), "h", "left").where("n > 1 or root is not null")
     rooted = materialize(rooted.select("h", F.coalesce("root", "h").alias("root"), "first"), "line-roots")
     keep = rooted.groupBy("root").agg(F.min("first").alias("keep"))
     verdict = materialize(rooted.join(keep, "root").select("h", "keep"), "line-keep")
+    discard(lines, rooted)
     dropped = F.col("keep").isNotNull() & F.expr("not (keep.doc <=> doc) or keep.text_hash != text_hash or keep.line_no != line_no")
     return places.join(verdict, "h", "left").select("doc", "text_hash", "line_no", F.col("h").isNotNull().alias("judged"), dropped.alias("dropped"))
 
