@@ -48,7 +48,6 @@ MIN_WORDS = 1  # every line with a word is judged
 MIN_CHARS = 1
 BLANKS = " \t\x0b\x0c\r"
 PARITY_WORDS = 4  # of 64 bits, a power of two
-BROADCAST_ROWS = 1_000_000  # ids of lines in shared bands: broadcast up to this count, else joined by shuffle
 
 
 def shingles(line: Column, width: int = WIDTH) -> Column:
@@ -140,11 +139,11 @@ def _distinct(docs: DataFrame, min_chars: int) -> DataFrame:
 
 
 def _band_keys(lines: DataFrame) -> DataFrame:
-    """(h, n, copies, keys): number of shingles and distinct band keys of every line."""
+    """(h, n, copies, bits, keys): number of shingles, their parities and the distinct band keys of every line."""
     sets = lines.select("h", "copies", F.length("line").alias("chars"), shingles(F.col("line")).alias("s"))
-    names = [f"k{b}" for b in range(BANDS)]
-    long = with_band_keys(sets.where(F.col("chars") > SHORT), "s").select("h", F.size("s").alias("n"), "copies", F.array_distinct(F.array(*names)).alias("keys"))
-    short = sets.where(F.col("chars") <= SHORT).select("h", F.size("s").alias("n"), "copies", all_band_keys(F.col("s")).alias("keys"))
+    names, plain = [f"k{b}" for b in range(BANDS)], ["h", F.size("s").alias("n"), "copies", parities(F.col("s")).alias("bits")]
+    long = with_band_keys(sets.where(F.col("chars") > SHORT), "s").select(*plain, F.array_distinct(F.array(*names)).alias("keys"))
+    short = sets.where(F.col("chars") <= SHORT).select(*plain, all_band_keys(F.col("s")).alias("keys"))
     return long.union(short)
 
 
@@ -165,39 +164,40 @@ def _links(lines: DataFrame, similarity: float) -> DataFrame:
     leads = shared_cells.groupBy("k").agg(F.max_by(F.struct("h", "n"), "copies").alias("lead"))
     shared = shared_cells.join(leads, "k").select("h", "n", "k", "members", F.col("lead.h").alias("lead"), F.col("lead.n").alias("lead_n"))
     shared = materialize(shared, "shared-bands")
-    discard(keys, twice, shared_cells)
+    discard(twice, shared_cells)
 
-    # sets of other sizes cannot be so similar: only lines with a partner of near size are fetched
+    # each member with the most copied one of its band; sets of other sizes cannot be so similar
     near = lambda n, m: F.least(n, m) >= similarity * F.greatest(n, m)
     pairs = shared.where((F.col("h") != F.col("lead")) & near("n", "lead_n")).select(F.col("h").alias("a"), F.col("lead").alias("b")).distinct()
-    pairs = materialize(pairs, "line-pairs")
-    wanted = shared.where("members > 2").select("h").union(pairs.select("a")).union(pairs.select("b")).distinct()
-    wanted = materialize(wanted, "wanted-lines")
-    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
-    texts = lines.select("h", "line").join(wanted, "h", "left_semi")
-    texts = texts.select("h", "line", shingles(F.col("line")).alias("s")).select("h", "line", F.size("s").alias("n"), parities(F.col("s")).alias("bits"))
-    texts = materialize(texts, "line-texts")
-
-    # each member with the most copied one of its band
-    stars = materialize(_verified(pairs, texts, similarity), "line-stars")
+    stars = _verified(_possible(pairs, keys, similarity), lines, similarity)
     # what is then still apart in a band, all of it, with the bound of the parities inside the join condition
-    rest = _mixed(shared, components(stars, "a", "b")).join(texts.select("h", "bits"), "h")
+    rest = _mixed(shared, components(stars, "a", "b")).join(keys.select("h", "bits"), "h")
     rest = materialize(rest, "mixed-bands")
+    discard(shared, keys)
     other = rest.select(F.col("k").alias("k2"), F.col("h").alias("g"), F.col("root").alias("groot"), F.col("n").alias("m"), F.col("bits").alias("other"))
     same = (F.col("k") == F.col("k2")) & (F.col("root") < F.col("groot")) & near("n", "m")
     more = rest.join(other, same & within(F.col("bits"), F.col("other"), F.col("n"), F.col("m"), similarity))
     more = materialize(more.select(F.col("h").alias("a"), F.col("g").alias("b")).distinct(), "line-pairs")
-    found = materialize(stars.union(_verified(more, texts, similarity)), "line-links")
-    discard(shared, pairs, texts, rest, more, stars)
-    return found
+    discard(rest)
+    return stars.union(_verified(more, lines, similarity))
+
 
+def _possible(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of lines whose parities allow the similarity, as a written table."""
+    side = lambda name: sketches.select(F.col("h").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "bits")])
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return materialize(both.where(within(F.col("bits_a"), F.col("bits_b"), F.col("n_a"), F.col("n_b"), similarity)).select("a", "b"), "line-pairs")
 
-def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) of lines whose shingle sets are similar enough."""
-    side = lambda name: texts.select(F.col("h").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("line", "n", "bits")])
-    possible = within(F.col("bits_a"), F.col("bits_b"), F.col("n_a"), F.col("n_b"), similarity)
-    similar = jaccard(shingles(F.col("line_a")), shingles(F.col("line_b"))) >= similarity
-    return pairs.join(side("a"), "a").join(side("b"), "b").where(possible).where(similar).select("a", "b")
+
+def _verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of lines whose shingle sets are similar enough, as a written table; ``pairs`` is removed."""
+    ends = pairs.select(F.col("a").alias("h")).union(pairs.select("b")).distinct()
+    texts = materialize(thinned(lines.select("h", "line"), "h", ends, "h").join(ends, "h", "left_semi"), "line-texts")
+    similar = jaccard(shingles(F.col("line")), shingles(F.col("other"))) >= similarity
+    both = pairs.join(texts.toDF("a", "line"), "a").join(texts.toDF("b", "other"), "b")
+    found = materialize(both.where(similar).select("a", "b"), "line-links")
+    discard(pairs, texts)
+    return found
 
 
 def line_decisions(docs: DataFrame, similarity: float = SIMILARITY, min_chars: int = MIN_CHARS) -> DataFrame:

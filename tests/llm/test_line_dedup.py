@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 
 import numpy as np
+from pyspark.sql import functions as F
 from test_operators import union_find
 
 from demandgrid.llm import line_dedup
@@ -50,3 +51,19 @@ def test_short_lines_and_scripts_without_spaces_are_judged(spark):
     chinese = "这是一行没有空格的中文文本用来测试行去重是否可以正确处理长句子而不遗漏任何一行"
     lines = ["les.", "LES.", "a", "a", "b", "two words", "two words", "", "", " \t", " \t", chinese, chinese + "吗"]
     assert kept(spark, lines) == [0, 2, 4, 5, 7, 8, 9, 10, 11]
+
+
+def test_parities_rule_out_no_similar_pair(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for n in (1, 4, 30, 300, 3000):
+        for share in (0.0, 0.5, 0.8, 0.82, 0.95, 1.0):
+            both = rng.integers(-(1 << 62), 1 << 62, size=n).tolist()
+            kept = int(n * share)
+            rows.append((both, both[:kept] + rng.integers(-(1 << 62), 1 << 62, size=n - kept).tolist()))
+    found = spark.createDataFrame(rows, "s array<long>, t array<long>").select(
+        line_dedup.within(line_dedup.parities(F.col("s")), line_dedup.parities(F.col("t")), F.size("s"), F.size("t"), 0.8).alias("possible"),
+        (line_dedup.jaccard(F.col("s"), F.col("t")) >= 0.8).alias("similar"),
+    )
+    counts = collections.Counter((r.possible, r.similar) for r in found.collect())
+    assert counts[False, True] == 0 and counts[False, False] > 0 and counts[True, True] > 0
