@@ -160,11 +160,11 @@ def _links(lines: DataFrame, similarity: float) -> DataFrame:
     cells = keys.select("h", "n", "copies", F.explode("keys").alias("k"))
     # the bare keys are shuffled first: most occur once, and their lines go no further
     twice = materialize(cells.groupBy("k").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "shared-keys")
-    shared_cells = materialize(thinned(cells, "k", twice, "k").join(twice, "k"), "shared-cells")
-    leads = shared_cells.groupBy("k").agg(F.max_by(F.struct("h", "n"), "copies").alias("lead"))
-    shared = shared_cells.join(leads, "k").select("h", "n", "k", "members", F.col("lead.h").alias("lead"), F.col("lead.n").alias("lead_n"))
+    cells = thinned(cells, "k", twice, "k")
+    groups = cells.groupBy("k").agg(F.count(F.lit(1)).alias("members"), F.max_by(F.struct("h", "n"), "copies").alias("lead")).where("members > 1")
+    shared = cells.join(groups, "k").select("h", "n", "k", "members", F.col("lead.h").alias("lead"), F.col("lead.n").alias("lead_n"))
     shared = materialize(shared, "shared-bands")
-    discard(twice, shared_cells)
+    discard(twice)
 
     # each member with the most copied one of its band; sets of other sizes cannot be so similar
     near = lambda n, m: F.least(n, m) >= similarity * F.greatest(n, m)
