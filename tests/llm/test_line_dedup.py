@@ -6,22 +6,11 @@ import collections
 
 import numpy as np
 from pyspark.sql import functions as F
-from test_operators import union_find
+from test_operators import similar_pairs, union_find
 
 from demandgrid.llm import line_dedup
 
 
-def shingles(line):
-    flat = " ".join(w for w in line.split(" ") if w)
-    return {flat[i : i + 5] for i in range(max(1, len(flat) - 4))}
-
-
-def components(lines):
-    sets = [shingles(line) for line in lines]
-    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
-    return union_find(len(lines), pairs)
-
-
 def kept(spark, lines):
     docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
     return sorted(r.doc for r in line_dedup.line_decisions(docs).where("not dropped").collect())
@@ -41,7 +30,7 @@ def test_lines_of_every_length_equal_brute_force(spark):
             line = " ".join(rng.choice(vocabulary, size=n))
             at = int(rng.integers(len(line)))
             lines += [line, line[:at] + "z" + line[at + 1 :], line + "zz", " ".join(line.split()[:-1])]
-    roots = components(lines)
+    roots = union_find(len(lines), similar_pairs(lines))
     found = kept(spark, lines)
     assert set(roots) <= set(found) and len(found) <= len(set(roots)) + 2
     assert collections.Counter(roots).most_common(1)[0][1] > 1

@@ -94,9 +94,23 @@ def test_water_filling_clamps(spark):
 
 
 def shingles(line):
-    words = list(line) if len(line.encode()) > 2 * len(line) else [w for w in line.split(" ") if w]
-    ahead = (lambda i: tuple(words[i + 1 : i + 5])) if len(line.encode()) > 2 * len(line) else (lambda i: words[i + 1][:4] if i + 1 < len(words) else None)
-    return {(w, ahead(i)) for i, w in enumerate(words)}
+    """The runs of five characters at every character, runs of spaces taken as one; a shorter line is one run."""
+    flat = " ".join(w for w in line.split(" ") if w)
+    return {flat[i : i + 5] for i in range(max(1, len(flat) - 4))}
+
+
+def similar_pairs(lines):
+    """Brute force over all pairs of lines; sets of too unequal sizes need no intersection."""
+    sets = sorted(((len(s), i, s) for i, s in ((i, shingles(line)) for i, line in enumerate(lines))), key=lambda x: x[:2])
+    pairs = []
+    for at, (n, i, s) in enumerate(sets):
+        for m, j, t in sets[at + 1 :]:
+            if n < 0.8 * m:
+                break
+            shared = len(s & t)
+            if shared >= 0.8 * (n + m - shared):
+                pairs.append((i, j))
+    return pairs
 
 
 def dropped_lines(rows):
@@ -104,8 +118,7 @@ def dropped_lines(rows):
     places = []
     for r in set((r.doc_id, r.text) for r in rows):
         places += [(r[0], r[1], i, line.lower()) for i, line in enumerate((r[1] or "").split("\n")) if len(line.split()) >= line_dedup.MIN_WORDS]
-    sets = [shingles(p[3]) for p in places]
-    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    pairs = similar_pairs([p[3] for p in places])
     groups = collections.defaultdict(list)
     for p, root in zip(places, union_find(len(places), pairs), strict=True):
         groups[root].append(p)

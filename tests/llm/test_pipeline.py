@@ -19,7 +19,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def test_registered():
     assert set(queries.QUERIES) <= set(driver.queries()) and "pipeline" in driver.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
