@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from demandgrid.functions.fields import CELL_KEYS, quoted
 from demandgrid.operators.cube import cube_from_orders, cube_from_rows
-from demandgrid.operators.lookup import batch_lookup, point_lookup, top_predictions_per_day
+from demandgrid.operators.lookup import batch_lookup, key_lookup, point_lookup, top_predictions_per_day
 from demandgrid.operators.reshape import category_columns, wide_to_long
 from demandgrid.operators.scoring import score
 from demandgrid.operators.training import train_candidates, training_rows
@@ -97,6 +97,7 @@ def main() -> None:
     predictions = stored_predictions(spark, SF_DIR)
     times["batch_lookup_stored"] = timed(lambda: run(batch_lookup(requests, predictions)))
     times["point_lookup_stored"] = timed(lambda: run(point_lookup(predictions, 0, 9, "purchase")))
+    times["key_lookup_stored"] = timed(lambda: run(key_lookup(predictions, "0:9:purchase")))
     times["top_per_day_stored"] = timed(lambda: run(top_predictions_per_day(predictions)))
     model = train_candidates(training_rows(QUERIES["cube_events"](spark, SF_DIR))).model
     times["score_requests"] = timed(lambda: run(score(requests, model)))

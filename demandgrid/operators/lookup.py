@@ -21,6 +21,18 @@ def point_lookup(predictions: DataFrame, day: int, hour: int, category: str) ->
     return matching(predictions, day, hour).where(F.col("category") == wanted)
 
 
+def key_lookup(predictions: DataFrame, key: str) -> DataFrame:
+    """The row of a ``day:hour:category`` text of a stored table, or no row.
+
+    The day prunes the folders; the key's bloom filter and bounds skip all row groups
+    but those that may hold it, and the page index skips pages of these. A text that is
+    no key has no row.
+    """
+    parts = key.split(":")
+    day = int(parts[0]) if len(parts) == 3 and parts[0].isdecimal() else None
+    return predictions.where(F.lit(False) if day is None else (F.col("day_of_week") == day) & (F.col("key") == key))
+
+
 def batch_lookup(requests: DataFrame, predictions: DataFrame, found: str | None = None) -> DataFrame:
     """Every request once, its own columns untouched, with prediction and found flag.
 

@@ -36,6 +36,13 @@ METADATA_SCHEMA = T.StructType(
     ]
 )
 
+#: Row groups of a size that one lookup may read, and a bloom filter by which those without its key are skipped.
+FILE_OPTIONS = {
+    "parquet.block.size": str(16 << 20),
+    "parquet.bloom.filter.enabled#key": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+}
+
 
 def score(requests: DataFrame, model: PipelineModel) -> DataFrame:
     """Every request with its rounded prediction, and whether its category was trained on.
@@ -83,15 +90,16 @@ class PredictionStore:
     """Complete, immutable versions of a prediction table.
 
     ``predictions/version=<n>/day_of_week=<d>/`` holds the rows, sorted by key so
-    that a lookup skips most of each file; ``metadata/version=<n>/`` is written
+    that a lookup skips most of each file, with a bloom filter of the keys in each row group; ``metadata/version=<n>/`` is written
     after them and makes the version visible. Readers use the newest version, so
     cells of an earlier category list do not linger. A refresh first claims its number
     by a file that only one can create, so two at a time write two versions.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, file_options: dict[str, str] | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.file_options = FILE_OPTIONS | (file_options or {})
         empty = spark.createDataFrame([], METADATA_SCHEMA)
         empty.write.mode("ignore").partitionBy("version").parquet(f"{self.root}/metadata")
 
@@ -116,6 +124,7 @@ class PredictionStore:
             rows.hint("rebalance", F.col("day_of_week"))
             .sortWithinPartitions(*CELL_KEYS)
             .write.mode("overwrite")
+            .options(**self.file_options)
             .partitionBy("day_of_week")
             .parquet(path)
         )

@@ -632,6 +632,11 @@ def point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.point_lookup(stored_predictions(spark, sf_dir), 0, 9, " Purchase").select(*PREDICTION)
 
 
+@query
+def key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookup.key_lookup(stored_predictions(spark, sf_dir), "0:9:purchase").select("key", *PREDICTION)
+
+
 @query
 def batch_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.batch_lookup(rel.lookup_requests(spark, sf_dir), stored_predictions(spark, sf_dir)).drop("cached_at")

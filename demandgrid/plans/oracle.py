@@ -279,6 +279,8 @@ ORACLE: dict[str, str] = {
         day_of_week, hour_of_day, category FROM p""",
     "point_lookup": f"""WITH {PREDICTIONS} SELECT * FROM p
         WHERE day_of_week = 0 AND hour_of_day = 9 AND category = 'purchase'""",
+    "key_lookup": f"""WITH {PREDICTIONS} SELECT '0:9:purchase' AS key, * FROM p
+        WHERE day_of_week = 0 AND hour_of_day = 9 AND category = 'purchase'""",
     "batch_lookup": f"WITH {LOOKED_UP} SELECT * FROM looked",
     "missing_cells": f"""WITH {LOOKED_UP}
         SELECT DISTINCT day_of_week, hour_of_day, {_clean("category")} AS category FROM looked WHERE NOT found""",

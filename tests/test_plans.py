@@ -140,3 +140,31 @@ def test_shared_folder_does_not_depend_on_the_master(master):
 
     assert shared_dir(Session(**{"spark.checkpoint.dir": "hdfs://n/c/"}), "x").startswith("hdfs://n/c/x-")
     assert shared_dir(Session(**{"spark.sql.warehouse.dir": "hdfs://n/w"}), "x").startswith("hdfs://n/w/_shared/x-")
+
+
+def scanned_rows(df) -> int:
+    """Rows that the scan of an executed plan handed on."""
+    df.collect()
+    node = df._jdf.queryExecution().executedPlan()
+    while node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        node = node.executedPlan()
+    while node.children().size():
+        node = node.children().apply(0)
+    return node.metrics().apply("numOutputRows").value()
+
+
+def test_a_lookup_by_key_reads_one_row_group_of_one_day(spark):
+    names = [f"category {i:05d}" for i in range(3000)]
+    scored = demand_grid(category_rows(spark, names)).where("hour_of_day < 4").withColumn("prediction", F.lit(1.5))
+    small = {"parquet.block.size": str(32 << 10), "parquet.block.row.count.limit": "1000", "parquet.page.row.count.limit": "500"}
+    store = PredictionStore(spark, shared_dir(spark, "predictions"), small)
+    with settings(spark, **{"spark.sql.shuffle.partitions": "1"}):
+        store.refresh(scored)
+    table = store.read()
+    found = lookup.key_lookup(table, "3:2:category 01234")
+    assert [(r.hour_of_day, r.category, r.prediction) for r in found.collect()] == [(2, "category 01234", 1.5)]
+    assert re.search(r"PartitionFilters: \[.*day_of_week.*= 3", plan(found))
+    assert 1 <= scanned_rows(found) <= 1000  # of 12,000 rows of the day
+    # between two keys that are there: bounds include it, no bloom filter does
+    assert scanned_rows(lookup.key_lookup(table, "3:2:category 01234x")) == 0
+    assert lookup.key_lookup(table, "no key").count() == lookup.key_lookup(table, "x:2:category 01234").count() == 0
