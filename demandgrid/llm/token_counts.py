@@ -37,6 +37,8 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Fixed value: the published split pattern of this vocabulary.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 END = 50256
+FILES_PER_TASK = 64  # of which the sizes are asked for
+BLOCKS_PER_TASK = 4
 BLOCK = 1 << 21  # ids in a block
 FLUSH = 1 << 20
 
@@ -106,15 +108,19 @@ def _scan_batches(batches: Iterator[pa.RecordBatch], folder: str, end: int, widt
 
 def count_tokens(files: DataFrame, folder: str, end: int = END, width: int = 2, block: int = BLOCK) -> DataFrame:
     """(file, number, n_tokens) of every document of the flat token files that ``files.file`` names."""
-    sized = files.select("file").distinct().mapInArrow(partial(_size_batches, folder=folder), "file string, bytes long")
+    named = materialize(files.select("file").distinct(), "token-files")
+    # rows are few and small, the work behind each is not: numbers of partitions that adaptive execution keeps
+    sized = named.repartition(1 + named.count() // FILES_PER_TASK, "file").mapInArrow(partial(_size_batches, folder=folder), "file string, bytes long")
     sized = sized.withColumn("ids", F.when(F.col("bytes") % width == 0, (F.col("bytes") / width).cast("long")).otherwise(F.raise_error(F.concat("file", F.lit(": size is no multiple of the id width")))))
     start = F.explode(F.when(F.col("ids") > 0, F.sequence(F.lit(0).cast("long"), F.col("ids") - 1, F.lit(block).cast("long"))))
     blocks = sized.select("file", "ids", start.alias("start"))
     blocks = blocks.select("file", (F.col("start") / block).cast("long").alias("block"), "start", F.least(F.lit(block), F.col("ids") - F.col("start")).cast("int").alias("n"))
-    found = blocks.repartition("file", "block").mapInArrow(
+    blocks = materialize(blocks, "token-blocks")
+    tasks = 1 + blocks.count() // BLOCKS_PER_TASK
+    found = blocks.repartitionByRange(tasks, "file", "block").mapInArrow(
         partial(_scan_batches, folder=folder, end=end, width=width), "file string, block long, ends long, head long, tail long, inner array<long>"
     )
-    found = materialize(found, "token-blocks")
+    found = materialize(found, "token-summaries")
     # prefix scan over the summaries: documents closed before a block, and tokens left open before it
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     summary = found.select("file", "block", "ends", "head", "tail")

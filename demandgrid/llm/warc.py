@@ -39,6 +39,7 @@ from demandgrid.llm.base import materialize, shared_dir, table
 
 LEAST = 0
 LEVEL = 1
+READ_BYTES = 8 << 20  # members that a task reads back
 BLOCK = 1 << 20
 GZIP = 16 + zlib.MAX_WBITS
 DATE = "2000-01-01T00:00:00Z"  # records are the same whenever they are written
@@ -231,7 +232,8 @@ def write_monolithic(rows: DataFrame, folder: str) -> DataFrame:
 
 def normalise(spark: SparkSession, files: DataFrame, source: str, target: str) -> DataFrame:
     """Rewrites the named files with a member per record; the written sidecar index."""
-    named = files.select("name").repartition("name")
+    # a row is a whole file: a task each, which adaptive execution would merge for the rows' small size
+    named = files.select("name").repartitionByRange(max(1, files.count()), "name")
     done = named.mapInArrow(partial(_normalise_batches, source=source, target=target), "file string, record_id string, at long, size long")
     path = f"{target}/index"
     done.write.parquet(path)
@@ -241,7 +243,8 @@ def normalise(spark: SparkSession, files: DataFrame, source: str, target: str) -
 def read_archive(index: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
     """The records that the index lists; ``payload`` is null for revisits or if not asked for."""
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
-    return index.sortWithinPartitions("file", "at").mapInArrow(partial(_read_batches, folder=folder, payloads=payloads), schema)
+    tasks = 1 + (index.agg(F.sum("size")).first()[0] or 0) // READ_BYTES
+    return index.repartitionByRange(tasks, "file", "at").sortWithinPartitions("file", "at").mapInArrow(partial(_read_batches, folder=folder, payloads=payloads), schema)
 
 
 def op5_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:

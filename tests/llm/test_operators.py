@@ -383,3 +383,40 @@ def test_toxicity(spark, none):
 def test_kernel_of_subsequences():
     k = toxicity.kernel(["idiot", "idxiot", "table"], ["idiot"])[:, 0]
     assert k[0] == pytest.approx(1.0) and 0.4 < k[1] < 1.0 and k[2] < 0.1
+
+
+def tasks_of(spark, name, work):
+    """Numbers of tasks of the stages that ``work`` runs."""
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        result = work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for job in tracker.getJobIdsForGroup(name) for s in tracker.getJobInfo(job).stageIds]
+    return result, [stage.numTasks for stage in stages if stage]
+
+
+def test_archives_are_normalised_and_read_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(warc, "READ_BYTES", 2000)
+    rows = [(i, f"http://x.org/{i}", f"<p>page {i % 37} " + "long text " * (i % 11) + "</p>") for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(16)
+    raw, archive = shared_dir(spark, "raw"), shared_dir(spark, "archive")
+    files = warc.write_monolithic(warc.plan_records(pages), raw)
+    index, tasks = tasks_of(spark, "normalise", lambda: warc.normalise(spark, files, raw, archive))
+    assert files.count() == 16 and max(tasks) >= 12
+    found, tasks = tasks_of(spark, "read", lambda: warc.read_archive(index, archive).collect())
+    assert max(tasks) > 4
+    assert sorted(r.page_id for r in found) == list(range(300))
+    texts = {r.page_id: r.payload.decode() for r in found if r.record_type == "response"}
+    assert texts and all(t == rows[i][2] for i, t in texts.items())
+    assert all(rows[r.refers_to][2] == rows[r.page_id][2] for r in found if r.record_type == "revisit")
+
+
+def test_blocks_are_scanned_in_many_tasks(spark, docs):
+    folder = shared_dir(spark, "tokens")
+    order = token_counts.write_tokens(docs, folder)
+    few = {(r.file, r.number): r.n_tokens for r in token_counts.count_tokens(order, folder).collect()}
+    found, tasks = tasks_of(spark, "scan", lambda: token_counts.count_tokens(order, folder, block=500).collect())
+    assert max(tasks) > 8
+    assert {(r.file, r.number): r.n_tokens for r in found} == few
