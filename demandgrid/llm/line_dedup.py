@@ -6,24 +6,22 @@ that it equals only itself. Two lines are linked when their
 shingle sets have a Jaccard similarity of 0.8 or more; of every component of linked
 lines the first occurrence, by doc_id, text hash and line number, is kept.
 
-* Signatures: one sorted array of shingle hashes per line. A band is the four hashes
-  that follow a fixed point of the hash circle, so ten points give ten bands of four
-  rows from a single permutation. Two lines of similarity 0.8 share a band with
-  probability 0.99, lines of 0.9 practically always. Lines of at most 40 characters have a
-  band from every shingle on: a fifth of their joint hashes at least, from which the next
-  four are shared, so two such lines of similarity 0.8 always share one.
-* Candidates: equal lines collapse to one hash first, and are shingled once. Band keys are
-  counted without their lines; only those that occur twice meet their lines again. A band value shared by several
-  distinct lines compares each with the most copied of them (a row per member, not per
-  pair). A band whose members are then still in several components is searched for all
-  remaining pairs; a sketch of the parities of the shingle hashes, which bounds the
-  difference of two sets from below, is part of the join condition, so that little but
-  true links leaves the join.
-* Verification is exact, on the full shingle sets, which are built from the lines where two
-  are compared: written down they would take eight times the room of the text.
-
-Everything is DataFrame code. Hot lines are pre-aggregated before their shuffle,
-and joins on line hashes are ones that adaptive execution can split.
+* Signatures: minima of the line's shingle hashes under seeded permutations, in numpy on
+  Arrow batches, a bounded number of shingles at a time. A band is the hash of six minima;
+  sixteen bands bring two lines of similarity 0.8 together with probability 0.992. Lines of
+  at most 40 characters have thirty-two bands (0.9999).
+* Candidates: band keys are counted without their lines; only keys of several distinct lines
+  meet their lines again, and only those lines' texts are read again. A band compares each
+  member with its most copied one (a row per member, not per pair). A band whose members are
+  then still in several components is searched for all remaining pairs; a sketch of the
+  parities of the shingle hashes, which bounds the difference of two sets from below, is part
+  of the join condition, so that little but true links leaves the join.
+* Verification is exact, on the full shingle sets of the two texts.
+
+Signatures and verification run in numpy and Python inside tasks, since the same work in DataFrame
+functions does not fit the limits with whole results (figures in the README); the joins, counts and
+components are DataFrame code. Hot lines are combined before their shuffle, and joins on line
+hashes are ones that adaptive execution can split.
 
 Defined results: a null or empty text has one line that is never judged; every line with
 a word is judged (``min_chars`` asks for more evidence, counted in characters, so that
@@ -33,6 +31,11 @@ doc_ids with different texts are different documents; a null doc_id comes last.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,81 +44,144 @@ from demandgrid.llm.components import components
 
 SIMILARITY = 0.8
 WIDTH = 5
-SHORT = 40  # lines of so many characters have a band from every shingle
-BANDS = 10
-ROWS = 4
+SHORT = 40  # lines of so many characters have SHORT_BANDS bands, the first BANDS of which are those of longer lines
+BANDS = 16
+SHORT_BANDS = 32
+ROWS = 6
 MIN_WORDS = 1  # every line with a word is judged
 MIN_CHARS = 1
 BLANKS = " \t\x0b\x0c\r"
-PARITY_WORDS = 4  # of 64 bits, a power of two
+PARITY_WORDS = 4  # of 64 bits
+PIECE = 1 << 16  # shingles hashed at once
 BROADCAST_ROWS = 1_000_000  # ids of lines in shared bands: broadcast up to this count, else joined by shuffle
 
-
-def shingles(line: Column, width: int = WIDTH) -> Column:
-    """The sorted distinct hashes of the runs of ``width`` characters; a shorter line is one run."""
-    flat = F.trim(F.when(F.contains(line, F.lit("  ")), F.regexp_replace(line, " +", " ")).otherwise(line))
-    octets = 4 * width  # of UTF-32, in which a run is found without counting from the start
-
-    def runs(chars: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.octet_length(chars) - octets + 1, F.lit(1)), F.lit(4))
-        return F.transform(starts, lambda i: F.xxhash64(F.substring(chars, i, F.lit(octets))))
-
-    # as the variable of a lambda the line is not copied anew for each run
-    return F.sort_array(F.array_distinct(F.get(F.transform(F.array(F.encode(flat, "UTF-32")), runs), F.lit(0))))
-
-
-def with_shingles(rows: DataFrame, line: str, width: int = WIDTH) -> DataFrame:
-    """Adds s: the shingles of a lower-cased line."""
-    return rows.select("*", shingles(F.col(line), width).alias("s"))
-
-
-def with_band_keys(rows: DataFrame, hashes: str, bands: int = BANDS, rows_per_band: int = ROWS) -> DataFrame:
-    """Adds k0, k1, ...: key b is the hash of the ``rows_per_band`` hashes that follow point b of the circle."""
-    step = (1 << 64) // bands
-    points = [-(1 << 63) + step * b + step // 2 for b in range(bands)]
-    lit = lambda p: F.lit(p).cast("bigint")
-    marked = rows.select(
-        "*",
-        F.sort_array(F.concat(F.col(hashes), F.array(*map(lit, points)))).alias("__marked"),
-        F.concat(F.col(hashes), F.slice(F.col(hashes), 1, rows_per_band)).alias("__circle"),
-        F.size(hashes).alias("__n"),
-    )
-    # hashes below point b = its place among all, less the points before it; past the last hash, the circle begins anew
-    placed = marked.select("*", *[(F.array_position("__marked", lit(p)).cast("int") - b - 1).alias(f"__at{b}") for b, p in enumerate(points)])
-    width = F.least(F.lit(rows_per_band), F.col("__n"))
-    at = lambda b: F.when(F.col(f"__at{b}") < F.col("__n"), F.col(f"__at{b}")).otherwise(0) + 1
-    keys = [F.xxhash64(F.slice(F.col("__circle"), at(b), width)).alias(f"k{b}") for b in range(bands)]
-    return placed.select(*rows.columns, *keys)
-
-
-def all_band_keys(hashes: Column, rows_per_band: int = ROWS) -> Column:
-    """The distinct band keys from every hash of the circle on, those of ``with_band_keys`` among them."""
-    width = lambda s: F.least(F.lit(rows_per_band), F.size(s))
-    keys = lambda s: F.transform(s, lambda _, i: F.xxhash64(F.slice(F.concat(s, F.slice(s, 1, rows_per_band)), i + 1, width(s))))
-    return F.array_distinct(F.get(F.transform(F.array(hashes), keys), F.lit(0)))
-
-
-def jaccard(left: Column, right: Column) -> Column:
-    """Of two arrays of distinct values; each is built once."""
-
-    def of(s: Column, t: Column) -> Column:
-        shared = F.size(F.array_intersect(s, t))
-        return shared / (F.size(s) + F.size(t) - shared)
-
-    return F.get(F.transform(F.array(F.struct(left.alias("s"), right.alias("t"))), lambda p: of(p["s"], p["t"])), F.lit(0))
-
-
-def parities(hashes: Column, words: int = PARITY_WORDS) -> Column:
-    """Per 64-bit word, the parity of the number of hashes that fall on each of its bits."""
-    mine = lambda w: F.filter(hashes, lambda x: F.shiftrightunsigned(x, 6).bitwiseAND(F.lit(words - 1)) == w)
-    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("bigint"), x.bitwiseAND(F.lit(63)).cast("int"))
-    return F.array(*[F.aggregate(mine(w), F.lit(0).cast("bigint"), lambda seen, x: seen.bitwiseXOR(bit(x))) for w in range(words)])
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_MIX = np.uint64(0xD6E8FEB86659FD93)
+_HALF = np.uint64(32)
+
+
+def _flat(line: str) -> str:
+    """Runs of spaces taken as one, none at the ends."""
+    return " ".join(w for w in line.split(" ") if w) if "  " in line else line.strip(" ")
+
+
+def shingles(line: str, width: int = WIDTH) -> set[str]:
+    """The runs of ``width`` characters of a lower-cased line; a shorter line is one run."""
+    flat = _flat(line)
+    return {flat[i : i + width] for i in range(max(1, len(flat) - width + 1))}
+
+
+def _pieces(line: str, width: int = WIDTH) -> list[str]:
+    """The line in overlapping pieces of at most ``PIECE`` runs, each run in one piece; a short line is filled up."""
+    flat = _flat(line).ljust(width, "\0")
+    return [flat[i : i + PIECE + width - 1] for i in range(0, len(flat) - width + 1, PIECE)]
+
+
+def _run_hashes(pieces: list[str], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of all pieces, one after the other, and where each piece begins among them."""
+    chars = np.frombuffer("".join(pieces).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+    hashes = chars[: len(chars) - width + 1].copy()
+    for i in range(1, width):
+        hashes *= _STEP
+        hashes += chars[i : len(chars) - width + 1 + i]
+    for factor in (_MIX, _STEP):
+        hashes ^= hashes >> _HALF
+        hashes *= factor
+    hashes ^= hashes >> _HALF
+    within_piece = np.ones(len(chars), dtype=bool)
+    for i in range(1, width):
+        within_piece[np.cumsum(sizes) - i] = False
+    runs = sizes - width + 1
+    return hashes[within_piece[: len(hashes)]], np.cumsum(runs) - runs
+
+
+def _permutations(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Odd factors and masks, the same in every task; the first ones do not depend on ``count``."""
+    drawn = np.random.default_rng(10).integers(0, 1 << 32, size=(count, 2), dtype=np.uint32)
+    return drawn[:, 0] | np.uint32(1), drawn[:, 1]
+
+
+def band_keys(lines: list[str], bands: int = BANDS, rows_per_band: int = ROWS) -> np.ndarray:
+    """A row of ``bands`` keys for every line."""
+    keys = np.empty((len(lines), bands), dtype=np.uint64)
+    factors, masks = _permutations(bands * rows_per_band)
+
+    def signed(first: int, pieces: list[list[str]]) -> None:
+        hashes, starts = _run_hashes([p for line in pieces for p in line])
+        low = (hashes >> _HALF).astype(np.uint32)
+        room = np.empty_like(low)
+        line_starts = np.cumsum([0] + [len(line) for line in pieces[:-1]])
+        for band in range(bands):
+            key = np.full(len(pieces), band, dtype=np.uint64)
+            for row in range(band * rows_per_band, (band + 1) * rows_per_band):
+                np.multiply(low, factors[row], out=room)
+                np.bitwise_xor(room, masks[row], out=room)
+                key ^= np.minimum.reduceat(np.minimum.reduceat(room, starts), line_starts)
+                key *= _STEP
+                key ^= key >> _HALF
+            keys[first : first + len(pieces), band] = key
+
+    first, waiting, runs = 0, [], 0
+    for line in lines:
+        waiting.append(_pieces(line))
+        runs += sum(map(len, waiting[-1]))
+        if runs >= PIECE:
+            signed(first, waiting)
+            first, waiting, runs = first + len(waiting), [], 0
+    if waiting:
+        signed(first, waiting)
+    return keys.view(np.int64)
+
+
+def _key_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, line) to (h, copies, keys); equal lines of a batch are signed once."""
+    for batch in batches:
+        hashes, first, copies = np.unique(batch.column(0).to_numpy(), return_index=True, return_counts=True)
+        lines = batch.column(1).take(pa.array(first)).to_pylist()
+        short = np.fromiter((len(line) <= SHORT for line in lines), dtype=bool, count=len(lines))
+        for members, bands in ((np.flatnonzero(~short), BANDS), (np.flatnonzero(short), SHORT_BANDS)):
+            if len(members):
+                keys = band_keys([lines[i] for i in members], bands)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32)), pa.array(keys.ravel()))
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[members]), pa.array(copies[members]), lists], names=["h", "copies", "keys"])
+
+
+def sketch(hashes: np.ndarray, words: int = PARITY_WORDS) -> np.ndarray:
+    """``words`` longs: for each of their bits, the parity of the number of (distinct) hashes that fall on it."""
+    counts = np.bincount((hashes % np.uint64(64 * words)).astype(np.int64), minlength=64 * words)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, line) to (h, line, n, bits): number of shingles and their sketch."""
+    for batch in batches:
+        sets = (np.unique(np.concatenate([_run_hashes([p])[0] for p in _pieces(line.as_py())])) for line in batch.column(1))
+        found = [(len(s), sketch(s)) for s in sets]
+        bits = np.array([b for _, b in found], dtype=np.int64).reshape(-1)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(bits) + 1, PARITY_WORDS, dtype=np.int32)), pa.array(bits))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([n for n, _ in found], pa.int32()), lists], names=["h", "line", "n", "bits"])
+
+
+def _similar_batches(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """(a, b, line_a, line_b) to the pairs (a, b) whose shingle sets are similar enough; equal b in a row are shingled once."""
+    held, leading = None, set()
+    for batch in batches:
+        passed = []
+        for b, left, right in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
+            if b != held:
+                held, leading = b, shingles(right.as_py())
+            other = shingles(left.as_py())
+            shared = len(leading & other)
+            passed.append(shared / (len(leading) + len(other) - shared) >= similarity)
+        yield batch.select([0, 1]).filter(pa.array(passed, pa.bool_()))
 
 
 def within(bits: Column, other: Column, n: Column, m: Column, similarity: float, words: int = PARITY_WORDS) -> Column:
-    """Whether sets of n and m hashes can be so similar: their parities differ in no more bits than the sets in hashes."""
+    """Whether sets of n and m hashes can be so similar: by their sizes, and as their parities differ in no more bits than the sets in hashes."""
+    near = F.least(n, m) >= similarity * F.greatest(n, m)
     apart = sum((F.bit_count(bits[w].bitwiseXOR(other[w])) for w in range(words)), F.lit(0))
-    return (1 + similarity) * apart <= (1 - similarity) * (n + m) + 1e-6
+    return near & ((1 + similarity) * apart <= (1 - similarity) * (n + m) + 1e-6)
 
 
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -133,84 +199,80 @@ def _place() -> Column:
     return F.struct(F.col("doc").isNull().alias("none"), "doc", "text_hash", "line_no")
 
 
-def _distinct(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(h, line, copies, first): every judged line once, with the number of its occurrences and the first of them."""
-    judged = _lines(docs, min_chars).where("h is not null")
-    return judged.groupBy("h").agg(F.first("line").alias("line"), F.count(F.lit(1)).alias("copies"), F.min(_place()).alias("first"))
-
-
-def _band_keys(lines: DataFrame) -> DataFrame:
-    """(h, n, copies, keys): number of shingles and distinct band keys of every line."""
-    sets = lines.select("h", "copies", F.length("line").alias("chars"), shingles(F.col("line")).alias("s"))
-    names = [f"k{b}" for b in range(BANDS)]
-    long = with_band_keys(sets.where(F.col("chars") > SHORT), "s").select("h", F.size("s").alias("n"), "copies", F.array_distinct(F.array(*names)).alias("keys"))
-    short = sets.where(F.col("chars") <= SHORT).select("h", F.size("s").alias("n"), "copies", all_band_keys(F.col("s")).alias("keys"))
-    return long.union(short)
-
-
 def _mixed(bands: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members (k, h, n, root) of the bands that still hold several components."""
+    """Members (k, h, root) of the bands that still hold several components."""
     rooted = bands.where("members > 2").join(roots.withColumnRenamed("node", "h"), "h", "left").withColumn("root", F.coalesce("root", "h"))
     mixed = rooted.groupBy("k").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1").select("k")
-    return rooted.join(mixed, "k").select("k", "h", "n", "root")
+    return rooted.join(mixed, "k").select("k", "h", "root")
+
+
+def _shared_bands(lines: DataFrame) -> DataFrame:
+    """(k, h, members, lead): the bands of several distinct lines, each with its most copied line."""
+    keys = materialize(lines.mapInArrow(_key_batches, "h long, copies long, keys array<long>"), "line-keys")
+    cells = keys.select("h", "copies", F.explode("keys").alias("k"))
+    # the bare keys are shuffled first, with half a hash to tell lines apart: most are of one line, and go no further
+    half = F.col("h").bitwiseAND(F.lit((1 << 32) - 1))
+    several = cells.select("k", half.alias("half")).groupBy("k").agg(F.min("half").alias("low"), F.max("half").alias("high"))
+    several = materialize(several.where("low != high").select("k"), "shared-keys")
+    held = thinned(cells, "k", several, "k").join(several, "k")
+    held = materialize(held.groupBy("k", "h").agg(F.sum("copies").alias("copies")), "shared-cells")
+    leads = held.groupBy("k").agg(F.max_by("h", F.struct("copies", "h")).alias("lead"), F.count(F.lit(1)).alias("members"))
+    shared = materialize(held.join(leads, "k").select("k", "h", "members", "lead"), "shared-bands")
+    discard(keys, several, held)
+    return shared
+
+
+def _texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(h, line, n, bits) of the wanted lines, once each."""
+    few = wanted.count() <= BROADCAST_ROWS
+    rows = lines if few else thinned(lines, "h", wanted, "h")
+    rows = rows.join(F.broadcast(wanted) if few else wanted, "h", "left_semi")
+    once = rows.groupBy("h").agg(F.first("line").alias("line"))
+    return once.mapInArrow(_text_batches, "h long, line string, n int, bits array<long>")
 
 
 def _links(lines: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): verified links between hashes of distinct lines, enough to join all that are joined."""
-    keys = materialize(_band_keys(lines), "line-keys")
-    cells = keys.select("h", "n", "copies", F.explode("keys").alias("k"))
-    # the bare keys are shuffled first: most occur once, and their lines go no further
-    twice = materialize(cells.groupBy("k").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "shared-keys")
-    shared_cells = materialize(thinned(cells, "k", twice, "k").join(twice, "k"), "shared-cells")
-    leads = shared_cells.groupBy("k").agg(F.max_by(F.struct("h", "n"), "copies").alias("lead"))
-    shared = shared_cells.join(leads, "k").select("h", "n", "k", "members", F.col("lead.h").alias("lead"), F.col("lead.n").alias("lead_n"))
-    shared = materialize(shared, "shared-bands")
-    discard(keys, twice, shared_cells)
-
-    # sets of other sizes cannot be so similar: only lines with a partner of near size are fetched
-    near = lambda n, m: F.least(n, m) >= similarity * F.greatest(n, m)
-    pairs = shared.where((F.col("h") != F.col("lead")) & near("n", "lead_n")).select(F.col("h").alias("a"), F.col("lead").alias("b")).distinct()
+    """(a, b): verified links between hashes of lines, enough to join all that are joined; ``lines`` is (h, line)."""
+    shared = _shared_bands(lines)
+    pairs = shared.where("h != lead").select(F.col("h").alias("a"), F.col("lead").alias("b")).distinct()
     pairs = materialize(pairs, "line-pairs")
-    wanted = shared.where("members > 2").select("h").union(pairs.select("a")).union(pairs.select("b")).distinct()
-    wanted = materialize(wanted, "wanted-lines")
-    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
-    texts = lines.select("h", "line").join(wanted, "h", "left_semi")
-    texts = texts.select("h", "line", shingles(F.col("line")).alias("s")).select("h", "line", F.size("s").alias("n"), parities(F.col("s")).alias("bits"))
-    texts = materialize(texts, "line-texts")
+    wanted = materialize(shared.select("h").distinct(), "wanted-lines")
+    texts = materialize(_texts(lines, wanted), "line-texts")
 
     # each member with the most copied one of its band
     stars = materialize(_verified(pairs, texts, similarity), "line-stars")
     # what is then still apart in a band, all of it, with the bound of the parities inside the join condition
-    rest = _mixed(shared, components(stars, "a", "b")).join(texts.select("h", "bits"), "h")
+    rest = _mixed(shared, components(stars, "a", "b")).join(texts.select("h", "n", "bits"), "h")
     rest = materialize(rest, "mixed-bands")
     other = rest.select(F.col("k").alias("k2"), F.col("h").alias("g"), F.col("root").alias("groot"), F.col("n").alias("m"), F.col("bits").alias("other"))
-    same = (F.col("k") == F.col("k2")) & (F.col("root") < F.col("groot")) & near("n", "m")
-    more = rest.join(other, same & within(F.col("bits"), F.col("other"), F.col("n"), F.col("m"), similarity))
+    possible = within(F.col("bits"), F.col("other"), F.col("n"), F.col("m"), similarity)
+    more = rest.join(other, (F.col("k") == F.col("k2")) & (F.col("root") < F.col("groot")) & possible)
     more = materialize(more.select(F.col("h").alias("a"), F.col("g").alias("b")).distinct(), "line-pairs")
     found = materialize(stars.union(_verified(more, texts, similarity)), "line-links")
-    discard(shared, pairs, texts, rest, more, stars)
+    discard(shared, pairs, wanted, texts, rest, more, stars)
     return found
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) of lines whose shingle sets are similar enough."""
-    side = lambda name: texts.select(F.col("h").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("line", "n", "bits")])
+    side = lambda name, *columns: texts.select(F.col("h").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
     possible = within(F.col("bits_a"), F.col("bits_b"), F.col("n_a"), F.col("n_b"), similarity)
-    similar = jaccard(shingles(F.col("line_a")), shingles(F.col("line_b"))) >= similarity
-    return pairs.join(side("a"), "a").join(side("b"), "b").where(possible).where(similar).select("a", "b")
+    left = pairs.join(side("a", "n", "bits", "line"), "a").join(side("b", "n", "bits"), "b").where(possible)
+    both = left.select("a", "b", "line_a").join(side("b", "line"), "b").select("a", "b", "line_a", "line_b")
+    return both.mapInArrow(partial(_similar_batches, similarity=similarity), "a long, b long")
 
 
 def line_decisions(docs: DataFrame, similarity: float = SIMILARITY, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc, text_hash, line_no, judged, dropped): one row per line of every document."""
-    lines = materialize(_distinct(docs, min_chars), "distinct-lines")
-    places = _lines(docs, min_chars).drop("line")
-    roots = components(_links(lines, similarity), "a", "b")
-    counted = lines.select("h", F.col("copies").alias("n"), "first")
+    lines = _lines(docs, min_chars)
+    places = lines.drop("line")
+    roots = components(_links(lines.where("h is not null").select("h", "line"), similarity), "a", "b")
+    counted = places.where("h is not null").groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(_place()).alias("first"))
     rooted = counted.join(roots.withColumnRenamed("node", "h"), "h", "left").where("n > 1 or root is not null")
     rooted = materialize(rooted.select("h", F.coalesce("root", "h").alias("root"), "first"), "line-roots")
     keep = rooted.groupBy("root").agg(F.min("first").alias("keep"))
     verdict = materialize(rooted.join(keep, "root").select("h", "keep"), "line-keep")
-    discard(lines, rooted)
+    discard(rooted)
     dropped = F.col("keep").isNotNull() & F.expr("not (keep.doc <=> doc) or keep.text_hash != text_hash or keep.line_no != line_no")
     return places.join(verdict, "h", "left").select("doc", "text_hash", "line_no", F.col("h").isNotNull().alias("judged"), dropped.alias("dropped"))
 
