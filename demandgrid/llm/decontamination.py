@@ -1,6 +1,7 @@
 """Operator 7: benchmark decontamination by spaced-seed hashing.
 
-Tokens are runs of letters and digits, lower-cased. A seed is the hash of the seven tokens
+Tokens are runs of letters and digits, lower-cased; in scripts written without spaces
+each character is a token. A seed is the hash of the seven tokens
 that a fixed mask selects from consecutive ones. Wherever two of 13 tokens are
 substituted, one of the three masks has a place in the 13 that avoids both, so no window
 that passes the check is missed. Seeds of the benchmark and of the
@@ -8,23 +9,25 @@ documents are joined; every hit names an alignment (document, item, offset), and
 alignment is verified token by token: it is a leak when some ``window`` of 13 aligned
 tokens (the whole item, if it is shorter) agrees in at least 80 % of its places.
 
-Items shorter than the window have masks of their own length: it is split into two blocks
-more than the check allows substitutions, and every two blocks are a mask. Items of fewer
-than ``min_tokens`` tokens are no evidence of a leak and are never sought.
+Items shorter than the window share two masks of four tokens: of six tokens with one
+substitution, and so of up to twelve with the two that the check allows, one of them has a
+place that avoids the substitutions. Items of under six tokens must agree in every token;
+those of under four are a seed as they are. Every item with a token is sought; ``min_tokens``
+asks for more evidence, since an item of a word or two is found in many documents.
 
 The seed table of the benchmark is broadcast when its counted rows stay below
 ``broadcast_rows``; a larger one is joined by shuffle.
 
 Defined results: a null or empty text has no tokens and no leak; a repeated passage is
 reported once per offset; repeated rows of a document count once; equal items are each
-reported; a null doc_id is a document like any other.
+reported; a null doc_id is a document like any other; an empty table of documents or of
+items gives no leak; other columns of either table are not read, and texts of any length
+are read whole. An ``agreement`` below 0.8 is refused, since the masks would miss passages.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from itertools import combinations, pairwise
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,68 +37,83 @@ from demandgrid.llm.base import materialize, table
 #: Selected positions; of the places these masks have in 13 tokens, one avoids any given two tokens.
 MASKS = ((0, 1, 2, 4, 5, 9, 10), (0, 1, 2, 3, 4, 6, 7), (0, 1, 5, 6, 7, 8, 9))
 SPAN = 13
-MIN_TOKENS = 6
+#: The masks of items that are shorter than SPAN, and of those shorter than EXACT, which must agree in full.
+SHORT_MASKS = ((0, 1, 2, 3), (0, 1, 4, 5))
+EXACT = 6
+MIN_TOKENS = 1
+#: Scripts written without spaces between words.
+UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+TOKEN = rf"[\p{{L}}\p{{N}}&&[{UNSPACED}]]|[\p{{L}}\p{{N}}&&[^{UNSPACED}]]+"
 WINDOW = 13
 AGREEMENT = 0.8
 BROADCAST_ROWS = 1_000_000
 
 
 def tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN), F.lit(0))
 
 
-def _short_masks(n: int, agreement: float) -> list[tuple[int, ...]]:
-    """Masks of an item of n tokens, one of which avoids any substitutions that the check allows."""
-    blocks = min(n - math.ceil(n * agreement) + 2, n)
-    cuts = [n * k // blocks for k in range(blocks + 1)]
-    parts = [tuple(range(a, b)) for a, b in pairwise(cuts)]
-    return [a + b for a, b in combinations(parts, 2)]
+Mask = tuple[int, int, tuple[int, ...]]
 
 
-def _masks(lengths: Sequence[int], agreement: float = AGREEMENT) -> list[tuple[int, int, tuple[int, ...]]]:
-    """(item length, span, positions): the full masks, and those of each shorter item length."""
-    return [*((SPAN, mask[-1] + 1, mask) for mask in MASKS), *((n, n, mask) for n in sorted(lengths) for mask in _short_masks(n, agreement))]
+def _masks(lengths: Sequence[int]) -> list[Mask]:
+    """(fewest tokens, most tokens, positions): the masks that seek items of these numbers of tokens, SPAN standing for any more."""
+    whole = [(n, n, tuple(range(n))) for n in range(1, len(SHORT_MASKS[0]))]
+    short = [(len(SHORT_MASKS[0]), SPAN - 1, SHORT_MASKS[0]), (EXACT, SPAN - 1, SHORT_MASKS[1])]
+    masks = [*((SPAN, SPAN, mask) for mask in MASKS), *short, *whole]
+    return [(low, high, mask) for low, high, mask in masks if any(low <= n <= high for n in lengths)]
 
 
-def _seeds(hashes: str, masks: list[tuple[int, int, tuple[int, ...]]]) -> Column:
+def _seeds(hashes: str, masks: list[Mask]) -> Column:
     """Array of arrays: for each mask the seeds at every position."""
 
-    def of(number: int, span: int, mask: tuple[int, ...]) -> Column:
+    def of(number: int, mask: tuple[int, ...]) -> Column:
+        span = mask[-1] + 1
         places = F.sequence(F.lit(1), F.size(hashes) - span + 1)
         made = F.transform(places, lambda i: F.xxhash64(F.lit(number), *[F.get(F.col(hashes), i + (p - 1)) for p in mask]))
         return F.when(F.size(hashes) >= span, made).otherwise(F.array().cast("array<bigint>"))
 
-    return F.array(*[of(number, span, mask) for number, (_, span, mask) in enumerate(masks)])
+    return F.array(*[of(number, mask) for number, (_, _, mask) in enumerate(masks)])
 
 
 def _token_hashes(text: Column) -> Column:
     return F.transform(tokens(text), lambda t: F.xxhash64(t))
 
 
-def _placed(rows: DataFrame, masks: list[tuple[int, int, tuple[int, ...]]], *keys: str) -> DataFrame:
+def _placed(rows: DataFrame, masks: list[Mask], *keys: str) -> DataFrame:
     """A row per seed: keys, ``seed`` and the position ``at`` of its first token."""
     each = rows.select(*keys, F.explode(_seeds("hashes", masks)).alias("seeds"))
     return each.select(*keys, F.posexplode("seeds").alias("at", "seed"))
 
 
-def _items(benchmark: DataFrame) -> DataFrame:
+def _items(benchmark: DataFrame, min_tokens: int) -> DataFrame:
     items = benchmark.select(F.col("item_id"), _token_hashes(F.col("text")).alias("hashes"))
-    return items.where(F.size("hashes") >= MIN_TOKENS)
+    return items.where(F.size("hashes") >= max(min_tokens, 1))
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, agreement: float = AGREEMENT, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    agreement: float = AGREEMENT,
+    broadcast_rows: int = BROADCAST_ROWS,
+    min_tokens: int = MIN_TOKENS,
+) -> DataFrame:
     """(doc_id, text_hash, item_id, start, end, equal): verified alignments.
 
     ``start`` and ``end`` delimit, in token numbers of the document, the aligned part
     of the item; ``equal`` counts the places there that agree.
     """
-    items = materialize(_items(benchmark), "benchmark-items")
-    short = [r.n for r in items.select(F.size("hashes").alias("n")).where(F.col("n") < SPAN).distinct().collect()]  # below SPAN values
-    masks = _masks(short, agreement)
-    # an item is sought with the masks of its own length, or with the full ones
-    spans = F.array(*[F.lit(length) for length, _, _ in masks])
-    each = items.select("item_id", F.least(F.size("hashes"), F.lit(SPAN)).alias("n"), F.posexplode(_seeds("hashes", masks)).alias("mask", "seeds"))
-    sought = each.where(F.get(spans, F.col("mask")) == F.col("n")).select("item_id", F.posexplode("seeds").alias("item_at", "seed"))
+    if agreement < AGREEMENT:
+        raise ValueError(f"agreement must be at least {AGREEMENT}")
+    items = materialize(_items(benchmark, min_tokens), "benchmark-items")
+    length = F.least(F.size("hashes"), F.lit(SPAN)).alias("n")
+    masks = _masks([SPAN, *(r.n for r in items.select(length).distinct().collect())])  # at most SPAN values
+    # an item is sought with the masks of its own length
+    low, high = F.array(*[F.lit(m[0]) for m in masks]), F.array(*[F.lit(m[1]) for m in masks])
+    each = items.select("item_id", length, F.posexplode(_seeds("hashes", masks)).alias("mask", "seeds"))
+    own = F.col("n").between(F.get(low, F.col("mask")), F.get(high, F.col("mask")))
+    sought = each.where(own).select("item_id", F.posexplode("seeds").alias("item_at", "seed"))
     sought = materialize(sought, "benchmark-seeds")
     lookup = F.broadcast(sought) if sought.count() <= broadcast_rows else sought
 
@@ -123,14 +141,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, agreement
         F.sequence(F.lit(1), F.size("same") - F.col("w") + 1),
         lambda i: F.aggregate(F.slice(F.col("same"), i, F.col("w")), F.lit(0), lambda a, b: a + b),
     )
-    verified = judged.where(F.array_max(sums) >= F.ceil(F.col("w") * agreement))
+    enough = F.when(F.col("n") < EXACT, F.col("w")).otherwise(F.ceil(F.col("w") * agreement))
+    verified = judged.where(F.array_max(sums) >= enough)
     equal = F.aggregate("same", F.lit(0), lambda a, b: a + b)
     return verified.select("doc_id", "text_hash", "item_id", "start", (F.col("start") + F.size("same")).alias("end"), equal.alias("equal"))
 
 
-def drop_leaking(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, agreement: float = AGREEMENT) -> DataFrame:
+def drop_leaking(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, agreement: float = AGREEMENT, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """``docs`` without the documents that hold a leak."""
-    found = materialize(leaks(docs, benchmark, window, agreement).select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h")).distinct(), "leaking")
+    found = leaks(docs, benchmark, window, agreement, min_tokens=min_tokens)
+    found = materialize(found.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h")).distinct(), "leaking")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     return rows.join(found, F.expr("row.doc_id <=> d and xxhash64(row.text) = h"), "left_anti").select("row.*")
 
