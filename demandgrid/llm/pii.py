@@ -4,25 +4,32 @@ Base spans come from four patterns with their checks (octets of an ip, Luhn for
 digit counts), leftmost and not overlapping per kind; a match that fails its check is
 dropped without a retry. The field adds spans that the patterns miss: spelled-out or
 broken-up addresses and numbers ("jane at mail dot org", "10 . 0 . 0 . 7", "(030) 123 45 67").
-It tags the tokens around every digit or at-sign, is trained on a small labelled table by
-gradient ascent on the exact likelihood, and is decoded by Viterbi over numpy batches of
-windows of equal length. A field span that overlaps a base span is not added.
+It tags the tokens around every digit or at-sign, is trained by gradient ascent on the exact
+likelihood, and is decoded by Viterbi over numpy batches of windows of equal length. A field
+span that overlaps a base span is not added.
 
-A window is a run of tokens in which no more than ``REACH`` tokens lie between trigger
-tokens (those with a digit or an at-sign, or the words "at" and "dot" of the two
-spellings); tokens outside all windows are no personal data by definition of the tags.
-Long windows are cut into pieces of ``PIECE`` tokens.
+The training rows are the small labelled table and ``DRAWN`` rows drawn from it with a seed:
+its marked spans with new digits and names, alone or in lists of several separators, with and
+without words around them, and its unmarked sentences, in either case.
+
+A window is a stretch of text that reaches ``REACH`` characters around its triggers (digits,
+at-signs, and the words "at" and "dot" of the two spellings); tokens outside all windows are no
+personal data by definition of the tags. A window of more than ``PIECE`` tokens is decoded in
+pieces that overlap by two ``MARGIN``s, and a span counts in the piece that holds its first
+token outside the margins, so that none is cut; no span of a valid number is longer than a margin.
 
 Positions are code points. Defined results: null and empty texts have no spans; texts are
-read whole; repeated rows give repeated results; other columns are not read.
+read whole; repeated rows give repeated results; an empty table gives an empty one; other
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -90,18 +97,22 @@ def base_spans(text: str) -> list[Span]:
 # --- the field -------------------------------------------------------------------
 
 TAGS = ("O", "B-email", "I-email", "B-ip", "I-ip", "B-card", "I-card", "B-phone", "I-phone")
-REACH = 2
-PIECE = 64
-WIDTH = 1 << 12  # hashed features
-TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\w\s]|_")
+REACH = 32
+PIECE = 512
+MARGIN = 64
+WIDTH = 1 << 13  # hashed features
+DRAWN = 2000
+TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\w\s]|[_\n]")
 
 #: The labelled table: sentences whose marked parts are personal data. Fixed values.
 LABELLED = (
     "write to [email jane at mail dot org] today", "my address is [email bob dot lee at post dot net] thanks",
     "contact [email info ( at ) shop ( dot ) com] now", "reach me : [email k . smith [at] web [dot] de] , please",
     "mail [email anna @ example . com] or call", "mail [email tom @ site . org]", "send it to [email lee _ 7 @ box . fr] .",
+    "ask [email rosa [at] lab [dot] org] or me", "to [email max ( at ) town ( dot ) net] today", "is [email jo at firm dot de] yours ?",
     "server [ip 10 . 0 . 0 . 7] is down", "the host [ip 192 . 168 . 1 . 20] answered", "from [ip 8 dot 8 dot 4 dot 4] came",
     "login from [ip 172 . 16 . 254 . 1] failed", "ping [ip 1 dot 1 dot 1 dot 1] again", "at [ip 203 . 0 . 113 . 9] ,",
+    "hosts [ip 9 dot 12 dot 200 dot 3] and [ip 31 dot 7 dot 64 dot 5] answered", "it was [ip 52 . 9 . 140 . 6] again",
     "card [card 4111 . 1111 . 1111 . 1111] expires", "paid with [card 5500 / 0000 / 0000 / 0004] yesterday",
     "number [card 4012 . 8888 . 8888 . 1881] , thanks", "visa [card 4222 / 2222 / 2222 / 2222] .",
     "call [phone ( 030 ) 123 45 67] today", "call [phone ( 0221 ) 555 12 345] now", "fax [phone ( 089 ) 44 55 66 77] .", "phone : [phone 0171 - 555 - 0199]", "my number is [phone 0044 20 7946 0018] now",
@@ -116,27 +127,37 @@ LABELLED = (
 
 
 def _shape(token: str) -> str:
-    if token[0].isdigit():
-        return f"d{min(len(token), 5)}"
+    if token[0] in "0123456789":
+        zeros = len(token) - len(token.lstrip("0"))
+        return f"{'z' * min(zeros, 2) if len(token) > 1 else ''}d{min(len(token), 5)}"
     if token[0].isalpha():
-        return ("X" if token.isupper() else "x") + str(min(len(token), 3))
+        return "x" + str(min(len(token), 3))
     return token
 
 
+#: Words that the shapes keep. Fixed values.
+KEPT = frozenset("at dot mail call phone tel fax card visa from number and or com org net de fr".split())
+
+
 def _word(token: str) -> str:
     low = token.lower()
-    return low if low in ("at", "dot", "mail", "call", "phone", "tel", "card", "from", "number", "com", "org", "net", "de", "fr") else _shape(token)
+    return low if low in KEPT else _shape(token)
+
+
+@lru_cache(maxsize=1 << 16)
+def _slot(feature: str) -> int:
+    return int.from_bytes(hashlib.blake2b(feature.encode("utf-8", "surrogatepass"), digest_size=4).digest(), "little") % WIDTH
 
 
 def _features(tokens: list[str]) -> np.ndarray:
     """(tokens, features) hashed word-shape features of each token and its surroundings."""
-    shapes = ["<<", "<", *map(_word, tokens), ">", ">>"]
+    shapes = ["<<", "<", "<", *map(_word, tokens), ">", ">", ">>"]
     rows = []
     for i, token in enumerate(tokens):
-        s = shapes[i : i + 5]
+        c, b, a, s, y, z, w = shapes[i : i + 7]
         small = token.isdigit() and len(token) <= 3 and int(token) <= 255
-        near = (f"0{s[2]}", f"1{s[1]}|{s[2]}", f"2{s[2]}|{s[3]}", f"3{s[1]}|{s[2]}|{s[3]}", f"4{s[0]}|{s[1]}|{s[2]}", f"5{s[2]}|{s[3]}|{s[4]}", f"6{s[0]}|{s[4]}", f"7{small}|{s[1]}|{s[3]}")
-        rows.append([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=4).digest(), "little") % WIDTH for x in near])
+        near = (f"0{s}", f"1{a}|{s}", f"2{s}|{y}", f"3{a}|{s}|{y}", f"4{b}|{a}|{s}", f"5{s}|{y}|{z}", f"6{b}|{z}", f"7{small}|{a}|{y}", f"8{c}|{b}|{a}|{s}", f"9{s}|{y}|{z}|{w}")
+        rows.append([_slot(x) for x in near])
     return np.array(rows, dtype=np.int64).reshape(len(tokens), -1)
 
 
@@ -165,40 +186,125 @@ def _sentence(marked: str) -> tuple[list[str], list[int]]:
     return tokens, tags
 
 
-def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis=axis, keepdims=True)
-    return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
+# Words that drawn rows put into and around spans, and what stands between the spans of a list.
+NAMES = "anna ben carla dmitri eva farid greta hugo ines jonas kim lars mia noor olga paul rita sven tara uwe vera wim xenia yara zoe info sales team".split()
+HOSTS = "mail post web shop site box example home office data north river stone cloud".split()
+ENDS = "com org net de fr eu uk io info es at it".split()
+AROUND = "the we saw old list below of our new please send it to or thanks today now again see all was here is on for people who went home and wrote".split()
+BETWEEN = (" ", " ", "\n", " ; ", " , ", " and ", " / ", " | ", " or ", "\n- ")
+Labelled = tuple[list[str], list[int]]
+
+
+def _redrawn(tokens: list[str], kind: str, rng: random.Random) -> list[str]:
+    """A marked span with other digits and names."""
+    out: list[str] = []
+    for i, token in enumerate(tokens):
+        if token.isdigit() and kind == "ip":
+            out.append(str(rng.choice((rng.randrange(10), rng.randrange(10, 256), rng.randrange(256)))))
+        elif token.isdigit() and any(t.isdigit() for t in tokens[:i]):
+            out.append("".join(rng.choice("0123456789") for _ in token))
+        elif token.isdigit():  # the first number keeps its leading zeros
+            zeros = len(token) - len(token.lstrip("0"))
+            rest = "".join(rng.choice("0123456789") for _ in token[zeros + 1 :])
+            out.append(token[:zeros] + (rng.choice("123456789") if zeros < len(token) else "") + rest)
+        elif token.isalpha() and token not in ("at", "dot"):
+            out.append(rng.choice(ENDS if i == len(tokens) - 1 else HOSTS if {"at", "@"} & set(tokens[:i]) else NAMES))
+        else:
+            out.append(token)
+    return out
+
+
+def _drawn(labelled: list[Labelled], count: int, seed: int = 2) -> list[Labelled]:
+    """Rows in the manner of the labelled ones: their spans alone, in lists and in other surroundings, and unmarked sentences."""
+    rng = random.Random(seed)
+    spans: dict[str, list[list[str]]] = {k: [] for k in KINDS}
+    plain = []
+    for tokens, tags in labelled:
+        inside = [t for t, y in zip(tokens, tags, strict=True) if y]
+        if inside:
+            spans[TAGS[next(y for y in tags if y)][2:]].append(inside)
+        else:
+            plain.append(tokens)
+    rows = []
+    for _ in range(count):
+        words: Labelled = ([], [])
+
+        def add(tokens: list[str], tags: list[int] | None = None, words: Labelled = words) -> None:
+            words[0].extend(tokens)
+            words[1].extend(tags or [0] * len(tokens))
+
+        add(rng.sample(AROUND, rng.choice((0, 0, 1, 2, 4))))
+        if rng.random() < 0.25:
+            for _ in range(rng.choice((1, 2, 3))):
+                add(_redrawn(rng.choice(plain), "", rng))
+                add(TOKEN.findall(rng.choice(BETWEEN)))
+        else:
+            kind = rng.choice(KINDS)
+            form, between = rng.choice(spans[kind]), rng.choice(BETWEEN)
+            if rng.random() < 0.3:
+                add([rng.choice(("call", "phone", "tel", "from", "card", "mail", "number", "at", "host")), *rng.choice(([], [":"], ["."]))])
+            for k in range(rng.choice((1, 1, 2, 3, 5))):
+                if k:
+                    add(TOKEN.findall(between))
+                if rng.random() < 0.2:
+                    form = rng.choice(spans[kind])
+                made = _redrawn(form, kind, rng)
+                add(made, [TAGS.index(f"B-{kind}")] + [TAGS.index(f"I-{kind}")] * (len(made) - 1))
+        add(rng.choice(([], [], ["."], [","], ["\n"])))
+        add(rng.sample(AROUND, rng.choice((0, 0, 1, 3))))
+        if words[0]:
+            rows.append(([t.upper() for t in words[0]] if rng.random() < 0.15 else words[0], words[1]))
+    return rows
 
 
 Model = tuple[np.ndarray, np.ndarray]
 
 
-def train(labelled: tuple[str, ...] = LABELLED, turns: int = 150, rate: float = 0.5, ridge: float = 0.002) -> Model:
-    """(state weights, transition weights) by AdaGrad on the log-likelihood (forward-backward)."""
-    rows = [(_features(t), np.array(y)) for t, y in map(_sentence, labelled)]
-    k, hard = len(TAGS), _allowed()
+def train(labelled: tuple[str, ...] = LABELLED, turns: int = 80, rate: float = 0.5, ridge: float = 0.002, drawn: int = DRAWN) -> Model:
+    """(state weights, transition weights) by AdaGrad on the log-likelihood (scaled forward-backward over all rows at once)."""
+    own = [_sentence(s) for s in labelled]
+    rows = sorted([*own, *(_drawn(own, drawn) if drawn else [])], key=lambda r: -len(r[0]))
+    k = len(TAGS)
+    sizes = np.array([len(t) for t, _ in rows])
+    x = np.concatenate([_features(t) for t, _ in rows])
+    tags = np.concatenate([y for _, y in rows])
+    at = (np.repeat(np.arange(len(rows)), sizes), np.concatenate([np.arange(n) for n in sizes]))
+    length = int(sizes.max())
+    alive = [int((sizes > i).sum()) for i in range(length)]  # rows go by falling length: those of more than i tokens come first
+    begin = np.array([0.0 if t[0] == "I" else 1.0 for t in TAGS])
+    hard = np.exp(_allowed())
+    given = np.zeros((k, k))
+    follows = at[1][1:] > 0
+    np.add.at(given, (tags[:-1][follows], tags[1:][follows]), 1)
     state, steps = np.zeros((WIDTH, k)), np.zeros((k, k))
     sum_state, sum_steps = np.full((WIDTH, k), 1e-3), np.full((k, k), 1e-3)
-    begin = np.array([-1e4 if t[0] == "I" else 0.0 for t in TAGS])
     for _ in range(turns):
-        g_state, g_steps = -ridge * state, -ridge * steps
-        for x, y in rows:
-            unary, pair = state[x].sum(axis=1), steps + hard
-            n = len(y)
-            alpha, beta = np.zeros((n, k)), np.zeros((n, k))
-            alpha[0] = unary[0] + begin
-            for i in range(1, n):
-                alpha[i] = unary[i] + _log_sum(alpha[i - 1][:, None] + pair, 0)
-            for i in range(n - 2, -1, -1):
-                beta[i] = _log_sum(pair + (unary[i + 1] + beta[i + 1])[None, :], 1)
-            total = _log_sum(alpha[-1], 0)
-            belief = -np.exp(alpha + beta - total)
-            belief[np.arange(n), y] += 1
-            for f in range(x.shape[1]):
-                np.add.at(g_state, x[:, f], belief)
-            for i in range(1, n):
-                g_steps -= np.exp(alpha[i - 1][:, None] + pair + (unary[i] + beta[i])[None, :] - total)
-                g_steps[y[i - 1], y[i]] += 1
+        scores = state[x].sum(axis=1)
+        local = np.ones((len(rows), length, k))
+        local[at] = np.exp(scores - scores.max(axis=1, keepdims=True))
+        pair = np.exp(steps) * hard
+        alpha, beta = np.zeros_like(local), np.ones_like(local)
+        alpha[:, 0] = local[:, 0] * begin
+        alpha[:, 0] /= alpha[:, 0].sum(axis=1, keepdims=True)
+        for i in range(1, length):
+            m = alive[i]
+            alpha[:m, i] = (alpha[:m, i - 1] @ pair) * local[:m, i]
+            alpha[:m, i] /= alpha[:m, i].sum(axis=1, keepdims=True)
+        g_steps = given - ridge * steps
+        for i in range(length - 1, 0, -1):
+            m = alive[i]
+            ahead = local[:m, i] * beta[:m, i]
+            before = alpha[:m, i - 1]
+            total = ((before @ pair) * ahead).sum(axis=1, keepdims=True)
+            g_steps -= ((before / total).T @ ahead) * pair
+            beta[:m, i - 1] = ahead @ pair.T
+            beta[:m, i - 1] /= beta[:m, i - 1].sum(axis=1, keepdims=True)
+        belief = (alpha * beta)[at]
+        belief /= -belief.sum(axis=1, keepdims=True)
+        belief[np.arange(len(tags)), tags] += 1
+        g_state = -ridge * state
+        for y in range(k):
+            g_state[:, y] += np.bincount(x.ravel(), np.repeat(belief[:, y], x.shape[1]), WIDTH)
         sum_state += g_state**2
         sum_steps += g_steps**2
         state += rate * g_state / np.sqrt(sum_state)
@@ -221,35 +327,41 @@ def viterbi(unary: np.ndarray, pair: np.ndarray) -> np.ndarray:
     return tags
 
 
-TRIGGER = re.compile(r"[0-9@]|(?i:\bat\b[^\w]{1,4}[^\W_]+[^\w]{1,4}dot\b)")
+TRIGGER = re.compile(r"[0-9]+|@|\b(?i:at)\b(?=[^\w\n]{1,4}[^\W_]+[^\w\n]{1,4}(?i:dot)\b)|(?<=[^\w\n])(?i:dot)\b(?=[^\w\n]{1,4}[^\W_])")
+Token = tuple[int, int, str]
 
 
-def _windows(text: str) -> list[list[tuple[int, int, str]]]:
-    """Runs of tokens around the triggers."""
-    out: list[list[tuple[int, int, str]]] = []
-    stop = -1
+def _windows(text: str) -> Iterator[list[Token]]:
+    """Tokens of the stretches around the triggers; stretches that touch are one."""
+    start = end = -1
     for hit in TRIGGER.finditer(text):
-        if hit.start() < stop:
-            continue
-        start, here = hit.start(), []
-        for _ in range(2 * REACH + 2):  # some tokens to the left
-            left = text.rfind(" ", max(stop, 0, start - 40), max(start - 1, 0))
-            if left < 0:
-                break
-            start = left
-        at, quiet = start, 0
-        while quiet <= 2 * REACH + 1 and len(here) < PIECE:
-            token = TOKEN.search(text, at)
-            if not token or token.start() - at > 40:
-                break
-            here.append((token.start(), token.end(), token[0]))
-            at = token.end()
-            if token.start() >= hit.start():
-                quiet = 0 if token[0][0].isdigit() or token[0] == "@" or token[0].lower() in ("at", "dot") else quiet + 1
-        if here:
-            out.append(here)
-            stop = at
-    return out
+        if hit.start() - REACH > end:
+            if end >= 0:
+                yield _tokens(text, start, end)
+            start = max(hit.start() - REACH, 0)
+        end = hit.end() + REACH
+    if end >= 0:
+        yield _tokens(text, start, end)
+
+
+def _tokens(text: str, start: int, end: int) -> list[Token]:
+    # a token that the ends of the stretch would cut is left out
+    while 0 < start < len(text) and text[start - 1].isalnum() and text[start].isalnum():
+        start += 1
+    while end < len(text) and text[end - 1].isalnum() and text[end].isalnum():
+        end -= 1
+    return [(m.start(), m.end(), m[0]) for m in TOKEN.finditer(text, start, min(end, len(text)))]
+
+
+def _pieces(window: list[Token]) -> Iterator[tuple[list[Token], int, int]]:
+    """Overlapping pieces of a window, and the tokens of each, from and up to which a span may begin."""
+    if len(window) <= PIECE:
+        yield window, 0, len(window)
+        return
+    step = PIECE - 2 * MARGIN
+    for at in range(0, len(window) - 2 * MARGIN, step):
+        last = at + PIECE >= len(window)
+        yield window[at : at + PIECE], MARGIN if at else 0, PIECE if last else PIECE - MARGIN
 
 
 def _valid(kind: str, found: str) -> bool:
@@ -262,35 +374,51 @@ def _valid(kind: str, found: str) -> bool:
         return 14 <= n <= 19 and _luhn(_digits(found))
     if kind == "phone":
         return 9 <= n <= 15
-    flat = re.sub(r"[\s()\[\]]+", "", re.sub(r"(?i)\W*\bdot\b\W*", ".", re.sub(r"(?i)\W*(?:\bat\b|@)\W*", "@", found)))
-    return EMAIL.fullmatch(flat) is not None
+    parted = SEPARATOR.split(found, 1)
+    if len(parted) != 2 or SEPARATOR.search(parted[1][:-2]):  # a country may be spelled like the separator, at the end
+        return False
+    flat = [re.sub(r"[\s()\[\]]+", "", re.sub(r"(?i)\W*\bdot\b\W*", ".", part)) for part in parted]
+    return EMAIL.fullmatch("@".join(flat)) is not None
 
 
+SEPARATOR = re.compile(r"(?i)\W*(?:\bat\b|@)\W*")
 DIGIT_RUN = re.compile(r"[0-9]+")
 
 
+BATCH = 1 << 16  # tokens decoded at once
+
+
 def field_spans(texts: list[str], model: Model) -> list[list[Span]]:
     """Spans of the field per text; windows of one length are decoded together."""
-    state, pair = model[0], model[1] + _allowed()
+    pair = model[1] + _allowed()
     found: list[list[Span]] = [[] for _ in texts]
-    by_length: dict[int, list[tuple[int, list[tuple[int, int, str]]]]] = {}
-    for t, text in enumerate(texts):
-        for window in _windows(text):
-            by_length.setdefault(len(window), []).append((t, window))
-    for group in by_length.values():
-        unary = np.stack([state[_features([w[2] for w in window])].sum(axis=1) for _, window in group])
-        for (t, window), tags in zip(group, viterbi(unary, pair).tolist(), strict=True):
+    waiting: dict[int, list[tuple[int, list[Token], int, int]]] = {}
+
+    def decode(group: list[tuple[int, list[Token], int, int]]) -> None:
+        unary = np.stack([model[0][_features([w[2] for w in piece])].sum(axis=1) for _, piece, _, _ in group])
+        for (t, piece, low, high), tags in zip(group, viterbi(unary, pair).tolist(), strict=True):
             i = 0
             while i < len(tags):
                 j = i + 1
                 if tags[i]:
                     while j < len(tags) and tags[j] == tags[i] + 1:
                         j += 1
-                    span = (window[i][0], window[j - 1][1], TAGS[tags[i]][2:])
-                    if _valid(span[2], texts[t][span[0] : span[1]]):
+                    span = (piece[i][0], piece[j - 1][1], TAGS[tags[i]][2:])
+                    if low <= i < high and _valid(span[2], texts[t][span[0] : span[1]]):
                         found[t].append(span)
                 i = j
-    return found
+
+    for t, text in enumerate(texts):
+        for window in _windows(text):
+            for piece, low, high in _pieces(window):
+                group = waiting.setdefault(len(piece), [])
+                group.append((t, piece, low, high))
+                if len(group) * len(piece) >= BATCH:
+                    decode(waiting.pop(len(piece)))
+    for n in sorted(waiting):
+        if n:
+            decode(waiting[n])
+    return [sorted(spans) for spans in found]
 
 
 def _listed(spans: list[Span]) -> str:
