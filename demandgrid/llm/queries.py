@@ -34,4 +34,9 @@ QUERIES = {
     "op13_importance_resampling": resampling.op13_importance_resampling,
 }
 
-ORACLE = {"op3_source_mix": mixing.OP3_SQL, "op13_importance_resampling": resampling.OP13_SQL}
+ORACLE = {
+    "op3_source_mix": mixing.OP3_SQL,
+    "op5_warc_normaliser": warc.OP5_SQL,
+    "op12_signature_join": signature_join.OP12_SQL,
+    "op13_importance_resampling": resampling.OP13_SQL,
+}

@@ -327,3 +327,31 @@ def near_duplicates(
 def op12_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+#: Sets compared by the shingles they share; equal sets are one class, and the components are the fixed point of smallest labels.
+OP12_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents
+), places AS (SELECT doc_id, unnest(w) AS t, generate_subscripts(w, 1) AS i, len(w) AS n FROM words),
+runs AS (
+  SELECT doc_id, i, n, concat_ws(' ', t, lead(t, 1) OVER o, lead(t, 2) OVER o, lead(t, 3) OVER o) AS g
+  FROM places WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+), filled AS (
+  SELECT doc_id, list_sort(list(DISTINCT g)) AS s FROM runs WHERE i <= greatest(n - 3, 1) GROUP BY doc_id
+), sets AS (
+  SELECT doc_id, coalesce(s, []) AS s FROM documents LEFT JOIN filled USING (doc_id)
+), classes AS (
+  SELECT s, min(doc_id) AS c, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s
+), cells AS (SELECT c, n, unnest(s) AS g FROM classes),
+pairs AS (
+  SELECT a.c AS a, b.c AS b FROM cells a JOIN cells b ON a.g = b.g AND a.c <> b.c
+  GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reached AS (
+  SELECT c AS node, c AS other FROM classes
+  UNION SELECT reached.node, pairs.b FROM reached JOIN pairs ON reached.other = pairs.a
+), roots AS (SELECT node, min(other) AS root FROM reached GROUP BY node)
+SELECT doc_id, len(sets.s)::BIGINT AS n_shingles, coalesce(root, doc_id) AS component_id, coalesce(root, doc_id) = doc_id AS kept
+FROM sets LEFT JOIN classes ON sets.s = classes.s LEFT JOIN roots ON classes.c = roots.node
+"""

@@ -252,3 +252,20 @@ def op5_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = write_monolithic(plan_records(table(spark, sf_dir, "pages")), raw)
     index = normalise(spark, files, raw, archive)
     return read_archive(index, archive, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: SHA-1 in base 32 of each payload; the largest page_id of equal payloads responds.
+OP5_SQL = """
+WITH payloads AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(encode(coalesce(html, ''))) AS hex FROM pages
+), digests AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, max(page_id) OVER (PARTITION BY payload) AS response,
+    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT, 1)), '') AS payload_digest
+  FROM payloads
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+  CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> response THEN response END AS refers_to
+FROM digests
+"""
