@@ -1,4 +1,4 @@
-"""Operator 2: base spans by brute force, the field on forms and surroundings that its rows do not hold."""
+"""Operator 2: base spans by brute force; recall of the field by form and surroundings, on other names and numbers than its rows hold."""
 
 from __future__ import annotations
 
