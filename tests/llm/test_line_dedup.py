@@ -82,3 +82,47 @@ def test_bands_share_as_often_as_their_number_says():
         a, b = line_dedup.band_keys([line, other])
         met += bool((a == b).any())
     assert met >= 193
+
+
+def test_no_python_runs_in_tasks(spark, monkeypatch):
+    def refused(*_, **__):
+        raise AssertionError("Python in tasks")
+
+    for name in ("mapInArrow", "mapInPandas"):
+        monkeypatch.setattr(type(spark.range(1)), name, refused)
+    line = "international broadcasting organisations acknowledge responsibility"
+    assert kept(spark, [line, line.replace("acknowledge", "acknewledge"), "short", "short", "other  words"]) == [0, 2, 4]
+
+
+def test_native_sketch_is_that_of_the_distinct_shingles(spark):
+    lines = ["ab", "  spaces   taken as one ", "aaaaaaaaaaaaaaaa", "\U0001f600é" * 40, "a line of plain words, long enough for many shingles " * 9]
+    rows = spark.createDataFrame(list(enumerate(lines)), "h long, line string")
+    runs = {r.h: set(r.runs) for r in rows.select("h", line_dedup._code_points(F.col("line")).alias("p")).select("h", line_dedup._runs(F.col("p")).alias("runs")).collect()}
+    found = {r.h: r for r in line_dedup._sketched(rows).collect()}
+    for i, line in enumerate(lines):
+        flat = " ".join(w for w in line.split(" ") if w)
+        assert found[i].n == len(runs[i]) == len({flat[j : j + 5] for j in range(max(1, len(flat) - 4))})
+        assert found[i].bits == line_dedup.sketch(np.array(sorted(runs[i]), dtype=np.int64).view(np.uint64)).tolist()
+
+
+def test_native_bands_share_as_often_as_they_should(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    lines = []
+    for _ in range(200):
+        line = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), size=224))
+        lines += [line, line[:199] + "".join(rng.choice(list("0123456789"), size=25))]  # 195 of 245 runs in common: 0.796
+    rows = spark.createDataFrame([(i, line, i) for i, line in enumerate([*lines, "short one", "short two"])], "h long, line string, place long")
+    signed = line_dedup._signed(rows)
+    keys = {(r.h, r.family): r["keys"] for r in signed.collect()}
+    assert sorted(f for h, f in keys if h >= 400) == [0, 0, 1, 1] and len(keys) == 404
+    assert sum(not set(keys[i, 0]).isdisjoint(keys[i + 1, 0]) for i in range(0, 400, 2)) >= 193
+    monkeypatch.setattr(line_dedup, "PIECE", 64)
+    assert {(r.h, r.family): r["keys"] for r in line_dedup._signed(rows).collect()} == keys
+
+
+def test_a_pair_of_several_mixed_bands_is_made_once(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "TILE", 4)
+    bits = [0] * line_dedup.PARITY_WORDS
+    rest = [(h, h % 10, [1, 2, 3] if h % 2 else [2, 3, 4], 50, bits) for h in range(30)]
+    made = [tuple(r) for r in line_dedup._across(spark.createDataFrame(rest, "h long, root long, ks array<long>, n int, bits array<long>"), 0.8).collect()]
+    assert sorted(made) == sorted((a, b) for a in range(30) for b in range(30) if a % 10 < b % 10)
