@@ -54,6 +54,7 @@ MIN_CHARS = 1
 BLANKS = " \t\x0b\x0c\r"
 PARITY_WORDS = 8  # of 64 bits
 TILE = 256  # members of a band, of which a task compares so many at once with the others
+TASK_PAIRS = 4096  # pairs verified by a task
 PIECE = 1 << 16  # shingles hashed at once
 BROADCAST_ROWS = 1_000_000  # ids of lines in shared bands: broadcast up to this count, else joined by shuffle
 
@@ -179,9 +180,13 @@ def _last(points: Column) -> Column:
     return F.greatest(F.lit(1), F.length(points) - F.lit(4 * (WIDTH - 1)))
 
 
-def _runs(points: Column) -> Column:
-    """The hashes of all shingles, as an array."""
-    return F.transform(F.sequence(F.lit(1), _last(points), F.lit(4)), lambda i: F.xxhash64(F.substring(points, i, F.lit(4 * WIDTH))))
+def _runs(rows: DataFrame, *salts: str) -> DataFrame:
+    """``rows`` with a row for every shingle of their ``points``, its hash as ``s`` in their place; long lines a piece at a time."""
+    kept = [c for c in rows.columns if c != "points"]
+    pieces = rows.select("*", F.explode(F.sequence(F.lit(1), _last(F.col("points")), F.lit(4 * PIECE))).alias("piece"))
+    until = F.least(_last(F.col("points")), F.col("piece") + F.lit(4 * PIECE - 4))
+    starts = pieces.select(*kept, "points", F.explode(F.sequence("piece", until, F.lit(4))).alias("at"))
+    return starts.select(*kept, F.xxhash64(*salts, F.substring("points", F.col("at"), F.lit(4 * WIDTH))).alias("s"))
 
 
 def _order(at: int) -> Column:
@@ -195,12 +200,7 @@ def _signed(lines: DataFrame) -> DataFrame:
     once = lines.groupBy("h").agg(F.count(F.lit(1)).alias("copies"), F.min("place").alias("first"), F.min("line").alias("line"))
     families = F.when(F.length("line") <= SHORT, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     line = once.select("h", "copies", "first", _code_points(F.col("line")).alias("points"), families.alias("families"))
-    line = line.select("h", "copies", "first", "points", F.explode("families").alias("family"))
-    # long lines a piece at a time
-    line = line.select("*", F.explode(F.sequence(F.lit(1), _last(F.col("points")), F.lit(4 * PIECE))).alias("piece"))
-    until = F.least(_last(F.col("points")), F.col("piece") + F.lit(4 * PIECE - 4))
-    run = line.select("h", "copies", "first", "family", "points", F.explode(F.sequence("piece", until, F.lit(4))).alias("at"))
-    run = run.select("h", "copies", "first", "family", F.xxhash64("family", F.substring("points", F.col("at"), F.lit(4 * WIDTH))).alias("s0"))
+    run = _runs(line.select("h", "copies", "first", "points", F.explode("families").alias("family")), "family").withColumnRenamed("s", "s0")
     run = run.select("*", *[F.xxhash64(F.lit(i), "s0").alias(f"s{i}") for i in range(1, -(-ROWS * COLUMNS // 5))])
     minima = run.groupBy("h", "family", "copies", "first").agg(*[F.min(_order(at)).alias(f"m{at}") for at in range(ROWS * COLUMNS)])
     bands = [[row * COLUMNS + (first + slope * row) % COLUMNS for row in range(ROWS)] for slope in SLOPES for first in range(COLUMNS)]
@@ -221,14 +221,13 @@ def _shared_bands(signed: DataFrame) -> DataFrame:
 
 
 def _sketched(lines: DataFrame) -> DataFrame:
-    """(h, line) to (h, line, n, bits): number of shingles and their sketch."""
-    run = lines.select("h", "line", _code_points(F.col("line")).alias("points"))
-    run = run.select("h", "line", F.explode(F.array_distinct(_runs(F.col("points")))).alias("s"))
+    """(h, line), h once each, to (h, line, n, bits): number of shingles and their sketch."""
+    run = _runs(lines.select("h", _code_points(F.col("line")).alias("points"))).distinct()
     slot = F.col("s").bitwiseAND(F.lit(64 * PARITY_WORDS - 1))
     bit = F.expr("shiftleft(1L, cast(s & 63 as int))")
     words = [F.bit_xor(F.when(F.shiftright(slot, 6) == w, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{w}") for w in range(PARITY_WORDS)]
-    found = run.groupBy("h", "line").agg(F.count(F.lit(1)).cast("int").alias("n"), *words)
-    return found.select("h", "line", "n", F.array(*[f"w{w}" for w in range(PARITY_WORDS)]).alias("bits"))
+    found = run.groupBy("h").agg(F.count(F.lit(1)).cast("int").alias("n"), *words)
+    return lines.join(found, "h").select("h", "line", "n", F.array(*[f"w{w}" for w in range(PARITY_WORDS)]).alias("bits"))
 
 
 def _texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -258,21 +257,20 @@ def _links(lines: DataFrame, signed: DataFrame, similarity: float) -> DataFrame:
     return found
 
 
-def _similar(points: Column, other: Column, n: Column, m: Column, similarity: float) -> Column:
-    """Whether lines of n and m shingles are similar enough; the tolerance is for rounding, the counts are whole."""
-    return F.size(F.array_intersect(_runs(points), _runs(other))) * (1 + similarity) + 1e-9 * (n + m) >= similarity * (n + m)
-
-
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) of lines whose shingle sets are similar enough."""
     side = lambda name, *columns: texts.select(F.col("h").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
     possible = within(F.col("bits_a"), F.col("bits_b"), F.col("n_a"), F.col("n_b"), similarity)
     left = pairs.join(side("a", "n", "bits", "line"), "a").join(side("b", "n", "bits"), "b").where(possible)
     both = left.select("a", "b", "line_a", "n_a", "n_b").join(side("b", "line"), "b")
-    # a row each; so the code points are made once a pair, not once a shingle
-    points = F.struct(_code_points(F.col("line_a")).alias("a"), _code_points(F.col("line_b")).alias("b"))
-    both = both.select("a", "b", "n_a", "n_b", F.explode(F.array(points)).alias("points"))
-    return both.where(_similar(F.col("points.a"), F.col("points.b"), F.col("n_a"), F.col("n_b"), similarity)).select("a", "b")
+    # all shingles of a pair in one task, by so many tasks that each holds few pairs at once
+    both = both.repartition(1 + pairs.count() // TASK_PAIRS, "a", "b").select(
+        "a", "b", "n_a", "n_b", F.explode(F.array(F.lit(1), F.lit(2))).alias("side"), _code_points(F.col("line_a")).alias("pa"), _code_points(F.col("line_b")).alias("pb")
+    )
+    run = _runs(both.select("a", "b", "n_a", "n_b", "side", F.when(F.col("side") == 1, F.col("pa")).otherwise(F.col("pb")).alias("points")))
+    shared = run.groupBy("a", "b", "n_a", "n_b", "s").agg(F.bit_or("side").alias("sides")).where("sides = 3")
+    counted = shared.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("shared"))
+    return counted.where(F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared")) >= similarity).select("a", "b")
 
 
 def _across(rest: DataFrame, similarity: float) -> DataFrame:
