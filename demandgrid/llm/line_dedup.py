@@ -37,16 +37,17 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandgrid.llm.base import discard, materialize, table, thinned, word_count
+from demandgrid.llm import base
+from demandgrid.llm.base import discard, table, thinned, word_count
 from demandgrid.llm.components import components
 
 SIMILARITY = 0.8
 WIDTH = 5
-SHORT = 40  # lines of so many characters have a second grid of minima
+SHORT = 64  # lines of so many characters have a second grid of minima
+THROWS = 8  # hashes of a shingle in the second grid
 ROWS = 6
 COLUMNS = 8
 SLOPES = (0, 1, 3)
-TURN = 13  # bits from one order of a hash to the next
 BANDS = 16  # of ``band_keys``
 SHORT_BANDS = 32
 MIN_WORDS = 1  # every line with a word is judged
@@ -56,6 +57,7 @@ PARITY_WORDS = 8  # of 64 bits
 TILE = 256  # members of a band, of which a task compares so many at once with the others
 TASK_PAIRS = 4096  # pairs verified by a task
 PIECE = 1 << 16  # shingles hashed at once
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BROADCAST_ROWS = 1_000_000  # ids of lines in shared bands: broadcast up to this count, else joined by shuffle
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -147,6 +149,16 @@ def within(bits: Column, other: Column, n: Column, m: Column, similarity: float,
     return near & ((1 + similarity) * apart <= (1 - similarity) * (n + m) + 1e-6)
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a written table; the shuffle files that made it go as soon as it is written."""
+    conf, before = df.sparkSession.conf, df.sparkSession.conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        return base.materialize(df, label)
+    finally:
+        conf.set(CLEANUP, before) if before is not None else conf.unset(CLEANUP)
+
+
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
     """(doc, text_hash, line_no, line, h): every line, lower-cased; h is null where the line is not judged."""
     parts = F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), "\n")
@@ -169,10 +181,20 @@ def _mixed(bands: DataFrame, roots: DataFrame) -> DataFrame:
     return rooted.join(mixed, "k").select("k", "h", "root")
 
 
+def _spaced(line: Column) -> Column:
+    """The line with runs of spaces taken as one and none at the ends."""
+    return F.trim(F.when(F.contains(line, F.lit("  ")), F.regexp_replace(line, " +", " ")).otherwise(line))
+
+
 def _code_points(line: Column) -> Column:
-    """The line with runs of spaces taken as one and none at the ends, four bytes a character."""
-    once = F.when(F.contains(line, F.lit("  ")), F.regexp_replace(line, " +", " ")).otherwise(line)
-    return F.encode(F.trim(once), "UTF-32")
+    """The spaced line, four bytes a character."""
+    return F.encode(_spaced(line), "UTF-32")
+
+
+def _shingles(line: Column) -> Column:
+    """The shingles of a line as an array of texts; for lines of at most ``PIECE`` characters."""
+    spaced = _spaced(line)
+    return F.when(F.length(spaced) <= WIDTH, F.array(spaced)).otherwise(F.regexp_extract_all(spaced, F.lit(f"(?s)(?=(.{{{WIDTH}}}))."), F.lit(1)))
 
 
 def _last(points: Column) -> Column:
@@ -189,23 +211,26 @@ def _runs(rows: DataFrame, *salts: str) -> DataFrame:
     return starts.select(*kept, F.xxhash64(*salts, F.substring("points", F.col("at"), F.lit(4 * WIDTH))).alias("s"))
 
 
-def _order(at: int) -> Column:
-    """The shingle's hash number ``at``: every fifth is a new hash, those between are turned by ``TURN`` bits each."""
-    name, turn = f"s{at // 5}", TURN * (at % 5)
-    return F.col(name) if not turn else F.expr(f"shiftleft({name}, {turn}) | shiftrightunsigned({name}, {64 - turn})")
+def _filled(cells: list[Column]) -> list[Column]:
+    """Each cell, or where it is null the next one, around."""
+    return [F.coalesce(*cells[i:], *cells[:i]) for i in range(len(cells))]
 
 
 def _signed(lines: DataFrame) -> DataFrame:
-    """(h, family, copies, first, keys): the band keys of every distinct line, a row for each of its grids; ``lines`` has (h, line, place)."""
-    once = lines.groupBy("h").agg(F.count(F.lit(1)).alias("copies"), F.min("place").alias("first"), F.min("line").alias("line"))
-    families = F.when(F.length("line") <= SHORT, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    line = once.select("h", "copies", "first", _code_points(F.col("line")).alias("points"), families.alias("families"))
-    run = _runs(line.select("h", "copies", "first", "points", F.explode("families").alias("family")), "family").withColumnRenamed("s", "s0")
-    run = run.select("*", *[F.xxhash64(F.lit(i), "s0").alias(f"s{i}") for i in range(1, -(-ROWS * COLUMNS // 5))])
-    minima = run.groupBy("h", "family", "copies", "first").agg(*[F.min(_order(at)).alias(f"m{at}") for at in range(ROWS * COLUMNS)])
-    bands = [[row * COLUMNS + (first + slope * row) % COLUMNS for row in range(ROWS)] for slope in SLOPES for first in range(COLUMNS)]
-    keys = F.array(*[F.xxhash64("family", F.lit(i), *[f"m{at}" for at in band]) for i, band in enumerate(bands)])
-    return minima.select("h", "family", "copies", "first", keys.alias("keys"))
+    """(h, family, keys): the band keys of every distinct line, a row for each of its grids; ``lines`` has (h, line)."""
+    once = lines.groupBy("h").agg(F.min("line").alias("line"))
+    throws = F.when(F.length("line") <= SHORT, F.sequence(F.lit(0), F.lit(THROWS))).otherwise(F.array(F.lit(0)))
+    run = _runs(once.select("h", _code_points(F.col("line")).alias("points"), F.explode(throws).alias("throw")), "throw")
+    cell = run.select(
+        "h", F.least("throw", F.lit(1)).alias("family"), F.expr(f"cast(shiftrightunsigned(s, 32) % {ROWS} as int)").alias("row"), F.expr(f"cast(s & {COLUMNS - 1} as int)").alias("column"), "s"
+    )
+    rows = cell.groupBy("h", "family", "row").agg(*[F.min(F.when(F.col("column") == c, F.col("s"))).alias(f"c{c}") for c in range(COLUMNS)])
+    rows = rows.select("h", "family", "row", *[c.alias(f"c{i}") for i, c in enumerate(_filled([F.col(f"c{c}") for c in range(COLUMNS)]))])
+    grid = rows.groupBy("h", "family").agg(*[F.min(F.when(F.col("row") == r, F.col(f"c{c}"))).alias(f"m{r}_{c}") for r in range(ROWS) for c in range(COLUMNS)])
+    columns = [_filled([F.col(f"m{r}_{c}") for r in range(ROWS)]) for c in range(COLUMNS)]
+    grid = grid.select("h", "family", *[columns[c][r].alias(f"m{r}_{c}") for r in range(ROWS) for c in range(COLUMNS)])
+    bands = [[f"m{r}_{(first + slope * r) % COLUMNS}" for r in range(ROWS)] for slope in SLOPES for first in range(COLUMNS)]
+    return grid.select("h", "family", F.array(*[F.xxhash64("family", F.lit(i), *band) for i, band in enumerate(bands)]).alias("keys"))
 
 
 def _shared_bands(signed: DataFrame) -> DataFrame:
@@ -222,7 +247,10 @@ def _shared_bands(signed: DataFrame) -> DataFrame:
 
 def _sketched(lines: DataFrame) -> DataFrame:
     """(h, line), h once each, to (h, line, n, bits): number of shingles and their sketch."""
-    run = _runs(lines.select("h", _code_points(F.col("line")).alias("points"))).distinct()
+    # an outer explode: Spark would look whether an inner one's array is empty by making it once more
+    texts = lines.where(F.length("line") <= PIECE).select("h", F.explode_outer(F.array_distinct(_shingles(F.col("line")))).alias("text"))
+    long = lines.where(F.length("line") > PIECE).select("h", _code_points(F.col("line")).alias("points"))
+    run = texts.select("h", F.xxhash64(F.encode("text", "UTF-32")).alias("s")).union(_runs(long).distinct())
     slot = F.col("s").bitwiseAND(F.lit(64 * PARITY_WORDS - 1))
     bit = F.expr("shiftleft(1L, cast(s & 63 as int))")
     words = [F.bit_xor(F.when(F.shiftright(slot, 6) == w, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{w}") for w in range(PARITY_WORDS)]
@@ -263,14 +291,18 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     possible = within(F.col("bits_a"), F.col("bits_b"), F.col("n_a"), F.col("n_b"), similarity)
     left = pairs.join(side("a", "n", "bits", "line"), "a").join(side("b", "n", "bits"), "b").where(possible)
     both = left.select("a", "b", "line_a", "n_a", "n_b").join(side("b", "line"), "b")
-    # all shingles of a pair in one task, by so many tasks that each holds few pairs at once
-    both = both.repartition(1 + pairs.count() // TASK_PAIRS, "a", "b").select(
-        "a", "b", "n_a", "n_b", F.explode(F.array(F.lit(1), F.lit(2))).alias("side"), _code_points(F.col("line_a")).alias("pa"), _code_points(F.col("line_b")).alias("pb")
-    )
-    run = _runs(both.select("a", "b", "n_a", "n_b", "side", F.when(F.col("side") == 1, F.col("pa")).otherwise(F.col("pb")).alias("points")))
+    # by so many tasks that each holds few pairs at once
+    both = both.repartition(1 + pairs.count() // TASK_PAIRS, "a", "b")
+    short = F.greatest(F.length("line_a"), F.length("line_b")) <= PIECE
+    hashes = lambda line: F.transform(_shingles(F.col(line)), lambda text: F.xxhash64(text))
+    counted = both.where(short).select("a", "b", "n_a", "n_b", F.size(F.array_intersect(hashes("line_a"), hashes("line_b"))).alias("shared"))
+    # pairs with a very long line: a row for every shingle
+    sides = both.where(~short).select("a", "b", "n_a", "n_b", F.explode(F.array(F.lit(1), F.lit(2))).alias("side"), "line_a", "line_b")
+    run = _runs(sides.select("a", "b", "n_a", "n_b", "side", _code_points(F.when(F.col("side") == 1, F.col("line_a")).otherwise(F.col("line_b"))).alias("points")))
     shared = run.groupBy("a", "b", "n_a", "n_b", "s").agg(F.bit_or("side").alias("sides")).where("sides = 3")
-    counted = shared.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("shared"))
-    return counted.where(F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared")) >= similarity).select("a", "b")
+    counted = counted.union(shared.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).cast("int").alias("shared")))
+    # shared / (n_a + n_b - shared) >= similarity, with ``shared`` named once: it is worked out as often as it is named
+    return counted.where((1 + similarity) * F.col("shared") >= similarity * (F.col("n_a") + F.col("n_b")) - 1e-6).select("a", "b")
 
 
 def _across(rest: DataFrame, similarity: float) -> DataFrame:
@@ -295,7 +327,7 @@ def line_decisions(docs: DataFrame, similarity: float = SIMILARITY, min_chars: i
     judged = lines.where("h is not null").select("h", "line", _place().alias("place"))
     signed = materialize(_signed(judged), "line-keys")
     roots = components(_links(judged, signed, similarity), "a", "b")
-    counted = signed.where("family = 0").select("h", "copies", "first")
+    counted = judged.groupBy("h").agg(F.count(F.lit(1)).alias("copies"), F.min("place").alias("first"))
     rooted = counted.join(roots.withColumnRenamed("node", "h"), "h", "left").where("copies > 1 or root is not null")
     rooted = materialize(rooted.select("h", F.coalesce("root", "h").alias("root"), "first"), "line-roots")
     keep = rooted.groupBy("root").agg(F.min("first").alias("keep"))
