@@ -8,19 +8,19 @@ lines the first occurrence, by doc_id, text hash and line number, is kept.
 
 * Equal lines are one line first, by one shuffle of the lines. What follows it up to the band keys
   needs no further shuffle.
-* Signatures: the minima of the line's shingle hashes under 48 orders of them (rotations by 13 bits
-  of ten hashes), as plain aggregates over one row per shingle. They stand in a grid of six rows and
-  eight columns; a band is six minima along a line of the grid, one of each row, for three slopes:
-  24 bands, no two of one slope with a minimum in common, others with one at most. They bring two
-  lines of similarity 0.8 together with probability 0.992. Lines of at most 40 characters have a second
-  such grid of other hashes (0.9999).
+* Signatures: a shingle is hashed once and falls into one cell of a grid of six rows and eight columns; a
+  cell holds its least hash, an empty one that of the next cell of its row (of its column, where the row is empty). A band
+  is six cells along a line of the grid, one of each row, for three slopes: 24 bands. They bring two lines of
+  similarity 0.8 together with probability 0.99 (simulated, 70 shingles or more). Lines of at most 64 characters have
+  a second such grid, of eight hashes a shingle, as one hash fills too few cells.
 * Candidates: band keys are counted without their lines; only keys of several distinct lines
   meet their lines again, and only those lines' texts are read again. A band compares each
   member with one of them (a row per member, not per pair). A band whose members are
   then still in several components is searched for all remaining pairs, each in the first band
   that it shares. Sizes and a sketch of the parities of the shingle hashes, which bounds the difference
   of two sets from below, are part of the join condition, so that little but true links leaves the join.
-* Verification is exact, on the full sets of the shingles' 64-bit hashes.
+* Verification is exact, on the full sets of the shingles' 64-bit hashes: arrays of a pair's two lines, rows where a
+  line is longer than ``PIECE``. Shuffle files of a written table go as soon as it is written.
 
 All of it is DataFrame code. Hot lines are combined before their shuffle, and joins on line
 hashes are ones that adaptive execution can split.

@@ -128,3 +128,39 @@ def test_a_pair_of_several_mixed_bands_is_made_once(spark, monkeypatch):
     rest = [(h, h % 10, [1, 2, 3] if h % 2 else [2, 3, 4], 50, bits) for h in range(30)]
     made = [tuple(r) for r in line_dedup._across(spark.createDataFrame(rest, "h long, root long, ks array<long>, n int, bits array<long>"), 0.8).collect()]
     assert sorted(made) == sorted((a, b) for a in range(30) for b in range(30) if a % 10 < b % 10)
+
+
+def test_a_shingle_is_hashed_once_and_meets_few_minima(spark):
+    plan = line_dedup._signed(spark.createDataFrame([(1, "a line of words", 1)], "h long, line string, place long"))._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    below = plan[: next(i for i, node in enumerate(plan) if "Generate" in node)]
+    nearest = [node for node in below if "Aggregate" in node][-1]
+    assert nearest.count("min(") <= line_dedup.COLUMNS
+
+
+def test_very_long_lines_are_compared_as_others(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    lines = []
+    for n in (3, 30, 63, 64, 65, 200, 1000):
+        line = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz \U0001f600"), size=n)).strip()
+        lines += [line, line + "zz", line[: n // 2]]
+    rows = spark.createDataFrame(list(enumerate(lines)), "h long, line string")
+    pairs = spark.createDataFrame([(i, i + k) for i in range(0, len(lines), 3) for k in (1, 2)], "a long, b long")
+    found = []
+    for piece in (line_dedup.PIECE, 64):
+        monkeypatch.setattr(line_dedup, "PIECE", piece)
+        texts = line_dedup._sketched(rows)
+        found.append((sorted(map(tuple, texts.select("h", "n", "bits").collect())), sorted(map(tuple, line_dedup._verified(pairs, texts, 0.8).collect()))))
+    assert found[0] == found[1]
+    linked = similar_pairs(lines)
+    assert found[0][1] == sorted((a, b) for a, b in map(sorted, linked) if b - a < 3 and a % 3 == 0)
+
+
+def test_shuffle_files_go_once_the_table_is_written(spark):
+    def shuffled():
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f for f in files.split("\n") if "/shuffle_" in f}
+
+    before = shuffled()
+    table = line_dedup.materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert shuffled() <= before
+    assert table.count() == 7
