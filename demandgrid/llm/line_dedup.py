@@ -18,7 +18,8 @@ lines the first occurrence, by doc_id, text hash and line number, is kept.
   member with one of them (a row per member, not per pair). A band whose members are
   then still in several components is searched for all remaining pairs, each in the first band
   that it shares. Sizes and a sketch of the parities of the shingle hashes, which bounds the difference
-  of two sets from below, are part of the join condition, so that little but true links leaves the join.
+  of two sets from below, are part of the join condition; the sketch has bits enough for lines of some hundred
+  characters, so that what leaves the join is close to the limit.
 * Verification is exact, on the full sets of the shingles' 64-bit hashes: arrays of a pair's two lines, rows where a
   line is longer than ``PIECE``. Shuffle files of a written table go as soon as it is written.
 
@@ -47,13 +48,14 @@ SHORT = 64  # lines of so many characters have a second grid of minima
 THROWS = 8  # hashes of a shingle in the second grid
 ROWS = 6
 COLUMNS = 8
+PER_CELL = 8  # shingles of a long line looked at for each cell; e**-8 of the cells stay empty and borrow, as in short lines
 SLOPES = (0, 1, 3)
 BANDS = 16  # of ``band_keys``
 SHORT_BANDS = 32
 MIN_WORDS = 1  # every line with a word is judged
 MIN_CHARS = 1
 BLANKS = " \t\x0b\x0c\r"
-PARITY_WORDS = 8  # of 64 bits
+PARITY_WORDS = 16  # of 64 bits
 TILE = 256  # members of a band, of which a task compares so many at once with the others
 TASK_PAIRS = 4096  # pairs verified by a task
 PIECE = 1 << 16  # shingles hashed at once
@@ -191,17 +193,19 @@ def _code_points(line: Column) -> Column:
     return F.encode(_spaced(line), "UTF-32")
 
 
-def _shingles(line: Column) -> Column:
-    """The shingles of a line as an array of texts; for lines of at most ``PIECE`` characters."""
-    spaced = _spaced(line)
-    return F.when(F.length(spaced) <= WIDTH, F.array(spaced)).otherwise(F.regexp_extract_all(spaced, F.lit(f"(?s)(?=(.{{{WIDTH}}}))."), F.lit(1)))
-
-
 def _last(points: Column) -> Column:
     """Where the last shingle begins."""
     return F.greatest(F.lit(1), F.length(points) - F.lit(4 * (WIDTH - 1)))
 
 
+def _hashes(line: Column) -> Column:
+    """The hashes of a line's shingles as an array, those of ``_runs``; for lines of at most ``PIECE`` characters."""
+    run = lambda points, at: F.xxhash64(F.substring(points, at, F.lit(4 * WIDTH)))
+    # the code points as an element of an array: made once and held, while a column of bytes is copied each time it is named
+    inner = lambda points: F.transform(F.sequence(F.lit(1), _last(points), F.lit(4)), lambda at: run(points, at))
+    return F.transform(F.array(_code_points(line)), inner)[0]
+
+
 def _runs(rows: DataFrame, *salts: str) -> DataFrame:
     """``rows`` with a row for every shingle of their ``points``, its hash as ``s`` in their place; long lines a piece at a time."""
     kept = [c for c in rows.columns if c != "points"]
@@ -211,6 +215,13 @@ def _runs(rows: DataFrame, *salts: str) -> DataFrame:
     return starts.select(*kept, F.xxhash64(*salts, F.substring("points", F.col("at"), F.lit(4 * WIDTH))).alias("s"))
 
 
+def _lowest(points: Column) -> Column:
+    """The hash up to which a line's shingles are looked at for cells: some ``PER_CELL`` of them for each, the least ones; a short line's are all."""
+    count = (_last(points) + F.lit(3)) / F.lit(4)
+    share = F.lit(float(PER_CELL * ROWS * COLUMNS)) / count
+    return F.when(share >= 1, F.lit(2**63 - 1)).otherwise(((share - 0.5) * F.lit(2.0**64)).cast("long"))
+
+
 def _filled(cells: list[Column]) -> list[Column]:
     """Each cell, or where it is null the next one, around."""
     return [F.coalesce(*cells[i:], *cells[:i]) for i in range(len(cells))]
@@ -220,7 +231,8 @@ def _signed(lines: DataFrame) -> DataFrame:
     """(h, family, keys): the band keys of every distinct line, a row for each of its grids; ``lines`` has (h, line)."""
     once = lines.groupBy("h").agg(F.min("line").alias("line"))
     throws = F.when(F.length("line") <= SHORT, F.sequence(F.lit(0), F.lit(THROWS))).otherwise(F.array(F.lit(0)))
-    run = _runs(once.select("h", _code_points(F.col("line")).alias("points"), F.explode(throws).alias("throw")), "throw")
+    points = once.select("h", _code_points(F.col("line")).alias("points"), F.explode(throws).alias("throw"))
+    run = _runs(points.withColumn("lowest", _lowest(F.col("points"))), "throw").where("s <= lowest")
     cell = run.select(
         "h", F.least("throw", F.lit(1)).alias("family"), F.expr(f"cast(shiftrightunsigned(s, 32) % {ROWS} as int)").alias("row"), F.expr(f"cast(s & {COLUMNS - 1} as int)").alias("column"), "s"
     )
@@ -246,20 +258,21 @@ def _shared_bands(signed: DataFrame) -> DataFrame:
 
 
 def _sketched(lines: DataFrame) -> DataFrame:
-    """(h, line), h once each, to (h, line, n, bits): number of shingles and their sketch."""
+    """(h, line), h once each, to (h, line, long, n, bits): number of shingles and their sketch."""
     # an outer explode: Spark would look whether an inner one's array is empty by making it once more
-    texts = lines.where(F.length("line") <= PIECE).select("h", F.explode_outer(F.array_distinct(_shingles(F.col("line")))).alias("text"))
-    long = lines.where(F.length("line") > PIECE).select("h", _code_points(F.col("line")).alias("points"))
-    run = texts.select("h", F.xxhash64(F.encode("text", "UTF-32")).alias("s")).union(_runs(long).distinct())
-    slot = F.col("s").bitwiseAND(F.lit(64 * PARITY_WORDS - 1))
-    bit = F.expr("shiftleft(1L, cast(s & 63 as int))")
-    words = [F.bit_xor(F.when(F.shiftright(slot, 6) == w, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{w}") for w in range(PARITY_WORDS)]
-    found = run.groupBy("h").agg(F.count(F.lit(1)).cast("int").alias("n"), *words)
-    return lines.join(found, "h").select("h", "line", "n", F.array(*[f"w{w}" for w in range(PARITY_WORDS)]).alias("bits"))
+    short, long = lines.where(F.length("line") <= PIECE), lines.where(F.length("line") > PIECE)
+    long = long.select("h", _code_points(F.col("line")).alias("points"))
+    run = short.select("h", F.explode_outer(F.array_distinct(_hashes(F.col("line")))).alias("s")).union(_runs(long).distinct())
+    # a word at a time: one parity for each shingle to change
+    word = F.shiftright("s", 6).bitwiseAND(F.lit(PARITY_WORDS - 1)).alias("word")
+    found = run.groupBy("h", word).agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("bits"))
+    words = [F.max(F.when(F.col("word") == w, F.col("bits"))) for w in range(PARITY_WORDS)]
+    found = found.groupBy("h").agg(F.sum("n").cast("int").alias("n"), F.array(*[F.coalesce(w, F.lit(0).cast("long")) for w in words]).alias("bits"))
+    return lines.join(found, "h").select("h", "line", (F.length("line") > PIECE).alias("long"), "n", "bits")
 
 
 def _texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(h, line, n, bits) of the wanted lines, once each."""
+    """(h, line, long, n, bits) of the wanted lines, once each."""
     few = wanted.count() <= BROADCAST_ROWS
     rows = lines.select("h", "line") if few else thinned(lines.select("h", "line"), "h", wanted, "h")
     rows = rows.join(F.broadcast(wanted) if few else wanted, "h", "left_semi")
@@ -289,15 +302,15 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     """The pairs (a, b) of lines whose shingle sets are similar enough."""
     side = lambda name, *columns: texts.select(F.col("h").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
     possible = within(F.col("bits_a"), F.col("bits_b"), F.col("n_a"), F.col("n_b"), similarity)
-    left = pairs.join(side("a", "n", "bits", "line"), "a").join(side("b", "n", "bits"), "b").where(possible)
-    both = left.select("a", "b", "line_a", "n_a", "n_b").join(side("b", "line"), "b")
+    left = pairs.join(side("a", "n", "bits", "long"), "a").join(side("b", "n", "bits", "long"), "b").where(possible)
+    left = materialize(left.select("a", "b", "n_a", "n_b", (F.col("long_a") | F.col("long_b")).alias("long")), "possible-pairs")
+    both = lambda some: left.where(some).drop("long").join(side("a", "line"), "a").join(side("b", "line"), "b")
     # by so many tasks that each holds few pairs at once
-    both = both.repartition(1 + pairs.count() // TASK_PAIRS, "a", "b")
-    short = F.greatest(F.length("line_a"), F.length("line_b")) <= PIECE
-    hashes = lambda line: F.transform(_shingles(F.col(line)), lambda text: F.xxhash64(text))
-    counted = both.where(short).select("a", "b", "n_a", "n_b", F.size(F.array_intersect(hashes("line_a"), hashes("line_b"))).alias("shared"))
+    short = both("not long").repartition(1 + left.count() // TASK_PAIRS, "a", "b")
+    shared = F.size(F.array_intersect(_hashes(F.col("line_a")), _hashes(F.col("line_b"))))
+    counted = short.select("a", "b", "n_a", "n_b", shared.alias("shared"))
     # pairs with a very long line: a row for every shingle
-    sides = both.where(~short).select("a", "b", "n_a", "n_b", F.explode(F.array(F.lit(1), F.lit(2))).alias("side"), "line_a", "line_b")
+    sides = both("long").select("a", "b", "n_a", "n_b", F.explode(F.array(F.lit(1), F.lit(2))).alias("side"), "line_a", "line_b")
     run = _runs(sides.select("a", "b", "n_a", "n_b", "side", _code_points(F.when(F.col("side") == 1, F.col("line_a")).otherwise(F.col("line_b"))).alias("points")))
     shared = run.groupBy("a", "b", "n_a", "n_b", "s").agg(F.bit_or("side").alias("sides")).where("sides = 3")
     counted = counted.union(shared.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).cast("int").alias("shared")))
