@@ -164,3 +164,24 @@ def test_shuffle_files_go_once_the_table_is_written(spark):
     table = line_dedup.materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
     assert shuffled() <= before
     assert table.count() == 7
+
+
+def test_the_join_of_possible_pairs_is_made_once(spark):
+    line = "a line of plain words, long enough for many shingles "
+    texts = line_dedup._sketched(spark.createDataFrame([(1, line), (2, line + "more"), (3, "another")], "h long, line string"))
+    found = line_dedup._verified(spark.createDataFrame([(1, 2), (1, 3)], "a long, b long"), texts, 0.8)
+    plan = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert sum("bit_count" in node for node in plan) <= 1
+    assert [tuple(r) for r in found.collect()] == [(1, 2)]
+
+
+def test_sketches_rule_out_most_pairs_near_the_limit(spark):
+    rng = np.random.default_rng(11)
+    pairs = []
+    for _ in range(60):
+        drawn = rng.integers(-(1 << 62), 1 << 62, size=488).tolist()
+        s, t = (np.array(x, dtype=np.int64).view(np.uint64) for x in (drawn[:430], drawn[:372] + drawn[430:]))  # 372 of 488 in common: 0.762
+        pairs.append((line_dedup.sketch(s).tolist(), line_dedup.sketch(t).tolist()))
+    rows = spark.createDataFrame(pairs, "s array<long>, t array<long>")
+    possible = line_dedup.within(F.col("s"), F.col("t"), F.lit(430), F.lit(430), 0.8, line_dedup.PARITY_WORDS)
+    assert rows.where(possible).count() <= 15
